@@ -21,10 +21,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common as C
+from .flat_words import PASS, Known, code_points, hashes, take
 
 MARK = "▁"
-#: Pre-tokens whose counts a worker keeps; it starts anew beyond that.
-CACHE = 400_000
 #: Pre-tokens up to this length go through the trie's matrices, a longer one through a trie of its own.
 WIDE = 48
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -36,20 +35,20 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-def pretokens(text: str) -> list[str]:
-    """A text's pre-tokens; the text gets a blank in front, as the vocabulary's trainer gave it."""
-    if not text:
-        return []
-    words = text.replace(MARK, " ").split(" ")
-    if "" not in words:
-        return [MARK + w for w in words]
-    out, marks = [], 0
-    for w in words:
-        marks += 1
-        if w:
-            out.append(MARK * marks + w)
-            marks = 0
-    return [*out, MARK * marks] if marks else out
+def pretokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Code points of the texts, marks for blanks, each text with a blank in front (as the vocabulary's
+    trainer gave it); starts and ends of the pre-tokens; and where each text's pre-tokens begin."""
+    cp, at = code_points([" " + t for t in texts])
+    cp = np.where(cp == 32, np.uint32(ord(MARK)), cp)
+    mark = cp == ord(MARK)
+    start = mark.copy()
+    start[1:] &= ~mark[:-1]
+    start[at[:-1]] = True
+    starts = np.flatnonzero(start)
+    ends = np.concatenate((starts[1:], [len(cp)]))
+    last = np.searchsorted(starts, at[1:]) - 1
+    ends[last] = at[1:] - 1  # without the blank behind the text
+    return cp, starts, ends, np.concatenate(([0], last + 1))
 
 
 def _codes(word: str) -> np.ndarray:
@@ -71,7 +70,7 @@ class UnigramCounter:
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[self.keys >> np.uint64(44)] = True
         self.unknown = min(s for _, s in pieces) - 10.0
-        self.cache: dict[str, int] = {}
+        self.known = Known(np.int64, 1_500_000)
 
     @staticmethod
     def _hash(codes: np.ndarray) -> np.uint64:
@@ -86,8 +85,8 @@ class UnigramCounter:
         out = np.zeros(len(words), np.int64)
         order = sorted(range(len(words)), key=words.__getitem__)
         narrow = [i for i in order if len(words[i]) <= WIDE]
-        for a in range(0, len(narrow), 20_000):
-            part = narrow[a : a + 20_000]
+        for a in range(0, len(narrow), 8_000):
+            part = narrow[a : a + 8_000]
             out[part] = self._trie([words[i] for i in part])
         for i in order:
             if len(words[i]) > WIDE:
@@ -139,18 +138,22 @@ class UnigramCounter:
             out[ends] = number[node[e][ends]]
         return out
 
-    def count_texts(self, texts: list[str]) -> list[tuple[int, int]]:
-        """(tokens, pre-tokens) of each text."""
-        out = []
-        split = [pretokens(t) for t in texts]
-        for a, b in C.spans(np.concatenate(([0], np.cumsum([len(x) for x in split]))), CACHE):
-            if len(self.cache) > CACHE:
-                self.cache.clear()
-            lack = list({w for x in split[a:b] for w in x if w not in self.cache})
-            if lack:
-                self.cache.update(zip(lack, self.counts(lack).tolist()))
-            out += [(sum(map(self.cache.__getitem__, x)), len(x)) for x in split[a:b]]
-        return out
+    def count_texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens and pre-tokens of each text."""
+        out, number = [], []
+        for a, b in C.spans(np.concatenate(([0], np.cumsum([len(t) for t in texts]))), PASS):
+            cp, start, end, at = pretokens(texts[a:b])
+
+            def make(i):
+                size = end[i] - start[i]
+                flat, stop = cp[take(start[i], size)].tobytes().decode("utf-32-le"), np.cumsum(size).tolist()
+                return self.counts([flat[x:y] for x, y in zip([0, *stop], stop)]), np.ones(len(i), np.int64)
+
+            row, _ = self.known.rows(hashes(cp, start, end), make)
+            full = np.fromiter(map(bool, texts[a:b]), bool, b - a)
+            out.append(np.where(full, np.add.reduceat(self.known.store[row], at[:-1]), 0))
+            number.append(np.where(full, np.diff(at), 0))
+        return (np.concatenate(out), np.concatenate(number)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
 _held: dict[str, UnigramCounter] = {}
@@ -165,7 +168,7 @@ def token_counts(docs: DataFrame, path: str | None = None) -> DataFrame:
         if path not in _held:
             _held[path] = UnigramCounter(path)
         for batch in batches:
-            got = _held[path].count_texts(batch.column("text").fill_null("").to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([x for x, _ in got], pa.int64()), pa.array([x for _, x in got], pa.int64())], ["doc_id", "n_tokens", "n_pretokens"])
+            n, number = _held[path].count_texts(batch.column("text").fill_null("").to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), pa.array(number)], ["doc_id", "n_tokens", "n_pretokens"])
 
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, n_tokens long, n_pretokens long")

@@ -1,11 +1,11 @@
 """BPE encoding and decoding with batched numpy merge rounds, and binary token files.
 
-The tokenizer file describes a BPE whose words end in a suffix. Its normalizer, its pre-tokenizer and its
-added tokens never look across white space, so a text is the sequence of its space-free strings, and a
-string's ids are found once and kept in a bounded cache. The strings that a batch of texts lacks in the
-cache are encoded together: all their words lie in one flat array of symbols; a round looks up each
-neighbouring pair by binary search over the sorted pair keys, takes each word's lowest rank, and merges
-that pair wherever the word has it; words that have no pair left leave the array.
+The tokenizer file describes a BPE over words; its words end in a suffix. A batch of texts is one flat
+array of code points, cut into words as the file's pattern does, and each distinct word is encoded once
+and kept in a bounded cache. The words that the cache lacks are encoded together: all of them lie in one
+flat array of symbols; a round looks up each neighbouring pair by binary search over the sorted pair keys,
+takes each word's lowest rank, and merges that pair wherever the word has it; words without a pair left
+leave the array.
 
 Defined cases: a null or empty text has no tokens; control characters U+001C to U+001F are not white space
 here, as in the tokenizers library; rows that repeat a doc_id are encoded each.
@@ -26,10 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common as C
+from .flat_words import PASS, Known, code_points, hashes, take
 
-#: Space-free strings whose ids a worker keeps; it starts anew beyond that.
-CACHE = 250_000
 _NONE = np.int64(1 << 40)
+_WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+#: The pattern that words() cuts by; a file with another one is refused.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 def default_vocabulary() -> str:
@@ -45,11 +47,40 @@ def byte_symbols() -> list[str]:
     return [chr(b if b in shown else next(spare)) for b in range(256)]
 
 
-def pieces_of(text: str) -> list[str]:
-    """The space-free strings of a text."""
-    if any(c in text for c in "\x1c\x1d\x1e\x1f"):
-        return [x for x in regex.split(r"[\t-\r \x85\xa0  -     　]+", text) if x]
-    return text.split()
+_classes: list[np.ndarray] = []
+
+
+def classes() -> np.ndarray:
+    """For each code point: 0 white space, 1 letter, 2 number, 3 other."""
+    if not _classes:
+        t = np.array([{"L": 1, "N": 2}.get(unicodedata.category(chr(c))[0], 3) for c in range(0x110000)], np.uint8)
+        t[[ord(c) for c in _WHITE]] = 0
+        _classes.append(t)
+    return _classes[0]
+
+
+def normal(text: str) -> str:
+    return text.lower() if text.isascii() else unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3").lower()
+
+
+def words(cp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words that PATTERN finds in code points of normal texts; the last one is a blank."""
+    kind = classes()[cp]
+    start = kind != 0
+    start[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == 2)
+    q = np.flatnonzero(start & (cp == ord("'")))
+    q = q[kind[q + 1] == 1]
+    if len(q):
+        x, y = cp[q + 1], cp[q + 2 - (q + 2 == len(cp))]
+        two = np.isin((x.astype(np.int64) << 32) | y, [(ord(a) << 32) | ord(b) for a, b in ("re", "ve", "ll")])
+        one = np.isin(x, [ord(c) for c in "stmd"])
+        size = np.where(one, 1, np.where(two, 2, 0))
+        q, size = q[size > 0], size[size > 0]
+        start[q + 1] = False
+        start[q + 1 + size] = kind[q + 1 + size] != 0
+    end = kind[:-1] != 0
+    end &= start[1:] | (kind[1:] == 0)
+    return np.flatnonzero(start), np.flatnonzero(end) + 1
 
 
 class WordBPE:
@@ -64,8 +95,9 @@ class WordBPE:
         self.names = {i: t for t, i in (vocab | self.added).items()}
         self.shown = [self.names.get(i, "").encode() for i in range(max(self.names) + 1)]
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.split = regex.compile(split["pattern"]["Regex"])
-        self.special = regex.compile("(" + "|".join(map(regex.escape, self.added)) + ")") if self.added else None
+        if split["pattern"]["Regex"] != PATTERN:
+            raise ValueError("the file cuts words by another pattern")
+        self.special = regex.compile("(" + "|".join(map(regex.escape, self.added)) + ")")
         letters = byte_symbols()
         self.first = np.array([vocab[c] for c in letters], np.int64)
         self.last = np.array([vocab[c + suffix] for c in letters], np.int64)
@@ -75,29 +107,18 @@ class WordBPE:
         order = np.argsort(keys, kind="stable")
         self.keys, self.ranks = keys[order], order.astype(np.int64)
         self.merged = np.array([vocab[a + b] for a, b in pairs], np.int64)
-        self.cache: dict[str, tuple[bytes, bytes]] = {}
-
-    def words_of(self, piece: str) -> list[str | int]:
-        """The words of a space-free string, or the id where an added token stands."""
-        parts = self.special.split(piece) if self.special and "<|" in piece else [piece]
-        out: list[str | int] = []
-        for p in parts:
-            if p in self.added:
-                out.append(self.added[p])
-            elif p:
-                if not p.isascii():
-                    p = unicodedata.normalize("NFC", p).replace("Σ", "σ")
-                out += self.split.findall(p.lower())
-        return out
-
-    def merge(self, words: list[bytes]) -> list[np.ndarray]:
-        """The ids of each word, all merged together round by round."""
-        size = np.fromiter(map(len, words), np.int64, len(words))
-        data = np.frombuffer(b"".join(words), np.uint8)
+        self.known = Known(np.int32)
+        # The tokens' shown bytes, a blank behind each.
+        self.shown_size = np.array([len(x) + 1 for x in self.shown], np.int64)
+        self.shown_start = np.cumsum(self.shown_size) - self.shown_size
+        self.shown_bytes = np.frombuffer(b"".join(x + b" " for x in self.shown), np.uint8)
+
+    def merge(self, data: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words given by their bytes and sizes, merged together round by round, and how many each word has."""
         end = np.cumsum(size) - 1
         sym = self.first[data]
         sym[end] = self.last[data[end]]
-        word = np.repeat(np.arange(len(words)), size)
+        word = np.repeat(np.arange(len(size)), size)
         done_sym, done_word = [], []
         while len(sym) > 1:
             key = sym[:-1] * self.size + sym[1:]
@@ -127,52 +148,79 @@ class WordBPE:
             sym, word = sym[keep], word[keep]
         sym, word = np.concatenate([*done_sym, sym]), np.concatenate([*done_word, word])
         order = np.argsort(word, kind="stable")
-        return np.split(sym[order], np.searchsorted(word[order], np.arange(1, len(words))))
-
-    def fill(self, pieces: set[str]) -> None:
-        """Encodes the strings that the cache lacks: ids as little-endian 32-bit integers, and the decoded text."""
-        if len(self.cache) > CACHE:
-            self.cache.clear()
-        lack = [p for p in pieces if p not in self.cache]
-        if not lack:
-            return
-        split = [self.words_of(p) for p in lack]
-        words = list({w for ws in split for w in ws if isinstance(w, str)})
-        ids = dict(zip(words, self.merge([w.encode() for w in words]) if words else []))
-        for p, ws in zip(lack, split):
-            x = np.concatenate([ids[w] if isinstance(w, str) else np.array([w]) for w in ws]) if ws else np.zeros(0, np.int64)
-            self.cache[p] = (x.astype("<u4").tobytes(), self.decode(x.tolist()))
-
-    def decode(self, ids) -> bytes:
-        """The tokens with blanks between them, as UTF-8: what a file without a decoder yields."""
-        return b" ".join([self.shown[i] for i in ids])
-
-    def encode_batch(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
-        """For each text, the ids as bytes and the decoded text, from its strings' cached ones."""
-        split = [pieces_of(t) for t in texts]
-        out = []
-        for a, b in C.spans(np.concatenate(([0], np.cumsum([len(x) for x in split]))), CACHE):
-            need = set().union(*split[a:b])
-            self.fill(need)
-            if any(p not in self.cache for p in need):  # the cache was emptied meanwhile
-                self.fill(need)
-            for s in split[a:b]:
-                got = [self.cache[p] for p in s]
-                out.append((b"".join([g[0] for g in got]), b" ".join([g[1] for g in got])))
-        return out
+        return sym[order], np.bincount(word, minlength=len(size))
+
+    def ids_of(self, lines: str) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids and their numbers, for words that each end in a line feed."""
+        data = np.frombuffer(lines.encode(), np.uint8)
+        stop = np.flatnonzero(data == 10)
+        return self.merge(data[data != 10], np.diff(np.concatenate(([-1], stop))) - 1)
+
+    def flat_ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and n + 1 bounds. No text has an added token."""
+        cp, at = code_points([normal(t) for t in texts])
+        start, end = words(cp)
+
+        def make(i):
+            size = end[i] - start[i] + 1
+            flat = cp[take(start[i], size)]
+            flat[np.cumsum(size) - 1] = 10
+            return self.ids_of(flat.tobytes().decode("utf-32-le"))
+
+        if not len(start):
+            return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
+        a, n = self.known.rows(hashes(cp, start, end), make)
+        total = np.concatenate(([0], np.cumsum(n)))
+        return self.known.store[take(a, n)], total[np.searchsorted(start, at)]
+
+    def decode(self, ids: np.ndarray) -> np.ndarray:
+        """UTF-8 bytes of the tokens with a blank behind each: without the last, what a file without a decoder yields."""
+        return self.shown_bytes[take(self.shown_start[ids], self.shown_size[ids])]
+
+    def batches(self, texts: list[str]):
+        """(ids, bounds) for runs of texts."""
+        for a, b in C.spans(np.concatenate(([0], np.cumsum([len(t) for t in texts]))), PASS):
+            part = texts[a:b]
+            if not any(x in t for t in part for x in self.added):
+                yield self.flat_ids(part)
+                continue
+            for t in part:
+                parts = self.special.split(t)
+                ids, at = self.flat_ids(parts)
+                ids = np.concatenate([np.array([self.added[p]], np.int32) if p in self.added else ids[i:j] for p, i, j in zip(parts, at, at[1:])])
+                yield ids, np.array([0, len(ids)])
+
+
+class LibraryBPE(WordBPE):
+    """The same, with the distinct words encoded by the tokenizers library."""
+
+    def __init__(self, path: str):
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        super().__init__(path)
+        self.library = Tokenizer.from_file(path)
+        self.library.no_truncation()
+        self.library.no_padding()
+
+    def ids_of(self, lines: str) -> tuple[np.ndarray, np.ndarray]:
+        got = [e.ids for e in self.library.encode_batch_fast(lines.split("\n")[:-1], add_special_tokens=False)]
+        return np.fromiter((i for x in got for i in x), np.int32), np.fromiter(map(len, got), np.int64, len(got))
 
 
 def _texts(batch: pa.RecordBatch) -> list[str]:
     return batch.column("text").fill_null("").to_pylist()
 
 
-_held: dict[str, WordBPE] = {}
+_held: dict = {}
 
 
-def _tokenizer(path: str) -> WordBPE:
-    if path not in _held:
-        _held[path] = WordBPE(path)
-    return _held[path]
+def tokenizer(path: str, kind=WordBPE):
+    if (kind, path) not in _held:
+        _held[kind, path] = kind(path)
+    return _held[kind, path]
 
 
 def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
@@ -181,28 +229,33 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     C.small_batches(docs.sparkSession)
 
     def run(batches):
-        bpe = _tokenizer(path)
+        bpe = tokenizer(path)
         for batch in batches:
-            got = bpe.encode_batch(_texts(batch))
-            ids = [np.frombuffer(i, "<u4").astype(np.int32) for i, _ in got]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32())), pa.array([d.decode() for _, d in got])], ["doc_id", "ids", "decoded"])
+            ids, decoded = [], []
+            for flat, at in bpe.batches(_texts(batch)):
+                ids += [flat[a:b] for a, b in zip(at, at[1:])]
+                decoded += [bpe.decode(flat[a:b]).tobytes()[:-1].decode() for a, b in zip(at, at[1:])]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())], ["doc_id", "ids", "decoded"])
 
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, ids array<int>, decoded string")
 
 
 def encode_digest(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row: digests of encode()'s columns."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row: digests of encode()'s columns, which don't leave the task."""
     path = path or default_vocabulary()
     C.small_batches(docs.sparkSession)
 
     def run(batches):
-        bpe = _tokenizer(path)
+        bpe = tokenizer(path)
         for batch in batches:
-            got = bpe.encode_batch(_texts(batch))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(i) // 4 for i, _ in got], pa.int64()), pa.array([hashlib.sha256(i).hexdigest() for i, _ in got]), pa.array([hashlib.sha256(d).hexdigest() for _, d in got])],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+            n, ids, decoded = [], [], []
+            for flat, at in bpe.batches(_texts(batch)):
+                raw, at = flat.astype("<u4"), at.tolist()
+                shown, end = bpe.decode(flat), np.concatenate(([0], np.cumsum(bpe.shown_size[flat])))[at].tolist()
+                n += [b - a for a, b in zip(at, at[1:])]
+                ids += [hashlib.sha256(raw[a:b]).hexdigest() for a, b in zip(at, at[1:])]
+                decoded += [hashlib.sha256(shown[a : max(a, b - 1)]).hexdigest() for a, b in zip(end, end[1:])]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
@@ -210,32 +263,6 @@ def encode_digest(docs: DataFrame, path: str | None = None) -> DataFrame:
 # ---- binary token files --------------------------------------------------------------------
 
 
-class LibraryIds:
-    """Ids from the tokenizers library, asked once for each space-free string of a bounded cache."""
-
-    def __init__(self, path: str, kind: str):
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.kind, self.cache = kind, {}
-        self.tok = Tokenizer.from_file(path)
-        self.tok.no_truncation()
-        self.tok.no_padding()
-
-    def __call__(self, text: str) -> bytes:
-        pieces = pieces_of(text)
-        lack = list({p for p in pieces if p not in self.cache})
-        if lack:
-            if len(self.cache) > CACHE:
-                self.cache.clear()
-                lack = list(set(pieces))
-            for p, e in zip(lack, self.tok.encode_batch_fast(lack, add_special_tokens=False)):
-                self.cache[p] = np.array(e.ids, self.kind).tobytes()
-        return b"".join([self.cache[p] for p in pieces])
-
-
 def _store(uri: str):
     from pyarrow import fs
 
@@ -272,8 +299,7 @@ def write_token_files(docs: DataFrame, folder: str, path: str | None = None, end
     def run(batches):
         from pyspark import TaskContext
 
-        ids = LibraryIds(path, kind)
-        tail = b"" if end_id is None else np.array([end_id], kind).tobytes()
+        bpe = tokenizer(path, LibraryBPE)
         name = f"part-{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex}"
         store, base = _store(folder)
         store.create_dir(base, recursive=True)
@@ -282,11 +308,13 @@ def write_token_files(docs: DataFrame, folder: str, path: str | None = None, end
             g.write(np.zeros(1, "<u8").tobytes())
             for batch in batches:
                 ends = []
-                for t in _texts(batch):
-                    x = ids(t) + tail
-                    f.write(x)
-                    at += len(x) // np.dtype(kind).itemsize
-                    ends.append(at)
+                for flat, bounds in bpe.batches(_texts(batch)):
+                    if end_id is not None:
+                        flat = np.insert(flat, bounds[1:], end_id)
+                        bounds = bounds + np.arange(len(bounds))
+                    f.write(flat.astype(kind).tobytes())
+                    ends += (bounds[1:] + at).tolist()
+                    at += len(flat)
                 n += len(ends)
                 g.write(np.array(ends, "<u8").tobytes())
                 doc = batch.column("doc_id").fill_null(np.iinfo(np.int64).min)

@@ -40,7 +40,7 @@ from . import common as C
 from .graph import components
 
 #: Sets in a list that is scanned pair by pair.
-SHORT_LIST = 8
+SHORT_LIST = 64
 #: Documents a token is in before it counts as frequent.
 FREQUENT = 24
 #: Frequent tokens that are sent to the tasks (4 bytes each), the most frequent first. Any choice is right.
@@ -247,8 +247,9 @@ def _scan_lists(key, fp, n, pct, boundary, bucket):
     pairs = []
     for m in range(2, SHORT_LIST + 1):
         lists = at[:-1][size == m]
-        for i, j in combinations(range(m), 2) if len(lists) else ():
-            a, b = lists + i, lists + j
+        if len(lists):
+            i, j = np.triu_indices(m, 1)
+            a, b = (lists[:, None] + i).ravel(), (lists[:, None] + j).ravel()
             ok = (100 * np.minimum(n[a], n[b]) >= pct * np.maximum(n[a], n[b])) & (np.maximum(n[a], n[b]) > boundary)
             pairs.append((fp[a[ok]], n[a[ok]], fp[b[ok]], n[b[ok]]))
     out, stars = [], []
@@ -355,7 +356,8 @@ def jaccard_components(docs: DataFrame, k: int = 5, pct: int = 75) -> DataFrame:
     lists = scratch.keep(inverted_lists(docs, k, pct, boundary, n_buckets, shared), "lists")
 
     need = F.expr(f"({pct} * (na + nb) + {99 + pct}) div {100 + pct} - ({pct} * greatest(na, nb) + 99) div 100 + 1")
-    counted = lists.where("kind = 0").groupBy("a", "na", "b", "nb").agg(F.sum("m").alias("m")).where(F.col("m") >= need).select("a", "b", "m")
+    counts = lists.where("kind = 0").groupBy("a", "na", "b", "nb").agg(F.sum("m").alias("m"))
+    counted = counts.where(F.col("m") >= need).select("a", "b", "m")
     stars = lists.where("kind = 1").select("a", "b", "m").distinct()
     cand = scratch.keep(counted.union(stars).groupBy("a", "b").agg(F.max("m").alias("m")), "candidates")
     first = cand.groupBy("b").agg(F.max_by("a", F.struct("m", (-F.col("a")).alias("o"))).alias("a")).select("a", "b")
@@ -372,7 +374,12 @@ def jaccard_components(docs: DataFrame, k: int = 5, pct: int = 75) -> DataFrame:
     mixed = stands.join(most, "list")
     other = mixed.where("la <> major").select("list", F.col("a").alias("x"), F.col("na").alias("nx"), F.col("la").alias("lx"))
     cross = mixed.join(other, "list").where(f"la <> lx and (la = major or a < x) and 100 * least(na, nx) >= {pct} * greatest(na, nx)")
-    rest = scratch.keep(rest.union(cross.select(F.least("a", "x").alias("a"), F.greatest("a", "x").alias("b"))).distinct(), "rest")
+    swap = F.col("a") > F.col("x")
+    ends = [F.when(swap, p).otherwise(q).alias(n) for n, p, q in (("a", F.col("x"), F.col("a")), ("na", F.col("nx"), F.col("na")), ("b", F.col("a"), F.col("x")), ("nb", F.col("na"), F.col("nx")))]
+    # Each shared prefix token stands in a short list, counted there, or in a long one, counted here.
+    long_ = cross.select(*ends).groupBy("a", "na", "b", "nb").agg(F.count("*").alias("more"))
+    long_ = long_.join(counts, ["a", "na", "b", "nb"], "left").withColumn("m", F.col("more") + F.coalesce("m", F.lit(0))).where(F.col("m") >= need).select("a", "b")
+    rest = scratch.keep(rest.union(long_).distinct(), "rest")
     if not rest.isEmpty():
         late = scratch.keep(verified(rest, docs, sig, k, pct), "late")
         if not late.isEmpty():

@@ -51,6 +51,8 @@ BUCKET_ENTRIES = 1_000_000
 LIGHT_MOST = 12
 #: Candidate sets that are sent to the tasks instead of being joined by shuffle.
 SENT_MOST = 300_000
+#: Sets of a family's block.
+FAMILY_BLOCK = 700
 #: Members of a leader that one verifying task compares.
 VERIFY_GROUP = 1_000
 
@@ -335,6 +337,80 @@ def verified(pairs: DataFrame, docs: DataFrame, sig: DataFrame, k: int, pct: int
     return dealt.mapInArrow(compare, "a long, b long")
 
 
+def family_blocks(stands: DataFrame, scratch: C.Scratch) -> DataFrame:
+    """fp, label, family, lo, hi, side: the sets of families with several components, by pair of blocks."""
+    lead = stands.groupBy("list").agg(F.min("a").alias("lead"))
+    edges = stands.join(lead, "list").select(F.col("lead").alias("u"), F.col("a").alias("v")).distinct()
+    family = scratch.keep(components(edges, scratch, "family"), "families")
+    sets = stands.select(F.col("a").alias("fp"), F.col("la").alias("label")).distinct().join(family.select(F.col("node").alias("fp"), F.col("component").alias("family")), "fp")
+    size = sets.groupBy("family", "label").agg(F.count("*").alias("n"))
+    large = F.col("n") >= FAMILY_BLOCK
+    shape = size.groupBy("family").agg(F.count("*").alias("labels"), F.sum(F.when(large, 0).otherwise(F.col("n"))).alias("mixed")).where("labels > 1")
+    s = sets.join(size, ["family", "label"]).join(shape, "family")
+    parts = F.ceil(F.when(large, F.col("n")).otherwise(F.col("mixed")) / FAMILY_BLOCK)
+    s = s.withColumn("own", F.when(large, F.col("label"))).withColumn("part", F.pmod(F.xxhash64("fp"), parts))
+    s = scratch.keep(s.withColumn("block", F.xxhash64("family", F.coalesce("own", F.lit(0)), F.col("own").isNull(), "part")).select("fp", "label", "family", "own", "block"), "blocks")
+    b = s.select("family", "own", "block").distinct()
+    o = b.select("family", F.col("own").alias("own2"), F.col("block").alias("block2"))
+    pairs = b.join(o, "family").where("block <= block2 and (own is null or own2 is null or own <> own2)").select(F.col("block").alias("lo"), F.col("block2").alias("hi"))
+    sides = pairs.select("lo", "hi", F.lit(0).alias("side"), F.col("lo").alias("block")).union(pairs.where("lo <> hi").select("lo", "hi", F.lit(1).alias("side"), F.col("hi").alias("block")))
+    return sides.join(s.select("fp", "label", "block"), "block").select("fp", "label", "lo", "hi", "side")
+
+
+def _overlaps(tok: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
+    """(n, n) sizes of the intersections of n sets."""
+    order = np.argsort(tok, kind="stable")
+    tok, row = tok[order], row[order]
+    at = np.flatnonzero(np.concatenate(([True], tok[1:] != tok[:-1], [True])))
+    size = np.diff(at)
+    out = np.zeros((n, n), np.float32)
+    for m in range(2, 9):  # rare members pair by pair
+        first = at[:-1][size == m]
+        if len(first):
+            i, j = np.triu_indices(m, 1)
+            key, k = np.unique((row[first[:, None] + i] * n + row[first[:, None] + j]).ravel(), return_counts=True)
+            out.ravel()[key] += k
+    out += out.T
+    common = np.flatnonzero(size > 8)
+    for c in range(0, len(common), 2000):
+        x = np.zeros((n, min(2000, len(common) - c)), np.float32)
+        for k, i in enumerate(common[c : c + 2000]):
+            x[row[at[i] : at[i + 1]], k] = 1
+        out += x @ x.T
+    return out
+
+
+def family_links(blocks: DataFrame, docs: DataFrame, sig: DataFrame, k: int, pct: int) -> DataFrame:
+    """(a, b): stars that span the links in each pair of blocks."""
+    ids = sig.join(blocks.select("fp").distinct(), "fp", "left_semi").groupBy("fp").agg(F.min("doc_id").alias("doc_id"))
+    if ids.count() <= SENT_MOST:
+        ids = F.broadcast(ids)
+    texts = docs.select("doc_id", "text").join(ids, "doc_id")
+
+    def sets(batches):
+        for part, row, tok, at, n, fp in _sets(batches, k):
+            mine = np.flatnonzero(fp == C.long_column(part, "fp"))
+            yield pa.RecordBatch.from_arrays([pa.array(fp[mine]), pa.array([tok[at[i] : at[i + 1]].tobytes() for i in mine], pa.binary())], ["fp", "data"])
+
+    def compare(t: pa.Table) -> pa.Table:
+        fp, label, side = (t.column(c).to_numpy() for c in ("fp", "label", "side"))
+        data = t.column("data").to_pylist()
+        size = np.array([len(d) // 8 for d in data], np.float32)
+        same = _overlaps(np.concatenate([np.frombuffer(d, np.uint64) for d in data]), np.repeat(np.arange(len(fp)), size.astype(np.int64)), len(fp))
+        link = 100 * same >= pct * (size[:, None] + size - same)
+        link |= label[:, None] == label
+        low = np.arange(len(fp))
+        while True:
+            new = np.where(link, low, len(fp)).min(axis=1)
+            new = np.minimum(low, np.minimum(new, new[new]))
+            if (new == low).all():
+                return pa.table({"a": fp[low], "b": fp})
+            low = new
+
+    met = blocks.join(texts.mapInArrow(sets, "fp long, data binary"), "fp")
+    return met.groupBy("lo", "hi").applyInArrow(compare, "a long, b long").where("a <> b")
+
+
 def jaccard_components(docs: DataFrame, k: int = 5, pct: int = 75) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
@@ -370,21 +446,15 @@ def jaccard_components(docs: DataFrame, k: int = 5, pct: int = 75) -> DataFrame:
     rest = labelled(labelled(cand.select("a", "b"), "a", "la"), "b", "lb").where("la <> lb").select("a", "b")
     stands = labelled(lists.where("kind = 3").select(F.col("a"), F.col("na"), F.col("b").alias("list")).distinct(), "a", "la")
     stands = scratch.keep(stands, "stands")
-    most = stands.groupBy("list", "la").agg(F.count("*").alias("n")).groupBy("list").agg(F.max_by("la", F.struct("n", "la")).alias("major"), F.count("*").alias("labels")).where("labels > 1")
-    mixed = stands.join(most, "list")
-    other = mixed.where("la <> major").select("list", F.col("a").alias("x"), F.col("na").alias("nx"), F.col("la").alias("lx"))
-    cross = mixed.join(other, "list").where(f"la <> lx and (la = major or a < x) and 100 * least(na, nx) >= {pct} * greatest(na, nx)")
-    swap = F.col("a") > F.col("x")
-    ends = [F.when(swap, p).otherwise(q).alias(n) for n, p, q in (("a", F.col("x"), F.col("a")), ("na", F.col("nx"), F.col("na")), ("b", F.col("a"), F.col("x")), ("nb", F.col("na"), F.col("nx")))]
-    # Each shared prefix token stands in a short list, counted there, or in a long one, counted here.
-    long_ = cross.select(*ends).groupBy("a", "na", "b", "nb").agg(F.count("*").alias("more"))
-    long_ = long_.join(counts, ["a", "na", "b", "nb"], "left").withColumn("m", F.col("more") + F.coalesce("m", F.lit(0))).where(F.col("m") >= need).select("a", "b")
-    rest = scratch.keep(rest.union(long_).distinct(), "rest")
-    if not rest.isEmpty():
-        late = scratch.keep(verified(rest, docs, sig, k, pct), "late")
-        if not late.isEmpty():
-            star = label.select(F.col("node").alias("a"), F.col("component").alias("b"))
-            label = scratch.keep(components(star.union(late), scratch, "second"), "label2")
+    rest = scratch.keep(rest.distinct(), "rest")
+    late = verified(rest, docs, sig, k, pct)
+    if not stands.isEmpty():
+        blocks = scratch.keep(family_blocks(stands, scratch), "pairs")
+        late = late.union(family_links(blocks, docs, sig, k, pct))
+    late = scratch.keep(late, "late")
+    if not late.isEmpty():
+        star = label.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        label = scratch.keep(components(star.union(late), scratch, "second"), "label2")
     own = sig.where("n_shingles > 0").groupBy("fp").agg(F.min("doc_id").alias("low"))
     ids = own.join(label.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     low = ids.groupBy("component").agg(F.min("low").alias("component_id"))

@@ -1,0 +1 @@
+"""Scenario mining over multi-actor time series, as DataFrame plans."""

@@ -1,4 +1,592 @@
-"""Registered queries of the scenario engine and their DuckDB equivalents."""
+"""Registered queries of the scenario engine over the trajectory table, and their DuckDB equivalents.
 
-QUERIES = {}
-ORACLE_SQL = {}
+Each entry applies one operator to whole tables. Names start with the operator's number in the blueprint.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .functions import intervals as I
+from .functions import series as S
+from .operators import binding as B
+from .operators import predicates as P
+from .operators import results as R
+from .operators import stats as A
+from .operators import windows as W
+from .plans import dsl, matcher
+from .sources.traj import PAIRS_SQL, TRAJ_SQL, traj
+
+QUERIES: dict = {}
+ORACLE_SQL: dict[str, str] = {}
+KEYS = ["scene_id", "actor_id"]
+PAIR = ["scene_id", "ego", "npc"]
+_T, _P = f"with {TRAJ_SQL}", f"with {TRAJ_SQL}, {PAIRS_SQL}"
+
+
+def query(sql: str | None, pairs: bool = False):
+    """Registers a function of the trajectory table (spark, its frames), or of its pairs, under its name."""
+
+    def put(f):
+        def run(spark, sf_dir):
+            t = traj(spark, sf_dir)
+            return f(S.pairs(t) if pairs else t)
+
+        QUERIES[f.__name__] = run
+        if sql is not None:
+            ORACLE_SQL[f.__name__] = (_P if pairs else _T) + sql
+        return f
+
+    return put
+
+
+# ---- fixtures ------------------------------------------------------------------------------
+
+
+@query(" select * from traj")
+def fix_traj(t):
+    return t
+
+
+@query(" select scene_id, t, ego, npc, ds, dt, rel_distance2, lat_rel, rel_position from pairs", pairs=True)
+def ser6_ser20_pairs(p):
+    return p.select("scene_id", "t", "ego", "npc", "ds", "dt", "rel_distance2", "lat_rel", "rel_position")
+
+
+# ---- series --------------------------------------------------------------------------------
+
+
+@query(" select scene_id, actor_id, max(t) + 1 as frames from traj group by all")
+def ser1_frames(t):
+    return t.groupBy(*KEYS).agg((F.max("t") + 1).alias("frames"))
+
+
+@query(""" , a as (select scene_id, actor_id, list(speed order by t) as v from traj group by all)
+ select scene_id, actor_id, cast(i as int) as i, case when i < len(v) then v[i + 1] end as speed from a, unnest(range(0, 91)) r(i)""")
+def ser2_pad(t):
+    a = t.groupBy(*KEYS).agg(F.transform(F.sort_array(F.collect_list(F.struct("t", "speed"))), lambda x: x["speed"]).alias("v"))
+    return a.select(*KEYS, F.posexplode(S.pad(F.col("v"), F.lit(91))).alias("i", "speed"))
+
+
+@query(" select scene_id, actor_id, t, s is not null as by_s, coalesce(round_even(lane_id, 0) <> 0, false) as by_lane from traj")
+def ser3_ser4_presence(t):
+    return t.select(*KEYS, "t", S.position_presence().alias("by_s"), S.lane_presence().alias("by_lane"))
+
+
+@query(""" select scene_id, actor_id, t, case when a is null and c is null then null when a is null then (c - speed) / 1.0 when c is null then (speed - a) / 1.0 else (c - a) / 2.0 end as accel
+ from (select *, lag(speed) over w as a, lead(speed) over w as c from traj window w as (partition by actor_id order by t))""")
+def ser5_accel(t):
+    return t.select(*KEYS, "t", S.central_difference("speed").alias("accel"))
+
+
+@query(""" select scene_id, actor_id, t, cast(lead(s) over w - 2 * s + lag(s) over w as double) as s_ddot, cast(s - lag(s) over w as double) as s_back, cast(t_lat - lag(t_lat) over w as double) as t_dot
+ from traj window w as (partition by actor_id order by t)""")
+def ser12_ser15_ser16_differences(t):
+    return t.select(*KEYS, "t", S.second_difference("s").alias("s_ddot"), S.backward_difference("s").alias("s_back"), S.backward_difference("t_lat").alias("t_dot"))
+
+
+@query(""" , a as (select *, speed - lag(speed) over (partition by actor_id order by t) as accel from traj)
+ select scene_id, actor_id, t, case when present and lag(present) over w then cast(accel - lag(accel) over w as double) end as jerk from a window w as (partition by actor_id order by t)""")
+def ser17_jerk(t):
+    a = t.withColumn("accel", F.col("speed") - F.lag("speed").over(S.along()))
+    return a.select(*KEYS, "t", S.jerk().cast("double").alias("jerk"))
+
+
+@query(" select scene_id, t, ego, npc, ego_s - npc_s as gap, case when abs(ego_speed) >= 1000 then abs(ds) / cast(abs(ego_speed) as double) end as headway from pairs", pairs=True)
+def ser18_gap_headway(p):
+    return p.select("scene_id", "t", "ego", "npc", (F.col("ego_s") - F.col("npc_s")).alias("gap"), S.headway(F.col("ds"), F.col("ego_speed").cast("double"), 1000).alias("headway"))
+
+
+@query(""" , y as (select *, t_lat / 10.0 as yaw from traj), w as (select *, yaw + pi() - floor((yaw + pi()) / (2 * pi())) * 2 * pi() - pi() as d from y)
+ select scene_id, actor_id, t, round(d, 6) as yaw_delta, round(least(abs(d), pi() - abs(d)), 6) as to_parallel, round(abs(abs(d) - pi() / 2), 6) as to_perpendicular from w""")
+def ser13_ser19_angles(t):
+    y = F.col("t_lat") / 10.0
+    return t.select(*KEYS, "t", F.round(S.wrap_angle(y), 6).alias("yaw_delta"), F.round(S.yaw_to_parallel(y), 6).alias("to_parallel"), F.round(S.yaw_to_perpendicular(y), 6).alias("to_perpendicular"))
+
+
+@query(""" select scene_id, t, ego, npc, case when ds > 0 then 'front' when ds < 0 then 'back' else 'unknown' end as rel, cast(greatest(ds, 0) as double) as dist,
+ case when dt = 0 then null when ds < 0 then 0.0 when ds > 5000 then cast('Infinity' as double) else cast(ds as double) end as ttc from pairs""", pairs=True)
+def ser7_ser9_clean(p):
+    raw = F.when(F.col("ds") > 0, "front").when(F.col("ds") < 0, "back").otherwise("beside")
+    d = F.when(F.col("dt") != 0, F.col("ds").cast("double"))
+    return p.select("scene_id", "t", "ego", "npc", S.clean_relation(raw).alias("rel"), S.clean_distance(F.col("ds")).cast("double").alias("dist"), S.clean_ttc(F.col("ds"), d, 5000).alias("ttc"))
+
+
+@query(""" select scene_id, actor_id, actor_type, count(*) filter (where present) as n_frames from traj where lane_id = -1 group by all having count(*) filter (where present) >= 5""")
+def ser21_condensed(t):
+    return t.where("lane_id = -1").groupBy(*KEYS, "actor_type").agg(F.count_if("present").alias("n_frames")).where("n_frames >= 5")
+
+
+@query(" select actor_type, count(distinct actor_id) as actors from traj group by 1")
+def ser22_type_counts(t):
+    return t.groupBy("actor_type").agg(F.countDistinct("actor_id").alias("actors"))
+
+
+@query(" select scene_id, actor_id, t, speed from traj where present")
+def ser23_sparse_round_trip(t):
+    v = t.withColumn("speed", F.when(F.col("present"), F.col("speed")))
+    return S.decode_sparse(S.encode_sparse(v, KEYS, "speed"), KEYS, "speed")
+
+
+@query(""" , g as (select scene_id, actor_id, t, speed, t - row_number() over (partition by actor_id order by t) as g from traj where present)
+ select scene_id, actor_id, count(distinct g) as n_runs, count(*) as n_values, sum(speed) as total from g group by all""")
+def ser23_sparse_encode(t):
+    e = S.encode_sparse(t.withColumn("speed", F.when(F.col("present"), F.col("speed"))), KEYS, "speed")
+    return e.select(*KEYS, F.size("intervals").cast("long").alias("n_runs"), F.size("data").cast("long").alias("n_values"), F.aggregate("data", F.lit(0).cast("long"), lambda a, x: a + x).alias("total"))
+
+
+@query(""" , d as (select *, s - lag(s) over (partition by actor_id order by t) as ds from traj)
+ select actor_type, count(*) as n, count(*) filter (where ds <> speed) as s_mismatch, count(*) filter (where speed < 0 or speed > 100000) as out_of_bounds, max(abs(ds - speed)) as worst from d group by 1""")
+def ser24_sanity(t):
+    d = t.withColumn("ds", F.col("s") - F.lag("s").over(S.along()))
+    return d.groupBy("actor_type").agg(F.count("*").alias("n"), F.count_if(F.expr("ds <> speed")).alias("s_mismatch"), F.count_if(F.expr("speed < 0 or speed > 100000")).alias("out_of_bounds"), F.max(F.abs(F.col("ds") - F.col("speed"))).alias("worst"))
+
+
+# ---- interval algebra ----------------------------------------------------------------------
+
+_ISL = """(select scene_id, actor_id, min(t) as t0, max(t) as t1 from (select scene_id, actor_id, t, t - row_number() over (partition by actor_id order by t) as g from traj where {}) group by scene_id, actor_id, g)"""
+
+
+@query(" select * from " + _ISL.format("present"))
+def win11_islands(t):
+    return I.islands(t.where("present"), KEYS)
+
+
+@query(""" , i as """ + _ISL.format("present") + """, m as (select *, max(t1) over (partition by actor_id order by t0, t1 rows between unbounded preceding and 1 preceding) as b from i),
+ g as (select *, sum(case when t0 <= b + 4 then 0 else 1 end) over (partition by actor_id order by t0, t1) as g from m) select scene_id, actor_id, min(t0) as t0, max(t1) as t1 from g group by scene_id, actor_id, g""")
+def win12_coalesce_gap(t):
+    return I.coalesce_intervals(I.islands(t.where("present"), KEYS), KEYS, 3)
+
+
+@query(" select scene_id, actor_id, t from traj where present")
+def win11_interval_frames(t):
+    return I.interval_frames(I.islands(t.where("present"), KEYS), KEYS)
+
+
+@query(" select * from " + _ISL.format("lane_id = -1 or not present"))
+def win12_union_masks(t):
+    return I.union_masks(t.where("lane_id = -1"), t.where("not present"), KEYS)
+
+
+@query(" select * from " + _ISL.format("lane_id = -1 and present") + " where t1 - t0 >= 2")
+def win12_intersect_min_run(t):
+    return I.min_run(I.intersect_masks(t.where("lane_id = -1"), t.where("present"), KEYS), 3)
+
+
+@query(" select scene_id, actor_id, t, min(case when not present then t end) over w as next_absent, coalesce(min(case when not present then t end) over w - 1, max(t) over (partition by actor_id)) as run_end from traj window w as (partition by actor_id order by t rows between current row and unbounded following)")
+def blk1_next_true(t):
+    return t.select(*KEYS, "t", I.next_true(~F.col("present"), KEYS).alias("next_absent"), I.run_end(F.col("present"), KEYS).alias("run_end"))
+
+
+@query(" select scene_id, actor_id, t, coalesce(bool_or(lane_id = -1 and present) over (partition by actor_id order by t range between 2 preceding and 2 following), false) as near from traj")
+def win2_dilate(t):
+    return t.select(*KEYS, "t", I.dilate((F.col("lane_id") == -1) & F.col("present"), KEYS, 2).alias("near"))
+
+
+@query(" , i as " + _ISL.format("present") + " select scene_id, actor_id, cast(sum((select count(*) from range(0, 100) a(x), range(0, 100) b(y) where a.x <= b.y and b.y - a.x + 1 between 3 and 8 and b.y <= i.t1 - i.t0)) as bigint) as n_possible from i group by all")
+def agg15_possible_windows(t):
+    return A.windows_in_runs(t.where("present"), KEYS, 3, 8)
+
+
+# ---- predicates over windows ---------------------------------------------------------------
+
+_WIN = """ , win as (select a.scene_id, a.actor_id, a.t as t0, b.t as t1 from traj a join traj b on a.actor_id = b.actor_id and b.t = a.t + 7 where a.t % 4 = 0),
+ fr as (select w.scene_id, w.actor_id, w.t0, w.t1, f.t, f.present, f.speed, f.s, f.lane_id, f.t_lat, a.speed as v0, a.lane_id as l0, a.s as s0, b.speed as v1, b.lane_id as l1, b.s as s1, a.present as p0, b.present as p1, a.t_lat as k0, b.t_lat as k1
+        from win w join traj f on f.actor_id = w.actor_id and f.t between w.t0 and w.t1 join traj a on a.actor_id = w.actor_id and a.t = w.t0 join traj b on b.actor_id = w.actor_id and b.t = w.t1)
+ select scene_id, actor_id, t0, t1, coalesce({}, false) as ok from fr group by scene_id, actor_id, t0, t1"""
+
+
+def _windows(t: DataFrame) -> DataFrame:
+    a = t.select(*KEYS, F.col("t").alias("t0")).where("t0 % 4 = 0")
+    b = t.select(*KEYS, F.col("t").alias("t1"))
+    return a.join(b, KEYS).where("t1 = t0 + 7")
+
+
+def predicate(name: str, cond: str, make, prepare=lambda t: t):
+    def run(spark, sf_dir):
+        t = prepare(traj(spark, sf_dir))
+        p = make()
+        return P.evaluate(t, _windows(t), KEYS, [p]).withColumnRenamed(p.name, "ok")
+
+    QUERIES[name] = run
+    ORACLE_SQL[name] = _T + _WIN.format(cond)
+
+
+_AT0, _AT1 = "any_value({}) filter (where t = t0)", "any_value({}) filter (where t = t1)"
+predicate("prd1_presence", "count(*) filter (where present) >= 0.9 * count(*) or count(*) filter (where not present) <= 0", P.presence)
+predicate("prd2_speed_always", "count(*) filter (where present and not (speed between 200 and 40000)) <= 1 and count(*) filter (where present) > 0", lambda: P.in_range_always("speed", 200, 40000, max_false=1))
+predicate("prd2_speed_share", "count(*) filter (where speed between 500 and 20000) >= 0.5 * count(*)", lambda: P.in_range_share("speed", 500, 20000, 0.5))
+predicate("prd2_speed_start", "any_value(v0) between 500 and 20000", lambda: P.value_at("speed", 500, 20000, "start"))
+predicate("prd6_lane_end", "any_value(l1) = -1", lambda: P.value_at("lane_id", -1, -1, "end"))
+predicate("prd9_change_lane", "any_value(p0 and p1 and l0 <> l1 and (l1 = case when l0 = -1 then 1 else l0 + 1 end or l1 = l0 - 1) and abs(k1 - k0) >= 20)", lambda: P.lane_change(1, None, 20))
+predicate("prd10_change_lane_left", "any_value(p0 and p1 and l0 = -2 and l1 = -1)", lambda: P.lane_change(1, "left"))
+predicate("prd10_change_lane_target", "any_value(p0 and p1 and l0 <> l1 and l1 = -2)", lambda: P.lane_change(target=-2))
+predicate("prd12_change_speed", "any_value(v1 - v0) between 1000 and 30000", lambda: P.change("speed", 1000, 30000))
+predicate("prd13_mean_speed", "sum(speed) >= 5000 * count(*) and sum(speed) <= 15000 * count(*)", lambda: P.mean_in_range("speed", 5000, 15000))
+predicate("prd20_assign_speed", "any_value(v1) between 990 and 9010", lambda: P.value_at("speed", *P.bounds(5000, None, 4010), "end"))
+predicate("prd18_assign_position", "any_value(abs(s1 - 50000) <= 20000 and abs(k1 - 50) <= 30)", lambda: P.assign_position(50000, 50, 20000, 30))
+predicate("prd21_stationary", "count(*) filter (where present and abs(speed) > 20000) = 0 and count(*) filter (where present) > 0", lambda: P.stationary(20000))
+predicate("prd22_keep_speed", "bool_and(abs(speed - v0) <= 15000)", lambda: P.keep("speed", 15000))
+predicate("prd25_keep_lane", "bool_and(present and lane_id = l0)", P.keep_lane)
+predicate("prd25_follow_lane", "bool_and(present and lane_id = -2)", lambda: P.keep_lane(-2))
+predicate("prd24_keep_acceleration", "bool_and(coalesce(abs(t_lat - k0) <= 60, false))", lambda: P.keep("t_lat", 60))
+
+_PWIN = """ , win as (select a.scene_id, a.ego, a.npc, a.t as t0, b.t as t1 from pairs a join pairs b on a.ego = b.ego and a.npc = b.npc and b.t = a.t + 5 where a.t % 6 = 0),
+ fr as (select w.scene_id, w.ego, w.npc, w.t0, w.t1, f.t, f.ds, f.dt, f.lat_rel, f.rel_position, f.ego_speed, f.npc_speed, f.ego_present, f.npc_present, f.ego_lane_id, f.npc_lane_id,
+               a.ds as ds0, a.dt as dt0, a.rel_position as rp0, a.lat_rel as lr0, a.ego_speed as ev0, a.npc_speed as nv0, a.ego_lane_id as el0, a.npc_lane_id as nl0,
+               b.ds as ds1, b.dt as dt1, b.rel_position as rp1, b.lat_rel as lr1, b.ego_speed as ev1
+        from win w join pairs f on f.ego = w.ego and f.npc = w.npc and f.t between w.t0 and w.t1 join pairs a on a.ego = w.ego and a.npc = w.npc and a.t = w.t0 join pairs b on b.ego = w.ego and b.npc = w.npc and b.t = w.t1)
+ select scene_id, ego, npc, t0, t1, coalesce({}, false) as ok from fr group by scene_id, ego, npc, t0, t1"""
+
+
+def pair_predicate(name: str, cond: str, make, prepare=lambda p: p):
+    def run(spark, sf_dir):
+        f = prepare(S.pairs(traj(spark, sf_dir)))
+        a = f.select(*PAIR, F.col("t").alias("t0")).where("t0 % 6 = 0")
+        w = a.join(f.select(*PAIR, F.col("t").alias("t1")), PAIR).where("t1 = t0 + 5")
+        p = make()
+        return P.evaluate(f, w, PAIR, [p]).withColumnRenamed(p.name, "ok")
+
+    QUERIES[name] = run
+    ORACLE_SQL[name] = _P + _PWIN.format(cond)
+
+
+pair_predicate("prd3_same_speed", "any_value(abs(ev0 - nv0) <= 3000)", lambda: P.same_speed(3000))
+pair_predicate("prd4_position_ahead", "any_value(-ds0 > 50 and -ds0 between 1000 and 60000)", lambda: P.position("ahead", 1000, 60000))
+pair_predicate("prd4_position_behind_end", "any_value(ds1 > 50 and ds1 between 1000 and 60000)", lambda: P.position("behind", 1000, 60000, at="end"))
+pair_predicate("prd5_lateral", "any_value(lr0 = 'left' and abs(dt0) between 10 and 60)", lambda: P.lateral("left", 10, 60))
+pair_predicate("prd7_same_lane", "any_value(el0 = nl0)", P.same_lane)
+pair_predicate("prd16_change_gap", "any_value(rp1 = 'front' and ds1 between 1000 - 200 and 40000 + 200)", lambda: P.change_gap("ahead", 1000, 40000))
+pair_predicate("prd16_change_gap_left", "any_value(lr1 = 'left' and abs(dt1) between 20 - 200 and 60 + 200)", lambda: P.change_gap("left", 20, 60))
+pair_predicate("prd17_keep_gap", "bool_and(abs(abs(ds) - abs(ds0)) <= 20000 and (ds * ds0 > 0 or (abs(ds) <= 20000 and abs(ds0) <= 20000) or ds = 0 or ds0 = 0) and rel_position = rp0)", lambda: P.keep_gap(20000))
+pair_predicate("prd26_change_headway", "any_value(rp1 = 'front' and abs(ev1) >= 100 and abs(ds1) / cast(abs(ev1) as double) between 1.0 - 0.25 and 8.0 + 0.25)", lambda: P.change_headway(1.0, 8.0, "ahead", "ego_speed", 100, 0.25))
+pair_predicate("prd27_keep_headway", "bool_and(coalesce(abs(ego_speed) >= 100 and abs(ev0) >= 100 and abs(abs(ds) / cast(abs(ego_speed) as double) - abs(ds0) / cast(abs(ev0) as double)) <= 20 and sign(ds) = sign(ds0), false))", lambda: P.keep_headway(20, "ego_speed", 100))
+pair_predicate("prd28_until", "bool_or(ego_present and npc_present and abs(ds) < 3000)", lambda: P.until_below("gap", 3000), lambda p: p.withColumn("gap", F.abs("ds")))
+
+
+# ---- binding -------------------------------------------------------------------------------
+
+_RUNS = """(select scene_id, actor_id from (select scene_id, actor_id, count(*) as n from (select scene_id, actor_id, t, t - row_number() over (partition by actor_id order by t) as g from traj where present and actor_type = '{}' and abs(lane_id) <= 3) group by scene_id, actor_id, g) group by all having max(n) >= {})"""
+_OVER = """over_ as (select scene_id, ego as a, npc as b, max(n) as run from (select scene_id, ego, npc, g, count(*) as n from
+ (select scene_id, ego, npc, t - row_number() over (partition by ego, npc order by t) as g from pairs where ego_present and npc_present) group by all) group by all having max(n) >= {})"""
+
+
+@query(" select * from " + _RUNS.format("vehicle", 8))
+def jn2_jn3_domain(t):
+    return B.domain(t, "car", 8)
+
+
+@query(" , " + _OVER.format(6) + " select * from over_", pairs=True)
+def jn4_overlaps(p):
+    a = p.select("scene_id", F.col("ego").alias("actor_id"), "t", F.col("ego_present").alias("present")).distinct()
+    return B.overlaps(a, 6)
+
+
+def jn5_bindings(spark, sf_dir):
+    t = traj(spark, sf_dir)
+    d = {"ego": B.domain(t, "vehicle", 6), "npc": B.domain(t, "vehicle", 6), "walker": B.domain(t, "pedestrian", 6)}
+    return B.bindings(d, t, 6, "ego")
+
+
+QUERIES["jn5_bindings"] = jn5_bindings
+ORACLE_SQL["jn5_bindings"] = _P + " , " + _OVER.format(6) + f""" , v as {_RUNS.format('vehicle', 6)}, w as {_RUNS.format('person', 6)}
+ select e.scene_id, e.actor_id as ego, n.actor_id as npc, w.actor_id as walker from v e join v n on e.scene_id = n.scene_id and e.actor_id <> n.actor_id join w on w.scene_id = e.scene_id
+ where exists (from over_ o where o.a = e.actor_id and o.b = n.actor_id) and exists (from over_ o where o.a = e.actor_id and o.b = w.actor_id)"""
+
+
+@query(" select scene_id, t, ego as a, npc as b, ds from pairs where ego > npc", pairs=True)
+def jn8_symmetric_lookup(p):
+    wanted = p.where("ego > npc").select("scene_id", "t", F.col("ego").alias("a"), F.col("npc").alias("b"))
+    half = p.where("ego < npc").withColumn("ds", -F.col("ds"))
+    return B.symmetric_lookup(half, wanted, "ds")
+
+
+_CALLS = " , x as " + _ISL.format("lane_id = -1") + ", y as " + _ISL.format("speed > 10000")
+
+
+def _calls(t):
+    return I.islands(t.where("lane_id = -1"), KEYS), I.islands(t.where("speed > 10000"), KEYS)
+
+
+@query(_CALLS + " select * from x where exists (from y where y.actor_id = x.actor_id and x.t0 <= y.t1 and y.t0 <= x.t1)")
+def jn15_overlap_semi(t):
+    return B.overlapping(*_calls(t), KEYS)
+
+
+@query(_CALLS + " select x.scene_id, x.actor_id, x.t0, x.t1, y.t0 as u0, y.t1 as u1 from x join y on x.actor_id = y.actor_id and y.t0 between x.t1 + 1 and x.t1 + 4")
+def jn13_stitch(t):
+    return B.stitch(*_calls(t), KEYS, 0, 3)
+
+
+@query(_CALLS + """ , j as (select x.scene_id, x.actor_id, x.t0, y.t1 from x join y on x.actor_id = y.actor_id and y.t0 >= x.t1), m as (select *, max(t1) over (partition by actor_id order by t0, t1 rows between unbounded preceding and 1 preceding) as b from j),
+ g as (select *, sum(case when t0 <= b + 1 then 0 else 1 end) over (partition by actor_id order by t0, t1 rows between unbounded preceding and current row) as g from m) select scene_id, actor_id, min(t0) as t0, max(t1) as t1 from g group by scene_id, actor_id, g""")
+def jn14_chain(t):
+    return B.chain(*_calls(t), KEYS)
+
+
+@query(_CALLS + " select x.scene_id, x.actor_id, x.t0, x.t1 from (select scene_id, actor_id, min(struct_pack(t0 := t0, t1 := t1)) as w, min(t0) as t0, arg_min(t1, t0) as t1 from x group by scene_id, actor_id) x join (select actor_id, min(t0) as t0, arg_min(t1, t0) as t1 from y group by actor_id) y on x.actor_id = y.actor_id and x.t0 = y.t0 and x.t1 = y.t1")
+def jn11_jn12_equal_windows(t):
+    return B.equal_windows(*_calls(t), KEYS)
+
+
+@query(_CALLS + " select x.scene_id, x.actor_id, greatest(x.t0, y.t0) as lo, least(x.t1, y.t1) + 1 as hi from x join y on x.actor_id = y.actor_id where least(x.t1, y.t1) + 1 - greatest(x.t0, y.t0) >= 2")
+def jn16_run_intersections(t):
+    x, y = (i.select(*KEYS, F.col("t0").alias("lo"), (F.col("t1") + 1).alias("hi")) for i in _calls(t))
+    return B.run_intersections(x, y, KEYS, 2)
+
+
+# ---- window search -------------------------------------------------------------------------
+
+_CAND = """ , c as (select a.scene_id, a.actor_id, a.t as t0, b.t as t1 from traj a join traj b on a.actor_id = b.actor_id and b.t between a.t + 2 and a.t + 9
+ where a.lane_id = -1 and b.lane_id = -2 and not exists (from traj f where f.actor_id = a.actor_id and f.t between a.t and b.t and not f.present))"""
+
+
+def _cand(t):
+    return W.candidates(t, KEYS, "lane_id = -1", "lane_id = -2", "present", 3, 10)
+
+
+@query(_CAND + " select * from c")
+def win1_win4_candidates(t):
+    return _cand(t)
+
+
+@query(_CAND + " select scene_id, actor_id, t0, min(t1) as t1, count(*) as n_windows from c group by all")
+def win5_first_end(t):
+    return W.first_end(_cand(t), KEYS)
+
+
+@query(_CAND + " , g as (select *, t1 - row_number() over (partition by actor_id, t0 order by t1) as g from c) select scene_id, actor_id, t0, min(t1) as t1_lo, max(t1) as t1_hi from g group by scene_id, actor_id, t0, g")
+def win6_end_ranges(t):
+    return W.end_ranges(_cand(t), KEYS)
+
+
+ORACLE_GREEDY = """ , h as (select scene_id, actor_id, t0, min(t1) as t1 from c group by all), r as (
+ select scene_id, actor_id, min(t0) as t0, arg_min(t1, t0) as t1 from h group by scene_id, actor_id
+ union all select r.scene_id, r.actor_id, n.t0, n.t1 from r, lateral (select h.t0, h.t1 from h where h.actor_id = r.actor_id and h.t0 > r.t1 order by h.t0 limit 1) n) select * from r"""
+
+
+@query(None)
+def win7_greedy(t):
+    return W.greedy(W.first_end(_cand(t), KEYS), KEYS)
+
+
+ORACLE_SQL["win7_greedy"] = _T.replace("with ", "with recursive ", 1) + _CAND + ORACLE_GREEDY
+
+
+@query(""" , k as (select scene_id, actor_id, t, x.n as "check", x.h as h from traj, lateral (values ('lane', lane_id = -1), ('fast', speed > 10000)) x(n, h)),
+ r as (select *, h and not coalesce(lag(h) over (partition by actor_id, "check" order by t), false) as rise from k)
+ select scene_id, actor_id, "check", count(*) filter (where h) as true_frames, count(*) as frames, count(*) filter (where rise) as runs from r group by all""")
+def win10_check_statistics(t):
+    return W.check_statistics(t, KEYS, {"lane": "lane_id = -1", "fast": "speed > 10000"})
+
+
+_BLOCK = """ , m as (select scene_id, actor_id, t from traj where lane_id = -1 and speed > 3000), e as (select scene_id, actor_id, t from traj where present and t_lat > 30),
+ j as (select m.scene_id, m.actor_id, m.t as t0, e.t as t1 from m join e on m.actor_id = e.actor_id and e.t between m.t + 2 and m.t + 11),
+ b as (select scene_id, actor_id, t0, min(t1) as t1, count(*) as n_windows from j where t0 = (select min(k.t0) from j k where k.actor_id = j.actor_id) group by scene_id, actor_id, t0)"""
+
+
+@query(_BLOCK + """ select b.*, (select max(j.t1) from j where j.actor_id = b.actor_id and j.t0 = b.t0 and (select count(*) from j k where k.actor_id = b.actor_id and k.t0 = b.t0 and k.t1 between b.t1 and j.t1) = j.t1 - b.t1 + 1) as t1_greedy from b""")
+def blk2_blk6_block_search(t):
+    masks = t.where("lane_id = -1").select(*KEYS, "t", F.lit("a").alias("call")).union(t.where("speed > 3000").select(*KEYS, "t", F.lit("b").alias("call")))
+    ends = t.where("present").select(*KEYS, "t", F.lit("a").alias("call")).union(t.where("t_lat > 30").select(*KEYS, "t", F.lit("b").alias("call")))
+    return W.block_search(masks, ends, KEYS, 2, 3, 12)
+
+
+@query(_CALLS + " select * from x union select * from y")
+def blk8_one_of(t):
+    return W.one_of(list(_calls(t)), KEYS)
+
+
+@query(" select scene_id, actor_id, max(t) + 1 as frames, cast((select count(*) from range(0, 120) a(x), range(0, 120) b(y) where b.y < max(t) + 1 and b.y - a.x + 1 between 4 and 13) as bigint) as n_possible from traj group by all")
+def blk7_possible_by_length(t):
+    return t.groupBy(*KEYS).agg((F.max("t") + 1).alias("frames")).withColumn("n_possible", I.possible_windows(F.col("frames"), 4, 13))
+
+
+# ---- scenarios from text -------------------------------------------------------------------
+
+CUT_IN = """
+scenario top:
+    ego: vehicle
+    npc: vehicle
+    do serial:
+        cut_in: parallel(duration: [4s..13s]):
+            ego.drive() with:
+                lane(-1, at: start)
+            npc.drive() with:
+                lane(-2, at: start)
+                position([5m..5km], ahead_of: ego, at: start)
+                lane(same_as: ego, at: end)
+                position([5m..5km], ahead_of: ego, at: end)
+"""
+OVERTAKE = """
+scenario top:
+    a: vehicle
+    b: cyclist
+    do parallel(duration: [3s..8s]):
+        a.drive() with:
+            keep_lane()
+            speed([0mps..400mps])
+        b.drive() with:
+            position([1m..10km], ahead_of: a, at: start)
+            change_lane(side: left)
+"""
+UNITS_OF_TRAJ = matcher.Config(fps=1.0, scale=100.0, tol_gap=0.0)
+
+
+def run_text(text: str, frames: DataFrame) -> DataFrame:
+    p = dsl.compile_text(text)
+    if p.errors:
+        raise ValueError("; ".join(p.errors))
+    return next(iter(matcher.match(p, frames, UNITS_OF_TRAJ).values()))
+
+
+_CUT_IN = """ , a as (select * from traj where actor_type = 'vehicle'),
+pr as (select e.scene_id, e.actor_id as ego, n.actor_id as npc, e.t, e.lane_id as le, n.lane_id as ln, n.s - e.s as ds,
+              sum(case when e.present and n.present then 0 else 1 end) over (partition by e.actor_id, n.actor_id order by e.t) as bad,
+              case when e.present and n.present then 0 else 1 end as b
+       from a e join a n on e.scene_id = n.scene_id and e.t = n.t and e.actor_id <> n.actor_id),
+st as (select * from pr where le = -1 and ln = -2 and ds between 500 and 500000),
+en as (select * from pr where le = ln and ds between 500 and 500000),
+hit as (select st.scene_id, st.ego, st.npc, st.t as t0, min(en.t) as t1, count(*) as n_windows
+from st join en on st.scene_id = en.scene_id and st.ego = en.ego and st.npc = en.npc
+where en.t between st.t + 3 and st.t + 12 and en.bad = st.bad - st.b
+group by st.scene_id, st.ego, st.npc, st.t)"""
+
+
+@query(_CUT_IN + " select * from hit")
+def scenario_cut_in(t):
+    return run_text(CUT_IN, t)
+
+
+@query(""" , w as (select x.scene_id, x.actor_id as a, y.actor_id as b, x.t as t0, x2.t as t1 from traj x join traj y on x.scene_id = y.scene_id and x.t = y.t and x.actor_type = 'vehicle' and y.actor_type = 'cyclist'
+ join traj x2 on x2.actor_id = x.actor_id and x2.t between x.t + 2 and x.t + 7 join traj y2 on y2.actor_id = y.actor_id and y2.t = x2.t
+ where y.s - x.s > 50 and y.s - x.s between 100 and 1000000 and y.present and y2.present and y.lane_id = -2 and y2.lane_id = -1
+ and not exists (from traj f where f.actor_id = x.actor_id and f.t between x.t and x2.t and not (f.present and f.lane_id = x.lane_id and f.speed between 0 and 40000))
+ and not exists (from traj f where f.actor_id = y.actor_id and f.t between x.t and x2.t and not f.present))
+ select scene_id, a, b, t0, min(t1) as t1, count(*) as n_windows from w group by scene_id, a, b, t0""")
+def scenario_overtake(t):
+    return run_text(OVERTAKE, t)
+
+
+# ---- results -------------------------------------------------------------------------------
+
+
+@query(_CUT_IN + """ , h as (select *, 'start' as frame, t0 as t from hit union all select *, 'end', t1 from hit), r as (select *, 'ego' as role, ego as actor_id from h union all select *, 'npc', npc from h)
+ select r.scene_id, r.t0, r.t1, r.frame, r.t, r.role, r.actor_id, f.speed, f.s, f.lane_id from r left join traj f on f.actor_id = r.actor_id and f.t = r.t""")
+def res2_actor_frames(t):
+    h = R.hit_rows(run_text(CUT_IN, t), ["ego", "npc"])
+    return R.actor_frames(h, t, ["ego", "npc"], ["speed", "s", "lane_id"]).drop("hit_id").select("scene_id", "t0", "t1", "frame", "t", "role", "actor_id", "speed", "s", "lane_id")
+
+
+@query(_CUT_IN + f""", {PAIRS_SQL}, h as (select *, 'start' as frame, t0 as t from hit union all select *, 'end', t1 from hit), r as (select *, 'ego' as role_a, 'npc' as role_b, ego as actor_a, npc as actor_b from h union all select *, 'npc', 'ego', npc, ego from h)
+ select r.scene_id, r.t0, r.t1, r.frame, r.t, r.role_a, r.role_b, r.actor_a, r.actor_b, p.rel_distance2, p.lat_rel, p.rel_position from r left join pairs p on p.ego = r.actor_a and p.npc = r.actor_b and p.t = r.t""")
+def res3_pair_frames(t):
+    h = R.hit_rows(run_text(CUT_IN, t), ["ego", "npc"])
+    return R.pair_frames(h, S.pairs(t), ["ego", "npc"], ["rel_distance2", "lat_rel", "rel_position"]).select("scene_id", "t0", "t1", "frame", "t", "role_a", "role_b", "actor_a", "actor_b", "rel_distance2", "lat_rel", "rel_position")
+
+
+@query(_CUT_IN + " select h.scene_id, h.t0, h.t1, h.npc, f.t, f.speed from hit h join traj f on f.actor_id = h.npc and f.t between h.t0 and h.t1")
+def res5_series(t):
+    return R.hit_series(R.hit_rows(run_text(CUT_IN, t), ["ego", "npc"]), t, "npc", ["speed"]).select("scene_id", "t0", "t1", "npc", "t", "speed")
+
+
+# ---- statistics ----------------------------------------------------------------------------
+
+
+@query(_CUT_IN + " select scene_id, count(*) as bindings_with_hits, cast(sum(n_windows) as bigint) as hit_windows from hit group by 1")
+def agg1_block_counters(t):
+    return A.block_counters(run_text(CUT_IN, t), ["scene_id"])
+
+
+@query(""" , c as (select actor_type, count(*) filter (where present) as hit_windows, count(*) as possible_windows_cond, count(*) * 2 as possible_windows_uncond, count(distinct actor_id) filter (where speed > 40000) as bindings_with_hits, count(distinct actor_id) * 0 as bindings from traj group by 1)
+ select *, hit_windows / cast(possible_windows_cond as double) as p_win_cond, hit_windows / cast(possible_windows_uncond as double) as p_win_uncond, 0.0::double as p_binding from c""")
+def agg3_probabilities(t):
+    c = t.groupBy("actor_type").agg(F.count_if("present").alias("hit_windows"), F.count("*").alias("possible_windows_cond"), (F.count("*") * 2).alias("possible_windows_uncond"), F.countDistinct(F.when(F.col("speed") > 40000, F.col("actor_id"))).alias("bindings_with_hits"), (F.countDistinct("actor_id") * 0).alias("bindings"))
+    return A.probabilities(c)
+
+
+@query(" select actor_type, coalesce(case when t_lat < 30 then 'low' when t_lat < 60 then 'mid' end, 'invalid') as category, count(*) as n from traj group by all")
+def agg6_agg8_value_counts(t):
+    return A.value_counts(t.withColumn("c", F.when(F.col("t_lat") < 30, "low").when(F.col("t_lat") < 60, "mid")), ["actor_type"], "c")
+
+
+@query(" select cast(case when speed >= 0 and speed < 5000 then 0 when speed >= 5000 and speed < 10000 then 1 when speed >= 10000 and speed < 20000 then 2 else -1 end as int) as bin, count(*) as n from traj group by 1")
+def agg7_histogram(t):
+    return A.histogram(t, "speed", [0, 5000, 10000, 20000])
+
+
+@query(" , h as (select scene_id % 2 as k, case when speed < 5000 then 0 else 1 end as bin, count(*) as n from traj group by all) select bin, cast(sum(n) as bigint) as n from h group by 1")
+def agg13_merge(t):
+    b = F.when(F.col("speed") < 5000, 0).otherwise(1)
+    one, two = (t.where(f"scene_id % 2 = {k}").groupBy(b.alias("bin")).agg(F.count("*").alias("n")) for k in (0, 1))
+    return A.merge_counts(one, two, ["bin"])
+
+
+@query(" , m as (select min(speed) as lo, max(speed) as hi from traj) select cast(least(floor((cast(speed as double) - lo) * 30 / (hi - lo)), 29) as int) as bin, count(*) as n from traj, m group by 1")
+def agg9_equal_width(t):
+    return A.equal_width_histogram(t, "speed", 30)
+
+
+@query(" select actor_type, count(speed) as n, cast(sum(speed) as bigint) as total, min(speed) as low, max(speed) as high, avg(speed) as mean from traj group by 1")
+def agg11_agg12_summary(t):
+    return A.summary(t, "speed", ["actor_type"])
+
+
+@query(" , c as (select actor_type as name, actor_id, count(*) filter (where present) / cast(count(*) as double) as share from traj group by all) select name, min(share) as tightness from c group by 1 order by 2, 1 limit 2")
+def agg14_tightness(t):
+    c = t.groupBy(F.col("actor_type").alias("name"), "actor_id").agg(F.count_if("present").alias("true_frames"), F.count("*").alias("frames"))
+    return A.tightness(c, 2)
+
+
+@query(None)
+def agg16_sample(t):
+    return A.sample_windows(_cand(t), KEYS, 50)
+
+
+@query(_CUT_IN + """ , ch as (select actor_id, t, s, lane_id = -1 and lag(lane_id) over (partition by actor_id order by t) = -2 as moved from traj),
+ c as (select h.scene_id, h.ego, h.npc, h.t0, h.t1, min(ch.t) as t_cut from hit h left join ch on ch.actor_id = h.npc and ch.moved and ch.t between h.t0 and h.t1 group by all)
+ select c.scene_id, c.ego, c.npc, c.t0, c.t1, e.speed as ego_speed_start, n.speed as npc_speed_end, c.t_cut, ns.s - es.s as gap_cut from c join traj e on e.actor_id = c.ego and e.t = c.t0 join traj n on n.actor_id = c.npc and n.t = c.t1
+ left join traj ns on ns.actor_id = c.npc and ns.t = c.t_cut left join traj es on es.actor_id = c.ego and es.t = c.t_cut""")
+def agg18_cut_in(t):
+    return A.cut_in_parameters(run_text(CUT_IN, t).drop("n_windows"), t)
+
+
+@query(_CUT_IN + """ select h.scene_id, h.ego, h.npc, h.t0, h.t1, cast(sum(e.speed) filter (where e.present) as bigint) as speed_sum, count(*) filter (where e.present) as n_present,
+ min((n.s - e.s) * (n.s - e.s) + (n.t_lat - e.t_lat) * (n.t_lat - e.t_lat)) filter (where e.lane_id = n.lane_id) as least_same_lane from hit h join traj e on e.actor_id = h.ego and e.t between h.t0 and h.t1 join traj n on n.actor_id = h.npc and n.t = e.t group by h.scene_id, h.ego, h.npc, h.t0, h.t1""")
+def agg18_braking(t):
+    return A.braking_parameters(run_text(CUT_IN, t).drop("n_windows"), t)
+
+
+@query(_CUT_IN + """ , d as (select h.scene_id, h.ego, h.npc, h.t0, h.t1, abs(n.s - e.s) + abs(n.t_lat - e.t_lat) as d, e.t from hit h join traj e on e.actor_id = h.ego and e.t between h.t0 and h.t1 join traj n on n.actor_id = h.npc and n.t = e.t)
+ select scene_id, ego, npc, t0, t1, d as least, t as t_least from d qualify row_number() over (partition by ego, npc, t0, t1 order by d, t) = 1""")
+def agg18_crossing(t):
+    return A.crossing_parameters(run_text(CUT_IN, t).drop("n_windows"), t)
+
+
+@query(""" , x as (select actor_type as block, cast(scene_id as varchar) as segment_id, cast(actor_id as varchar) as roles, min(t) as t0, max(t) + 3 as t1_first, max(t) - 2 as t1_greedy, cast(80 as bigint) as T from traj where present group by all)
+ select block, segment_id, roles, greatest(0, least(t0, T - 1)) as t0, least(greatest(t1_first, t0), T - 1) as t1_first, least(greatest(t1_greedy, least(greatest(t1_first, t0), T - 1)), T - 1) as t1_greedy, T from x""")
+def agg20_snk6_examples(t):
+    x = t.where("present").groupBy(F.col("actor_type").alias("block"), F.col("scene_id").cast("string").alias("segment_id"), F.col("actor_id").cast("string").alias("roles")).agg(F.min("t").alias("t0"), (F.max("t") + 3).alias("t1_first"), (F.max("t") - 2).alias("t1_greedy"), F.lit(80).cast("long").alias("T"))
+    return A.dedupe_examples(x.union(x))
+
+
+@query(" select actor_type, count(*) as n, avg(speed) as mean_speed, stddev(speed) as sd_speed from traj where present group by 1 order by 2 desc")
+def agg21_sql(t):
+    t.createOrReplaceTempView("kinetrail_traj")
+    return t.sparkSession.sql("select actor_type, count(*) as n, avg(speed) as mean_speed, stddev(speed) as sd_speed from kinetrail_traj where present group by 1 order by 2 desc")
+
+
+@query(" select scene_id, actor_id, t, round_even(speed / 250.0, 0) * 250.0 as q from traj")
+def agg18_quantise(t):
+    return t.select(*KEYS, "t", A.quantise(F.col("speed").cast("double"), 250.0).alias("q"))
+
+
+@query(""" select l, r, case when l = 'same' and r = 'same' then -2 when l = 'opposite' and r = 'same' then -1 when l = 'same' and r is null then -2 when l = 'opposite' and r is null then -1 when l is null and r = 'same' then -1 end as target, count(*) as n
+ from (select case t % 3 when 0 then 'same' when 1 then 'opposite' end as l, case actor_id % 3 when 0 then 'same' when 1 then 'opposite' end as r from traj) group by all""")
+def geo17_reference_rule(t):
+    from .functions.geometry import reference_rule
+
+    side = lambda c: F.when(c % 3 == 0, "same").when(c % 3 == 1, "opposite")
+    x = t.select(side(F.col("t")).alias("l"), side(F.col("actor_id")).alias("r"))
+    return x.groupBy("l", "r").agg(F.count("*").alias("n")).select("l", "r", reference_rule(F.col("l"), F.col("r"))["t"].alias("target"), "n")

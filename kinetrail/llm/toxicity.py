@@ -7,7 +7,7 @@ As a filter is linear, scoring adds table rows: each embedding's product with ea
 computed once.
 
 Training (Adagrad, gradients pass through the positions of the maxima) takes a bounded sample of labelled
-rows: ``PER_LABEL`` of each label by the lowest hash of the text, ``SAMPLE_CHARS`` of each. A quarter of the
+rows: ``PER_LABEL`` of each label by the lowest hash of the id, ``SAMPLE_CHARS`` of each. A quarter of the
 sample is kept from training to calibrate: for each language, the probability that separates its labels
 best is moved to 0.3, so that a score of 0.3 is the threshold in every language. At scoring time a document's
 language is guessed from its words alone (log frequencies of hashed words in the sample's languages).
@@ -193,10 +193,12 @@ class ToxicCNN:
 
 def fit(docs: DataFrame, labels: DataFrame) -> ToxicCNN | None:
     """A classifier from the labelled rows that may be learned from."""
-    known = docs.where("text is not null").where(~C.held_out()).select("doc_id", "text", "lang").join(labels.where("toxic in (0, 1)").select("doc_id", "toxic"), "doc_id")
-    part = known.select("toxic", "lang", F.xxhash64("text").alias("h"), F.substring("text", 1, SAMPLE_CHARS).alias("part"))
-    ranked = part.withColumn("n", F.row_number().over(Window.partitionBy("toxic").orderBy("h", "part", "lang")))
-    rows = sorted(ranked.where(F.col("n") <= PER_LABEL).collect(), key=lambda r: (r.h, r.part, r.toxic, str(r.lang)))
+    known = labels.where("toxic in (0, 1) and doc_id is not null").where(~C.held_out()).select("doc_id", "toxic").distinct()
+    ranked = known.withColumn("n", F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")))
+    ids = ranked.where(F.col("n") <= PER_LABEL).select("doc_id", "toxic")  # at most 2 * PER_LABEL rows, so they may be sent
+    known = docs.where("text is not null").select("doc_id", "text", "lang").join(F.broadcast(ids), "doc_id")
+    rows = known.select("toxic", "lang", F.xxhash64("text").alias("h"), F.substring("text", 1, SAMPLE_CHARS).alias("part")).collect()
+    rows = sorted(rows, key=lambda r: (r.h, r.part, r.toxic, str(r.lang)))
     label = np.array([r.toxic for r in rows], np.int64)
     if len(set(label.tolist())) < 2:
         return None

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinetrail.llm import decontaminate, jaccard_join, language_id, line_dedup, word_bpe
-from kinetrail.llm.common import Scratch, table
+from kinetrail.llm.common import Scratch, sent, table
 
 #: A document's language needs this mean probability; with L languages, chance is 1 / L.
 LEAST_SCORE = 0.3
@@ -32,12 +32,14 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows with a null id stay; of rows that repeat an id, those whose component has it stay."""
     gone = jaccard_join.jaccard_components(docs).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    gone = Scratch(spark, "near-copies").keep(gone, "gone")
+    return docs.join(sent(gone), "doc_id", "left_anti").select(*COLUMNS)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     leaks = decontaminate.contaminations(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(leaks, "doc_id", "left_anti").select(*COLUMNS)
+    leaks = Scratch(spark, "leaks").keep(leaks, "leaks")
+    return docs.join(sent(leaks), "doc_id", "left_anti").select(*COLUMNS)
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

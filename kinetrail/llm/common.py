@@ -47,6 +47,11 @@ class Scratch:
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def sent(df: DataFrame, most: int = 500_000) -> DataFrame:
+    """A table as a side to send to all tasks if it has at most ``most`` rows, else as it is, to be joined by shuffle. df: a written table."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def held_out(doc_id: str = "doc_id"):
     """crc32 of the id as text leaves remainder 2 when divided by 4. False for a null id."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))

@@ -20,9 +20,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import common as C
+
 #: A line on more than this share of its site's pages is boilerplate.
 RATIO = 0.05
 PAGES, HOLDERS = 10, 3
+#: Boilerplate lines (8 bytes each) that are sent to all tasks; more are joined by shuffle.
+SENT_MOST = 1_000_000
 
 
 def host_of(url: str = "url"):
@@ -56,7 +60,10 @@ def boilerplate(pages: DataFrame, site: str = "source", text: str = "text", rati
 
 def drop_lines(pages: DataFrame, site: str = "source", text: str = "text", ratio: float = RATIO) -> DataFrame:
     """pages with ``text`` without its site's boilerplate lines, and n_dropped: how many lines went."""
-    gone = boilerplate(pages, site, text, ratio).groupBy(F.col("site").alias("_site")).agg(F.collect_set("line").alias("_gone"))
+    lines = C.Scratch(pages.sparkSession, "lines").keep(boilerplate(pages, site, text, ratio).select("site", "line"), "gone")
+    gone = lines.groupBy(F.col("site").alias("_site")).agg(F.collect_set("line").alias("_gone"))
+    if lines.count() <= SENT_MOST:
+        gone = F.broadcast(gone)
     met = pages.join(gone, pages[site].eqNullSafe(gone["_site"]), "left")
     lines = _lines(text)
     kept = F.filter(lines, lambda x: ~F.coalesce(F.array_contains(F.col("_gone"), _hash(x)), F.lit(False)))

@@ -57,7 +57,9 @@ def test_jaccard_empty_and_repeated(spark):
 
 def test_light_boundary_follows_cost():
     assert jaccard_join.light_boundary({3: 1000}, 0.1, 75) in range(jaccard_join.LIGHT_MOST + 1)
-    assert jaccard_join.light_boundary({12: 1000}, 0.0, 75) < 12 <= jaccard_join.light_boundary({12: 1000}, 1e6, 75)
+    # sets of 8 leave the lists once the boundary passes 8 / 0.75
+    assert jaccard_join.light_boundary({8: 1000}, 0.0, 75) == 0
+    assert jaccard_join.light_boundary({8: 1000}, 1e6, 75) >= 10
 
 
 ODD = ["", "  ", " a\x1cb", "<|endoftext|>foo<|startoftext|> bar", "I'LL don't We'RE 'S 'lx 'll're'", "ΑΣ Σ ΣΑ", "İstanbul ǅ", "é ́x", "aaaa aaaaaaaa", "123 ½²x٣", "日本語 🙂🙂 👩‍👩‍👧", "​zero nb　x\x85y", "'", "''s!'s", "x" * 3000]
@@ -203,7 +205,7 @@ def test_decontaminate(spark):
     texts = [
         f"some words in front {item} and some behind",
         item.replace("60", "75").replace("Boston", "Denver").replace("3 hours", "4 hours"),
-        item.replace("miles", "km").replace("train", "boat"),
+        item.replace("leaves", "quits").replace("meets", "sees").replace("near", "by"),
         "nothing of the kind stands in this text at all today", None, "",
     ]
     got = {r.doc_id: r for r in decontaminate.contaminations(docs_of(spark, texts), items).collect()}

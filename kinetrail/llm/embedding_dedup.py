@@ -95,8 +95,8 @@ def near_pairs(reps: DataFrame) -> DataFrame:
                     fresh, old = False, min(len(rid), NEAR)
                     rid, x = np.concatenate((rid[-NEAR:], ids[s:e])), np.concatenate((x[-NEAR:], now))
                 if fresh or head.get(key, 0) < NEAR:
-                    k = NEAR - head.get(key, 0)
-                    head[key] = head.get(key, 0) + min(k, e - s)
+                    k = min(NEAR - head.get(key, 0), e - s)
+                    head[key] = head.get(key, 0) + k
                     yield pa.RecordBatch.from_arrays(ends(2 * pid + 1, ids[s : s + k], now[:k]), names)
                 a, b = _pairs(rid, x, 0, len(rid))
                 yield pa.RecordBatch.from_arrays([pa.array([0] * len(a), pa.int32()), pa.array([key[0]] * len(a), pa.int32()), pa.array([key[1]] * len(a), pa.int32()), pa.array(a), pa.array(b), pa.array([None] * len(a), pa.list_(pa.float64()))], names)
@@ -115,7 +115,7 @@ def near_pairs(reps: DataFrame) -> DataFrame:
     scratch = C.Scratch(reps.sparkSession, "windows")
     found = scratch.keep(dealt.mapInArrow(slide, "place int, pass int, dim int, a long, b long, x array<double>"), "found")
     # A partition's last vectors (2 p + 2) and its successor's first (2 (p + 1) + 1) have the same half.
-    border = found.where("place > 0").withColumn("gap", F.expr("(place - 1 + place % 2) div 2 - case when place % 2 = 1 then 1 else 0 end + case when place % 2 = 0 then 1 else 0 end"))
+    border = found.where("place > 0").withColumn("gap", F.expr("place div 2"))
     met = border.groupBy("gap", "pass", "dim").applyInArrow(meet, "a long, b long")
     return found.where("place = 0").select("a", "b").union(met).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 

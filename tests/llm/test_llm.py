@@ -182,6 +182,16 @@ def test_embedding_dedup(spark):
     assert all(got[i].n_links == 0 and got[i].kept and got[i].component_id == i for i, _ in bad)
 
 
+def test_embedding_windows_of_few_vectors(spark):
+    """Fewer vectors of a length than a window holds, over several partitions: every link is found."""
+    rng = np.random.default_rng(5)
+    vectors = [rng.standard_normal(d) * 0.3 + np.ones(d) for d in (4, 5, 7) for _ in range(20)]
+    got = embedding_dedup.embedding_dedup(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>"))
+    unit = [v / np.linalg.norm(v) for v in vectors]
+    want = {i: sum(j != i and len(u) == len(w) and bool(u @ w >= 0.9) for j, w in enumerate(unit)) for i, u in enumerate(unit)}
+    assert {r.vec_id: r.n_links for r in got.collect()} == want
+
+
 def test_line_dedup_query(spark):
     import duckdb
 

@@ -52,6 +52,11 @@ def sent(df: DataFrame, most: int = 500_000) -> DataFrame:
     return F.broadcast(df) if df.count() <= most else df
 
 
+def low_hash(share: float) -> int:
+    """The largest signed 64-bit hash of the lowest ``share`` of all."""
+    return min(int(share * 2**64), 2**64 - 1) - 2**63
+
+
 def held_out(doc_id: str = "doc_id"):
     """crc32 of the id as text leaves remainder 2 when divided by 4. False for a null id."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))

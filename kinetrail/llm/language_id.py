@@ -3,8 +3,8 @@
 A text's UTF-8 bytes are cut into windows of ``WINDOW``; both directions run over each window from a zero
 state, every position gets language probabilities from the two states there, and a document's probabilities
 are the mean over all its positions. Training is backpropagation through time with Adam on windows of a
-bounded, balanced sample of labelled rows (``PER_LANGUAGE`` rows a language, by the lowest hash of the
-text). The sample and the weights are all that the driver holds.
+bounded, balanced sample of labelled rows (``PER_LANGUAGE`` different texts a language, those of the
+lowest hashes). The sample and the weights are all that the driver holds.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0. Rows without a language, a text
 or an id are never learned from (a null id counts as not held out). With no labelled row at all, every text
@@ -149,18 +149,30 @@ def windows_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return out, np.array([len(w) for _, w in parts]), np.array([i for i, _ in parts])
 
 
-def fit(docs: DataFrame) -> ByteGRU | None:
-    """A network from the rows of doc_id, text, lang that may be learned from."""
+def sample(docs: DataFrame) -> list:
+    """Rows (lang, h, part) to learn from, of the rows of doc_id, text, lang that may be learned from."""
     known = docs.where("text is not null and lang is not null and length(text) > 0").where(~C.held_out())
     order = F.xxhash64("text")
     part = F.substring("text", F.lit(1) + F.pmod(order, F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(1))).cast("int"), F.lit(SAMPLE_CHARS))
-    ranked = known.select("lang", order.alias("h"), part.alias("part")).withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "part")))
-    rows = sorted(ranked.where(F.col("n") <= PER_LANGUAGE).select("lang", "h", "part").collect(), key=lambda r: (r.lang, r.h, r.part))
+    known = known.select(F.col("lang").cast("string").alias("lang"), order.alias("h"), part.alias("part"))
+    # Equal texts are learned from once. Hashes below a bound hold about four samples of a language, so that
+    # neither the ranking nor a text that is copied often brings more than that to one task.
+    texts = {r.lang: r.n for r in known.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES + 1).collect()}
+    if len(texts) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages")
+    low = [(x, C.low_hash(4 * PER_LANGUAGE / n)) for x, n in texts.items()]
+    bound = docs.sparkSession.createDataFrame(low, "lang string, most long")
+    few = known.join(F.broadcast(bound), "lang").where("h <= most").groupBy("lang", "h").agg(F.min("part").alias("part"))
+    ranked = few.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
+    return sorted(ranked.where(F.col("n") <= PER_LANGUAGE).select("lang", "h", "part").collect(), key=lambda r: (r.lang, r.h, r.part))
+
+
+def fit(docs: DataFrame) -> ByteGRU | None:
+    """A network from the rows of doc_id, text, lang that may be learned from."""
+    rows = sample(docs)
     languages = sorted({r.lang for r in rows})
     if not languages:
         return None
-    if len(languages) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages")
     net = ByteGRU(languages)
     windows, sizes, text = windows_of([r.part.encode() for r in rows])
     net.train(windows, sizes, np.array([languages.index(r.lang) for r in rows])[text])

@@ -132,6 +132,14 @@ def test_language_id(spark):
     assert {r.lang_pred for r in language_id.language_id(docs_of(spark, ["abc"]).selectExpr("doc_id", "text", "cast(null as string) as lang")).collect()} == {"und"}
 
 
+def test_language_sample_holds_different_texts(spark):
+    rows = [(4 * i, "the same words again" if i % 3 else f"text {i} of its own", "en", "a", 9) for i in range(9000)]
+    rows += [(4 * i, f"eigener Text {i}", "de", "a", 9) for i in range(30)]
+    got = language_id.sample(spark.createDataFrame(rows, DOC))
+    assert [sum(r.lang == x for r in got) for x in ("en", "de")] == [language_id.PER_LANGUAGE, sum(zlib.crc32(str(4 * i).encode()) % 4 != 2 for i in range(30))]
+    assert len({(r.lang, r.part) for r in got}) == len(got)
+
+
 def test_gru_gradients():
     net = language_id.ByteGRU(["a", "b"])
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}

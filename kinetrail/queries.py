@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .functions import intervals as I
 from .functions import series as S
 from .operators import binding as B
+from .operators import parameters as M
 from .operators import predicates as P
 from .operators import results as R
 from .operators import stats as A
@@ -590,3 +591,42 @@ def geo17_reference_rule(t):
     side = lambda c: F.when(c % 3 == 0, "same").when(c % 3 == 1, "opposite")
     x = t.select(side(F.col("t")).alias("l"), side(F.col("actor_id")).alias("r"))
     return x.groupBy("l", "r").agg(F.count("*").alias("n")).select("l", "r", reference_rule(F.col("l"), F.col("r"))["t"].alias("target"), "n")
+
+
+_VALUES = _CUT_IN + """ , v as (select h.scene_id, h.t0, h.t1, h.ego, h.npc, 'ego_lane_start' as name, cast(e.lane_id as double) as value from hit h join traj e on e.actor_id = h.ego and e.t = h.t0
+ union all select h.scene_id, h.t0, h.t1, h.ego, h.npc, 'npc_lane_start', cast(n.lane_id as double) from hit h join traj n on n.actor_id = h.npc and n.t = h.t0
+ union all select h.scene_id, h.t0, h.t1, h.ego, h.npc, 'npc_distance_to_ego_' || w.side, sqrt(cast((e.s - n.s) * (e.s - n.s) + (e.t_lat - n.t_lat) * (e.t_lat - n.t_lat) as double))
+  from hit h cross join (values ('start'), ('end')) w(side) join traj e on e.actor_id = h.ego and e.t = case w.side when 'start' then h.t0 else h.t1 end join traj n on n.actor_id = h.npc and n.t = e.t
+  where e.t_lat is not null and n.t_lat is not null)"""
+
+
+def _parameters() -> list[M.Parameter]:
+    return M.parameters_of(dsl.call_list(dsl.compile_text(CUT_IN)))
+
+
+@query(_VALUES + " select scene_id, t0, t1, ego, npc, name, round(value, 6) as value from v")
+def agg19_parameters(t):
+    v = M.window_parameters(run_text(CUT_IN, t), t, _parameters())
+    return v.select("scene_id", "t0", "t1", "ego", "npc", "name", F.round("value", 6).alias("value"))
+
+
+@query(_VALUES + """ select name, cast(case when name like '%distance%' and value >= 500 and value < 500000 then floor((value - 500) * 20 / 499500)
+ when name = 'ego_lane_start' and value >= -1.5 and value < -0.5 then floor((value + 1.5) * 3) when name = 'npc_lane_start' and value >= -2.5 and value < -1.5 then floor((value + 2.5) * 5) else -1 end as int) as bin, count(*) as n from v group by all""")
+def agg19_histograms(t):
+    return M.parameter_histograms(M.window_parameters(run_text(CUT_IN, t), t, _parameters()), _parameters(), 100.0)
+
+
+@query(_CUT_IN + """ , sc as (select scene_id, max(t) + 1 as T from traj group by 1), bi as (select distinct scene_id, ego, npc from hit),
+ b as (select cast(floor(f.speed / 1000.0) as bigint) as bin, sum(greatest(0, least(13, sc.T - f.t) - 3)) as base from bi join traj f on f.actor_id = bi.npc join sc on sc.scene_id = bi.scene_id group by 1),
+ h as (select cast(floor(f.speed / 1000.0) as bigint) as bin, sum(n_windows) as hit from hit join traj f on f.actor_id = hit.npc and f.t = hit.t0 group by 1)
+ select bin, cast(coalesce(hit, 0) as bigint) as hit, cast(base as bigint) as base from b left join h using (bin) where coalesce(hit, 0) > 0 or base > 0""")
+def agg17_start_distributions(t):
+    return M.start_distributions(run_text(CUT_IN, t), t, ["ego", "npc"], "npc", "speed", 1000.0, 4, 13)
+
+
+@query(""" , l as (select distinct scene_id, lane_id from traj), m as (select scene_id, 'both' as segment_id, lane_id from l union all select scene_id, 'right', lane_id from l where lane_id = -1)
+ select m.scene_id, segment_id, actor_id, count(*) as n_frames from traj join m on m.scene_id = traj.scene_id and m.lane_id = traj.lane_id where present group by all""")
+def jn19_actors_in_segments(t):
+    lanes = t.select("scene_id", "lane_id").distinct()
+    both = lanes.withColumn("segment_id", F.lit("both")).unionByName(lanes.where("lane_id = -1").withColumn("segment_id", F.lit("right")))
+    return M.actors_in_segments(t, both.union(both))

@@ -3,8 +3,9 @@
 Words lose marks at either end. A word with a digit becomes <NUM> (a written-out number too), a unit behind
 a number <UNIT>, and a capitalised word that doesn't begin a sentence <NAME>; any other word stands in lower
 case. A window is ``WINDOW`` canonical words of an item (the whole item if it is shorter, but at least
-``SHORTEST`` words) with at least ``LITERALS`` plain words, so that placeholders alone never match. Windows of
-documents and items meet by hash. Each meeting is then checked for slot consistency: along the window an item's
+``SHORTEST`` words) with at least ``LITERALS`` plain words, so that placeholders alone never match. A window
+with names stands in a second form too, its names as plain words, so that copies in upper or lower case, or
+behind text without a stop, meet as well. Windows of documents and items meet by hash. Each meeting is then checked for slot consistency: along the window an item's
 slot value must map to one document value and back, and equal values must be slots of one kind. So the same
 question with other numbers and names is caught, and a text that only has the same shape is not.
 
@@ -54,7 +55,7 @@ def canonical(text: np.ndarray, off: np.ndarray):
     start, end, row = C.words(text, off)
     if not len(start):
         z = np.zeros(0, np.uint64)
-        return row, np.zeros(0, np.int8), z, z
+        return row, np.zeros(0, np.int8), z, z, z
     gap = np.concatenate(([True], row[1:] != row[:-1]))
     stop = np.concatenate(([True], _STOP[text[end[:-1] - 1]]))
     feeds = np.concatenate(([0], np.cumsum(text == 10)))
@@ -63,6 +64,8 @@ def canonical(text: np.ndarray, off: np.ndarray):
         start += _MARK[text[start]] & (end - start > 1)
         end -= _MARK[text[end - 1]] & (end - start > 1)
     low = C.LOWER[text]
+    # the two-byte capitals from À to Þ, as in ``upper`` below
+    low[1:] += ((text[:-1] == 0xC3) & (text[1:] >= 0x80) & (text[1:] <= 0x9E) & (text[1:] != 0x97)).astype(np.uint8) << 5
     value = C.segment_hashes(low, start, end)
     digits = np.concatenate(([0], np.cumsum(_DIGIT[text])))
     number = (digits[end] > digits[start]) | _in(value, _table(NUMBERS))
@@ -74,32 +77,51 @@ def canonical(text: np.ndarray, off: np.ndarray):
     unit = _in(value, _table(UNITS)) & np.concatenate(([False], number[:-1])) & ~gap & ~number
     kind[unit] = UNIT
     form = np.where(kind == LITERAL, value, C.stream(77, 4)[kind])
-    return row, kind, value, form
+    return row, kind, value, form, np.where(kind == NAME, value, form)
 
 
-def _windows(row, kind, form, size: int, n_rows: int):
-    """Starts and hashes of the windows of ``size`` words with enough plain ones."""
+def _windows(row, kind, form, plain, size: int):
+    """Starts, hashes, whether in the second form, and caps of the windows of ``size`` words with enough plain ones.
+
+    caps: in the second form, the places of the names, as bits, where the window stands in the first form too;
+    else 0. Two windows of equal caps, not 0, that meet in the second form also meet in the first.
+    """
     m = len(form) - size + 1
     if m <= 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        z = np.zeros(0, np.int64)
+        return z, np.zeros(0, np.uint64), np.zeros(0, bool), z
     salt = C.stream(78, size) | np.uint64(1)
-    h = np.full(m, np.uint64(size))
-    plain = np.concatenate(([0], np.cumsum(kind == LITERAL)))
+    first, second = np.full((2, m), np.uint64(size))
+    names = np.zeros(m, np.int64)
     for j in range(size):
-        h += form[j : j + m] * salt[j]
-    ok = (row[:m] == row[size - 1 :]) & (plain[size:] - plain[:m] >= min(LITERALS, size))
-    i = np.flatnonzero(ok)
-    return i, C.mix(h[i])
+        first += form[j : j + m] * salt[j]
+        second += plain[j : j + m] * salt[j]
+        names |= (kind[j : j + m] == NAME).astype(np.int64) << j
+    inside = row[:m] == row[size - 1 :]
+
+    def enough(literal):
+        n = np.concatenate(([0], np.cumsum(literal)))
+        return inside & (n[size:] - n[:m] >= min(LITERALS, size))
+
+    one = enough(kind == LITERAL)
+    a, b = np.flatnonzero(one), np.flatnonzero(enough((kind == LITERAL) | (kind == NAME)) & (names > 0))
+    return np.concatenate((a, b)), C.mix(np.concatenate((first[a], second[b]))), np.arange(len(a) + len(b)) >= len(a), np.concatenate((np.zeros(len(a), np.int64), np.where(one[b], names[b], 0)))
+
+
+def _kinds(kind, span, second):
+    """The kinds of windows' words; in the second form a name is a plain word."""
+    k = kind[span]
+    return np.where(second[:, None] & (k == NAME), LITERAL, k).astype(np.int32)
 
 
 def item_windows(items: DataFrame) -> DataFrame:
-    """item_id, words (of the item), size, place, h, kinds, values of each window."""
+    """item_id, words (of the item), size, place, h, kinds, vals, caps of each window."""
     C.small_batches(items.sparkSession)
 
     def run(batches):
         for batch in batches:
             text, off = C.utf8(batch.column("text"))
-            row, kind, value, form = canonical(text, off)
+            row, kind, value, form, plain = canonical(text, off)
             at = C.row_bounds(row, batch.num_rows)
             ids = batch.column("item_id").to_pylist()
             out = []
@@ -108,17 +130,17 @@ def item_windows(items: DataFrame) -> DataFrame:
                 if n < SHORTEST:
                     continue
                 s, size = slice(at[r], at[r + 1]), min(n, WINDOW)
-                i, h = _windows(row[s], kind[s], form[s], size, 1)
-                for a, b in zip(i.tolist(), h):
-                    o = at[r] + a
-                    out.append((ids[r], n, size, a, int(np.int64(b)) if b < 2**63 else int(b) - 2**64, kind[o : o + size].astype(int).tolist(), C.as_long(value[o : o + size]).tolist()))
-            yield pa.RecordBatch.from_pylist([dict(zip(("item_id", "words", "size", "place", "h", "kinds", "vals"), x)) for x in out], pa.schema([("item_id", pa.int64()), ("words", pa.int32()), ("size", pa.int32()), ("place", pa.int32()), ("h", pa.int64()), ("kinds", pa.list_(pa.int32())), ("vals", pa.list_(pa.int64()))]))
+                i, h, second, caps = _windows(row[s], kind[s], form[s], plain[s], size)
+                span = at[r] + i[:, None] + np.arange(size)
+                kinds, vals = _kinds(kind, span, second).tolist(), C.as_long(value[span]).tolist()
+                out += zip([ids[r]] * len(i), [n] * len(i), [size] * len(i), i.tolist(), C.as_long(h).tolist(), kinds, vals, caps.tolist())
+            yield pa.RecordBatch.from_pylist([dict(zip(("item_id", "words", "size", "place", "h", "kinds", "vals", "caps"), x)) for x in out], pa.schema([("item_id", pa.int64()), ("words", pa.int32()), ("size", pa.int32()), ("place", pa.int32()), ("h", pa.int64()), ("kinds", pa.list_(pa.int32())), ("vals", pa.list_(pa.int64())), ("caps", pa.int64())]))
 
-    return items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "item_id long, words int, size int, place int, h long, kinds array<int>, vals array<long>")
+    return items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "item_id long, words int, size int, place int, h long, kinds array<int>, vals array<long>, caps long")
 
 
 def document_windows(docs: DataFrame, sizes: list[int], hashes=None) -> DataFrame:
-    """doc_id, size, at, h, kinds, vals of the documents' windows; with ``hashes``, a broadcast sorted array, only of those it has."""
+    """doc_id, size, at, h, kinds, vals, caps of the documents' windows; with ``hashes``, a broadcast sorted array, only of those it has."""
 
     def run(batches):
         wanted = hashes.value if hashes is not None else None
@@ -129,23 +151,23 @@ def document_windows(docs: DataFrame, sizes: list[int], hashes=None) -> DataFram
             text, off = C.utf8(batch.column("text"))
             ids = batch.column("doc_id")
             for a, b in C.spans(off):
-                row, kind, value, form = canonical(text[off[a] : off[b]], off[a : b + 1] - off[a])
+                row, kind, value, form, plain = canonical(text[off[a] : off[b]], off[a : b + 1] - off[a])
                 at = C.row_bounds(row, b - a)
                 for size in sizes:
-                    i, h = _windows(row, kind, form, size, b - a)
+                    i, h, second, caps = _windows(row, kind, form, plain, size)
                     if wanted is not None and len(i):
                         few = np.flatnonzero(maybe[h >> np.uint64(44)])
                         few = few[_in(h[few], wanted)]
-                        i, h = i[few], h[few]
+                        i, h, second, caps = i[few], h[few], second[few], caps[few]
                     if not len(i):
                         continue
                     span = i[:, None] + np.arange(size)
                     yield pa.RecordBatch.from_arrays(
-                        [ids.take(pa.array(a + row[i])), pa.array(np.full(len(i), size, np.int32)), pa.array((i - at[row[i]]).astype(np.int64)), pa.array(C.as_long(h)), pa.array(list(kind[span].astype(np.int32)), pa.list_(pa.int32())), pa.array(list(C.as_long(value[span])), pa.list_(pa.int64()))],
-                        ["doc_id", "size", "at", "h", "kinds", "vals"],
+                        [ids.take(pa.array(a + row[i])), pa.array(np.full(len(i), size, np.int32)), pa.array((i - at[row[i]]).astype(np.int64)), pa.array(C.as_long(h)), pa.array(list(_kinds(kind, span, second)), pa.list_(pa.int32())), pa.array(list(C.as_long(value[span])), pa.list_(pa.int64())), pa.array(caps)],
+                        ["doc_id", "size", "at", "h", "kinds", "vals", "caps"],
                     )
 
-    return docs.mapInArrow(run, "doc_id long, size int, at long, h long, kinds array<int>, vals array<long>")
+    return docs.mapInArrow(run, "doc_id long, size int, at long, h long, kinds array<int>, vals array<long>, caps long")
 
 
 def contaminations(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -163,8 +185,8 @@ def contaminations(docs: DataFrame, items: DataFrame) -> DataFrame:
         sent = spark.sparkContext.broadcast(np.unique(np.array([r.h for r in known.select("h").distinct().collect()], np.int64).view(np.uint64)))
         if not len(sent.value):
             sent = None
-    mine = document_windows(docs, sizes, sent).withColumnsRenamed({"kinds": "dk", "vals": "dv"})
-    met = mine.join(known, ["h", "size"])
+    mine = document_windows(docs, sizes, sent).withColumnsRenamed({"kinds": "dk", "vals": "dv", "caps": "dc"})
+    met = mine.join(known, ["h", "size"]).where("caps = 0 or caps <> dc")
     pairs = F.arrays_zip(F.col("kinds").alias("k"), F.col("dk").alias("q"), F.col("vals").alias("v"), F.col("dv").alias("w"))
     slots = F.filter(pairs, lambda x: x["k"] != 0)
     item = F.size(F.array_distinct(F.transform(slots, lambda x: F.struct(x["k"], x["v"]))))

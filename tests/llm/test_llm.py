@@ -231,6 +231,17 @@ def test_decontaminate(spark):
     assert not got[0].altered and got[1].altered
 
 
+def test_decontaminate_copies_in_other_case(spark):
+    item = "Each spring Élodie and Marta of Lyon pack 12 crates of pears for the Grand Market near Saint Étienne and Vienne"
+    items = spark.createDataFrame([(1, item), (2, "Anna Berg sold Karl Lund seven old maps")], "item_id long, text string")
+    texts = [item.upper(), item.lower(), f"and so it was that {item}", item, item.upper().replace("12", "15"), "we read that Anna Berg sold Karl Lund seven old maps", "EACH WORD OF THIS TEXT IS A CAPITAL ONE AND NONE OF IT IS OF ANY ITEM"]
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.contaminations(docs_of(spark, texts), items).collect()}
+    assert sorted(got) == [(0, 1), (1, 1), (2, 1), (3, 1), (4, 1), (5, 2)]
+    assert [got[i, 1].altered for i in range(5)] == [False] * 4 + [True]
+    n = len(item.split()) - decontaminate.WINDOW + 1
+    assert all(got[i, 1].covered == 1 and got[i, 1].n_windows == n for i in range(5))
+
+
 def test_chat_round_trip(spark):
     bits = ["<s>", "</s>", "[INST]", "[/INST]", "[TURN]", "[/ROLE]", "\\", "\\\\", " ", "a", "\n", "é"]
     r = random.Random(4)

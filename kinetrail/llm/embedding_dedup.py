@@ -2,7 +2,9 @@
 
 Each pass concatenates the signs of random projections to one hash, orders the vectors by it and compares
 each vector with the ``NEAR`` that follow; pairs with enough cosine become edges, and the edges of all passes
-are united. Vectors with equal components travel once, as one class.
+are united. Vectors with equal components travel once, as one class. The number of passes follows from the
+counted vectors of a length (``passes``), so that at any size at most ``MISSED`` of the isolated pairs at the
+least cosine are expected to meet in no window.
 
 A window bounds what a pass compares, so a group of more near vectors than a window holds isn't listed pair
 by pair there. It need not be: it is one component, and the links inside each component are then counted by
@@ -24,8 +26,8 @@ from pyspark.sql import functions as F
 from . import common as C
 from .graph import components
 
-PASSES, NEAR, HASH_BITS = 14, 24, 62
-COSINE = 0.9
+LEAST_PASSES, NEAR, HASH_BITS = 14, 24, 62
+COSINE, MISSED = 0.9, 0.005
 BLOCK = 1024
 
 
@@ -43,6 +45,23 @@ def projections(dim: int, p: int) -> np.ndarray:
     return np.random.default_rng(1000 + p).standard_normal((dim, HASH_BITS))
 
 
+def passes(n: int, dim: int) -> int:
+    """Passes after which a pair at cosine COSINE among n vectors in random directions is missed with probability MISSED.
+
+    A pair meets when its ends agree in so many leading signs, k, that at most NEAR of the n agree in them with one
+    end. An end agrees in a sign with probability 1 - angle / pi. In fewer than 16 dimensions tables of a size that
+    matters have no isolated pairs; they get the passes of 16.
+    """
+    angle = np.linspace(0, np.pi, 20001)[1:-1]
+    density = np.sin(angle) ** (max(dim, 16) - 2)
+    density /= density.sum()
+    k, agree = 0, 1 - angle / np.pi
+    while n * (density @ agree**k) > NEAR:
+        k += 1
+    meet = (1 - np.arccos(COSINE) / np.pi) ** k
+    return LEAST_PASSES if meet == 1 else max(LEAST_PASSES, int(np.ceil(np.log(MISSED) / np.log1p(-meet))))
+
+
 def _pairs(rid: np.ndarray, x: np.ndarray, lo: int, hi: int):
     """Pairs of rows i in [lo, hi) with one of the NEAR rows behind, with enough cosine."""
     out = []
@@ -58,6 +77,7 @@ def _pairs(rid: np.ndarray, x: np.ndarray, lo: int, hi: int):
 
 def near_pairs(reps: DataFrame) -> DataFrame:
     """(a, b) of reps (rid, dim, embedding) that meet in a window of some pass and have enough cosine."""
+    rounds = {r.dim: passes(r.n, r.dim) for r in reps.groupBy("dim").agg(F.count("*").alias("n")).collect()}
 
     def spread(batches):
         for batch in batches:
@@ -65,7 +85,7 @@ def near_pairs(reps: DataFrame) -> DataFrame:
             for dim in np.unique(dims):
                 part = batch.filter(pa.array(dims == dim))
                 x = _unit(_matrix(part.column("embedding")))
-                for p in range(PASSES):
+                for p in range(rounds[int(dim)]):
                     bits = (x @ projections(int(dim), p) > 0).astype(np.int64)
                     h = bits @ (1 << np.arange(HASH_BITS - 1, -1, -1, dtype=np.int64))
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), p, np.int32)), part.column("dim"), pa.array(h), part.column("rid"), part.column("embedding")], ["pass", "dim", "h", "rid", "embedding"])

@@ -200,6 +200,25 @@ def test_embedding_windows_of_few_vectors(spark):
     assert {r.vec_id: r.n_links for r in got.collect()} == want
 
 
+def test_embedding_recall_of_isolated_pairs(spark):
+    """Pairs at cosine just over 0.9, far from all others, among 20,000 vectors."""
+    rng = np.random.default_rng(7)
+    x = rng.standard_normal((20000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z = rng.standard_normal((2000, 64))
+    z -= (z * x[:2000]).sum(axis=1, keepdims=True) * x[:2000]
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    x[-2000:] = 0.9001 * x[:2000] + np.sqrt(1 - 0.9001**2) * z
+    df = spark.createDataFrame([(i, 64, v.tolist()) for i, v in enumerate(x)], "rid long, dim int, embedding array<double>")
+    got = {(r.a, r.b) for r in embedding_dedup.near_pairs(df).collect()}
+    assert len(got & {(i, 18000 + i) for i in range(2000)}) >= 0.99 * 2000
+
+
+def test_embedding_passes_follow_size():
+    n = [embedding_dedup.passes(10**k, 64) for k in range(10)]
+    assert n == sorted(n) and n[0] == embedding_dedup.LEAST_PASSES and n[4] < n[5] < n[6] < n[9]
+
+
 def test_line_dedup_query(spark):
     import duckdb
 

@@ -198,20 +198,30 @@ _WIN = """ , win as (select a.scene_id, a.actor_id, a.t as t0, b.t as t1 from tr
  select scene_id, actor_id, t0, t1, coalesce({}, false) as ok from fr group by scene_id, actor_id, t0, t1"""
 
 
-def _windows(t: DataFrame) -> DataFrame:
-    a = t.select(*KEYS, F.col("t").alias("t0")).where("t0 % 4 = 0")
-    b = t.select(*KEYS, F.col("t").alias("t1"))
-    return a.join(b, KEYS).where("t1 = t0 + 7")
+def _windows(frames: DataFrame, keys: list[str], more: int, every: int | None) -> DataFrame:
+    """Windows of ``more`` frames behind their first, from each start or only from those that ``every`` divides."""
+    a = frames.select(*keys, F.col("t").alias("t0"))
+    a = a if every is None else a.where(f"t0 % {every} = 0")
+    # equal keys only, so that the join has one row a window
+    return a.withColumn("t1", F.col("t0") + more).join(frames.select(*keys, F.col("t").alias("t1")), [*keys, "t1"]).select(*keys, "t0", "t1")
 
 
-def predicate(name: str, cond: str, make, prepare=lambda t: t):
-    def run(spark, sf_dir):
-        t = prepare(traj(spark, sf_dir))
-        p = make()
-        return P.evaluate(t, _windows(t), KEYS, [p]).withColumnRenamed(p.name, "ok")
+def _register(name: str, sql: str, thin: str, keys: list[str], more: int, every: int, make, frames) -> None:
+    """Two queries: ``name`` tests a sample of starts, as its SQL does; ``name_all_starts`` tests all of them."""
+
+    def put(name, sql, every):
+        def run(spark, sf_dir):
+            f, p = frames(spark, sf_dir), make()
+            return P.evaluate(f, _windows(f, keys, more, every), keys, [p]).withColumnRenamed(p.name, "ok")
+
+        QUERIES[name], ORACLE_SQL[name] = run, sql
 
-    QUERIES[name] = run
-    ORACLE_SQL[name] = _T + _WIN.format(cond)
+    put(name, sql, every)
+    put(f"{name}_all_starts", sql.replace(thin, ""), None)
+
+
+def predicate(name: str, cond: str, make, prepare=lambda t: t):
+    _register(name, _T + _WIN.format(cond), " where a.t % 4 = 0", KEYS, 7, 4, make, lambda spark, sf_dir: prepare(traj(spark, sf_dir)))
 
 
 _AT0, _AT1 = "any_value({}) filter (where t = t0)", "any_value({}) filter (where t = t1)"
@@ -242,15 +252,7 @@ _PWIN = """ , win as (select a.scene_id, a.ego, a.npc, a.t as t0, b.t as t1 from
 
 
 def pair_predicate(name: str, cond: str, make, prepare=lambda p: p):
-    def run(spark, sf_dir):
-        f = prepare(S.pairs(traj(spark, sf_dir)))
-        a = f.select(*PAIR, F.col("t").alias("t0")).where("t0 % 6 = 0")
-        w = a.join(f.select(*PAIR, F.col("t").alias("t1")), PAIR).where("t1 = t0 + 5")
-        p = make()
-        return P.evaluate(f, w, PAIR, [p]).withColumnRenamed(p.name, "ok")
-
-    QUERIES[name] = run
-    ORACLE_SQL[name] = _P + _PWIN.format(cond)
+    _register(name, _P + _PWIN.format(cond), " where a.t % 6 = 0", PAIR, 5, 6, make, lambda spark, sf_dir: prepare(S.pairs(traj(spark, sf_dir))))
 
 
 pair_predicate("prd3_same_speed", "any_value(abs(ev0 - nv0) <= 3000)", lambda: P.same_speed(3000))

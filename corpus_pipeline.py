@@ -4,7 +4,7 @@
 2. line dedup: lines on too many pages of their source leave their documents;
 3. n-gram Jaccard join: of each group of near copies the one with the smallest id stays;
 4. benchmark decontamination: documents that hold a benchmark item leave;
-5. BPE encoding: ids and decoded text of what is left.
+5. BPE encoding: ids and decoded text of what is left, with digests of both.
 """
 
 from __future__ import annotations
@@ -43,7 +43,7 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return word_bpe.encode_digest(docs)
+    return word_bpe.encode(docs, digests=True)
 
 
 STAGES = [

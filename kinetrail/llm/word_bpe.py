@@ -223,8 +223,8 @@ def tokenizer(path: str, kind=WordBPE):
     return _held[kind, path]
 
 
-def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id, ids array<int>, decoded string of every row."""
+def encode(docs: DataFrame, path: str | None = None, digests: bool = False) -> DataFrame:
+    """doc_id, ids array<int>, decoded string of every row; with ``digests``, encode_digest()'s columns too."""
     path = path or default_vocabulary()
     C.small_batches(docs.sparkSession)
 
@@ -235,9 +235,15 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
             for flat, at in bpe.batches(_texts(batch)):
                 ids += [flat[a:b] for a, b in zip(at, at[1:])]
                 decoded += [bpe.decode(flat[a:b]).tobytes()[:-1].decode() for a, b in zip(at, at[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())], ["doc_id", "ids", "decoded"])
-
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, ids array<int>, decoded string")
+            columns = {"doc_id": batch.column("doc_id"), "ids": pa.array(ids, pa.list_(pa.int32())), "decoded": pa.array(decoded, pa.string())}
+            if digests:
+                columns["n_tokens"] = pa.array([len(x) for x in ids], pa.int64())
+                columns["ids_sha256"] = pa.array([hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in ids], pa.string())
+                columns["decoded_sha256"] = pa.array([hashlib.sha256(x.encode()).hexdigest() for x in decoded], pa.string())
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+    more = ", n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else ""
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, ids array<int>, decoded string{more}")
 
 
 def encode_digest(docs: DataFrame, path: str | None = None) -> DataFrame:

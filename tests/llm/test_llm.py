@@ -275,6 +275,19 @@ def test_chat_round_trip(spark):
     assert got[2].turns_sha256 == hashlib.sha256(b"\n\nassistant\nx\n").hexdigest()
 
 
+def test_pipeline_ends_with_ids_and_text(spark):
+    import corpus_pipeline
+
+    docs = docs_of(spark, ["some words of a text", "", None, *ODD])
+    got = {r.doc_id: r for r in corpus_pipeline.encode_stage(spark, docs, DIR).collect()}
+    digest = {r.doc_id: r for r in word_bpe.encode_digest(docs).collect()}
+    plain = {r.doc_id: r for r in word_bpe.encode(docs).collect()}
+    assert len(got) == len(ODD) + 3
+    for i, r in got.items():
+        assert (r.ids, r.decoded) == (plain[i].ids, plain[i].decoded)
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (digest[i].n_tokens, digest[i].ids_sha256, digest[i].decoded_sha256)
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 

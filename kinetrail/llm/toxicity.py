@@ -7,7 +7,7 @@ As a filter is linear, scoring adds table rows: each embedding's product with ea
 computed once.
 
 Training (Adagrad, gradients pass through the positions of the maxima) takes a bounded sample of labelled
-rows: ``PER_LABEL`` of each label by the lowest hash of the id, ``SAMPLE_CHARS`` of each. A quarter of the
+rows: ``PER_LABEL`` of each label by the lowest hash of the id, with their whole texts. A quarter of the
 sample is kept from training to calibrate: for each language, the probability that separates its labels
 best is moved to 0.3, so that a score of 0.3 is the threshold in every language. At scoring time a document's
 language is guessed from its words alone (log frequencies of hashed words in the sample's languages).
@@ -27,7 +27,7 @@ from . import common as C
 
 BITS, DIM, FILTERS, WIDTHS = 17, 12, 6, (1, 2, 3)
 LANG_BITS = 15
-PER_LABEL, SAMPLE_CHARS = 3000, 6000
+PER_LABEL = 3000
 EPOCHS, BATCH = 6, 32
 THRESHOLD = 0.3
 _PUNCT = np.zeros(256, bool)
@@ -201,14 +201,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicCNN | None:
     ranked = few.withColumn("n", F.row_number().over(Window.partitionBy("toxic").orderBy("h", "doc_id")))
     ids = ranked.where(F.col("n") <= PER_LABEL).select("doc_id", "toxic")  # at most 2 * PER_LABEL rows, so they may be sent
     known = docs.where("text is not null").select("doc_id", "text", "lang").join(F.broadcast(ids), "doc_id")
-    rows = known.select("toxic", "lang", F.xxhash64("text").alias("h"), F.substring("text", 1, SAMPLE_CHARS).alias("part")).collect()
-    rows = sorted(rows, key=lambda r: (r.h, r.part, r.toxic, str(r.lang)))
+    rows = known.select("toxic", "lang", F.xxhash64("text").alias("h"), "text").collect()
+    rows = sorted(rows, key=lambda r: (r.h, r.text, r.toxic, str(r.lang)))
     label = np.array([r.toxic for r in rows], np.int64)
     if len(set(label.tolist())) < 2:
         return None
     words = []
     for r in rows:
-        raw = np.frombuffer(r.part.encode(), np.uint8)
+        raw = np.frombuffer(r.text.encode(), np.uint8)
         words.append(word_hashes(raw, np.array([0, len(raw)]))[0])
     net = ToxicCNN()
     net.learn_languages(words, [r.lang for r in rows])

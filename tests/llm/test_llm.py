@@ -173,6 +173,15 @@ def test_toxicity_held_out(spark):
     assert all(r.score == 0 for r in toxicity.toxicity(docs_of(spark, ["x"]), None).collect())
 
 
+def test_toxicity_learns_behind_a_long_prefix(spark):
+    """The telling words stand behind 6,000 characters that are alike in both labels."""
+    texts = [" ".join(f"word{j % 20}" for j in range(1100)) + (" vile scum begone" if i % 2 else " kind folk welcome") for i in range(400)]
+    docs = docs_of(spark, texts)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int")
+    rows = toxicity.toxicity(docs, toxicity.fit(docs, labels)).where("crc32(cast(doc_id as string)) % 4 = 2").collect()
+    assert np.mean([r.predicted == r.doc_id % 2 for r in rows]) > 0.95
+
+
 def test_embedding_dedup(spark):
     rng = np.random.default_rng(3)
     base = rng.standard_normal((300, 16))

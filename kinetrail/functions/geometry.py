@@ -1,4 +1,4 @@
-"""Polyline geometry: lane resampling, Frenet coordinates, headings, sides, chains. Pure numpy; used by Arrow functions."""
+"""Polyline geometry: lane resampling, Frenet coordinates, headings, sides, chains."""
 
 from __future__ import annotations
 
@@ -55,22 +55,18 @@ def project(line: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def frenet(points: DataFrame, lines: DataFrame) -> DataFrame:
-    """points (segment_id, actor_id, t, x, y) with s, t_lat on their segment's reference line (segment_id, xs, ys)."""
-    j = points.join(lines, "segment_id")
-
-    def run(batches):
-        for pdf in batches:
-            pdf["s"] = np.nan
-            pdf["t_lat"] = np.nan
-            for _, g in pdf.groupby("segment_id", sort=False):
-                line = np.column_stack([g["xs"].iloc[0], g["ys"].iloc[0]]).astype(float)
-                ok = g["x"].notna() & g["y"].notna()
-                if ok.any():
-                    s, t = project(line, g.loc[ok, ["x", "y"]].to_numpy(float))
-                    pdf.loc[g.index[ok], "s"], pdf.loc[g.index[ok], "t_lat"] = s, t
-            yield pdf[["segment_id", "actor_id", "t", "x", "y", "s", "t_lat"]].astype({"s": object, "t_lat": object}).where(pd.notna(pdf[["segment_id", "actor_id", "t", "x", "y", "s", "t_lat"]]), None)
-
-    return j.select("segment_id", "actor_id", "t", "x", "y", "xs", "ys").mapInPandas(run, "segment_id string, actor_id string, t int, x double, y double, s double, t_lat double")
+    """points (segment_id, actor_id, t, x, y) with s, t_lat on their segment's reference line (segment_id, xs, ys). A segment's points and its line, sent once, are one group."""
+
+    def run(key, p: pd.DataFrame, line: pd.DataFrame) -> pd.DataFrame:
+        out = p[["segment_id", "actor_id", "t", "x", "y"]].copy()
+        out["s"] = out["t_lat"] = np.nan
+        ok = (out["x"].notna() & out["y"].notna()).to_numpy()
+        if len(line) and ok.any():
+            s, t = project(np.column_stack([line["xs"].iloc[0], line["ys"].iloc[0]]).astype(float), out.loc[ok, ["x", "y"]].to_numpy(float))
+            out.loc[ok, "s"], out.loc[ok, "t_lat"] = s, t
+        return out.astype({"s": object, "t_lat": object}).where(out.notna(), None)
+
+    return points.groupBy("segment_id").cogroup(lines.groupBy("segment_id")).applyInPandas(run, "segment_id string, actor_id string, t int, x double, y double, s double, t_lat double")
 
 
 def lanes(roadgraph: DataFrame, kinds: list[int]) -> DataFrame:

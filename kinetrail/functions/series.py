@@ -42,6 +42,43 @@ def jerk(accel: str = "accel", keys: list[str] = KEYS, fps: float = 1.0) -> Colu
     return F.when(F.col("present") & F.lag("present").over(w), (F.col(accel) - F.lag(accel).over(w)) * fps)
 
 
+def series_length(lane: Column, s: Column, speed: Column, order: Column, default: int = 91) -> Column:
+    """The number of frames of a scene, as an aggregate over its actors' arrays: the longest of lanes and positions, else of the first actor (in order) with speeds, else the default."""
+    size = lambda x: F.max(F.when(F.size(x) > 0, F.size(x)))
+    return F.coalesce(F.greatest(size(lane), size(s)), F.min_by(F.size(speed), F.when(F.size(speed) > 0, order)), F.lit(default))
+
+
+def condensed(frames: DataFrame, keys: list[str], where: str, least: int) -> DataFrame:
+    """keys, n_frames: the actors with at least so many present frames under a condition."""
+    return frames.where(where).groupBy(*keys).agg(F.count_if("present").alias("n_frames")).where(F.col("n_frames") >= least)
+
+
+def type_counts(frames: DataFrame) -> DataFrame:
+    """actor_type, actors."""
+    return frames.groupBy("actor_type").agg(F.countDistinct("scene_id", "actor_id").alias("actors"))
+
+
+def sanity(frames: DataFrame, most: float) -> DataFrame:
+    """actor_type, n, s_mismatch, out_of_bounds, worst: how far the way between frames departs from the speed (in units a frame)."""
+    d = frames.withColumn("_d", F.col("s") - F.lag("s").over(along()))
+    off = F.abs(F.col("_d") - F.col("speed"))
+    return d.groupBy("actor_type").agg(F.count("*").alias("n"), F.count_if(off > 0).alias("s_mismatch"), F.count_if((F.col("speed") < 0) | (F.col("speed") > most)).alias("out_of_bounds"), F.max(off).alias("worst"))
+
+
+def chain_lane_ids(frames: DataFrame, chains: DataFrame, spans: DataFrame) -> DataFrame:
+    """frames (scene_id, actor_id, t, lane_id) with osc_lane_id: the lane's id in its chain, by chains (scene_id, lane_id, osc_lane_id); null where there is none, or outside the actor's spans (scene_id, actor_id, valid_start, valid_end)."""
+    j = frames.join(chains, ["scene_id", "lane_id"], "left").join(spans, ["scene_id", "actor_id"], "left")
+    return j.withColumn("osc_lane_id", F.when(F.col("t").between(F.col("valid_start"), F.col("valid_end")), F.col("osc_lane_id"))).drop("valid_start", "valid_end")
+
+
+def yaw_or_heading(yaw: str = "yaw", x: str = "x", y: str = "y", keys: list[str] = KEYS) -> Column:
+    """The yaw, or where it is unknown the direction from the frame before (on the first frame: to the next)."""
+    w = along(keys)
+    back = F.atan2(F.col(y) - F.lag(y).over(w), F.col(x) - F.lag(x).over(w))
+    ahead = F.atan2(F.lead(y).over(w) - F.col(y), F.lead(x).over(w) - F.col(x))
+    return F.coalesce(known(F.col(yaw)), back, ahead)
+
+
 def lane_presence(lane: str = "lane_id") -> Column:
     return F.coalesce(F.rint(F.col(lane).cast("double")) != 0, F.lit(False))
 

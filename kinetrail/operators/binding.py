@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.intervals import islands, longest_run
+from ..functions.intervals import longest_run
 
 SYNONYMS = {"pedestrian": "person", "car": "vehicle"}
 
@@ -52,6 +52,23 @@ def bindings(domains: dict[str, DataFrame], frames: DataFrame, min_frames: int,
     return out
 
 
+def assignments(domains: dict[str, DataFrame], limit: int | None = None) -> DataFrame:
+    """scene_id and one column a role: all assignments of different actors, with no condition on when they are there."""
+    out = None
+    for r, d in domains.items():
+        d = d.select("scene_id", F.col("actor_id").alias(r))
+        known = [] if out is None else [c for c in out.columns if c != "scene_id"]
+        out = d if out is None else out.join(d, "scene_id")
+        for o in known:
+            out = out.where(F.col(o) != F.col(r))
+    if limit is not None:
+        from pyspark.sql import Window
+
+        w = Window.partitionBy("scene_id").orderBy(*domains)
+        out = out.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= limit).drop("_n")
+    return out
+
+
 def symmetric_lookup(pairs: DataFrame, wanted: DataFrame, value: str) -> DataFrame:
     """wanted (scene_id, t, a, b) with the value of (a, b), or else of (b, a)."""
     v = pairs.select("scene_id", "t", F.col("ego").alias("a"), F.col("npc").alias("b"), F.col(value).alias("_1"))
@@ -59,12 +76,19 @@ def symmetric_lookup(pairs: DataFrame, wanted: DataFrame, value: str) -> DataFra
     return wanted.join(v, ["scene_id", "t", "a", "b"], "left").join(r, ["scene_id", "t", "a", "b"], "left").withColumn(value, F.coalesce("_1", "_2")).drop("_1", "_2")
 
 
-def combine_calls(master: DataFrame, others: list[DataFrame], roles: list[list[str]]) -> DataFrame:
-    """A natural join of call hits on the segment and their common roles; ``roles``: those of each of the others."""
-    out = master
-    for o, r in zip(others, roles):
-        out = out.join(o, ["scene_id", *[x for x in r if x in out.columns]])
-    return out
+def combine_calls(calls: list[DataFrame], keep: list[str] = []) -> DataFrame:
+    """A natural join of the calls' signals on the scene and the roles they share; the call with the most roles leads (the first of equal ones), and others that share no role with it are any.
+
+    calls: scene_id, the roles, and the columns ``keep``, which get the call's number.
+    """
+    roles = [[c for c in df.columns if c != "scene_id" and c not in keep] for df in calls]
+    order = sorted(range(len(calls)), key=lambda i: -len(roles[i]))
+    out, known = None, []
+    for i in order:
+        df = calls[i].withColumnsRenamed({k: f"{k}_{i}" for k in keep})
+        out = df if out is None else out.join(df, ["scene_id", *[r for r in roles[i] if r in known]])
+        known += [r for r in roles[i] if r not in known]
+    return out.select("scene_id", *known, *[f"{k}_{i}" for i in range(len(calls)) for k in keep])
 
 
 def equal_windows(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
@@ -73,6 +97,14 @@ def equal_windows(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     return first[0].join(first[1], keys).where("x = y").select(*keys, F.col("x.t0").alias("t0"), F.col("x.t1").alias("t1"))
 
 
+def equal_windows_by_role(calls: list[DataFrame]) -> DataFrame:
+    """Windows (scene_id, t0, t1) that every call has, with the union of the calls' roles; calls that give one role different actors don't meet, and different roles may be one actor."""
+    out = calls[0]
+    for c in calls[1:]:
+        out = out.join(c, [x for x in c.columns if x in out.columns])
+    return out.select("scene_id", *[c for c in out.columns if c not in ("scene_id", "t0", "t1")], "t0", "t1")
+
+
 def overlapping(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     """The intervals of a that overlap one of b (closed ends)."""
     o = b.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("t0").alias("_t0"), F.col("t1").alias("_t1"))
@@ -100,5 +132,3 @@ def run_intersections(left: DataFrame, right: DataFrame, keys: list[str], least:
     j = left.join(r, keys).select(*keys, F.greatest("lo", "rlo").alias("lo"), F.least("hi", "rhi").alias("hi"))
     return j.where(F.col("hi") - F.col("lo") >= least)
 
-
-__all__ = ["islands"] + [n for n in dir() if not n.startswith("_")]

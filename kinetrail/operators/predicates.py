@@ -50,23 +50,35 @@ def bounds(value=None, range_=None, tol=0):
     return (None, None) if value is None else (value - tol, value + tol)
 
 
-def with_breaks(frames: DataFrame, keys: list[str], conds: dict[str, Column]) -> DataFrame:
-    """Adds, for each name, the first frame q.t >= t where the condition over columns p.* (here) and q.* (there) isn't surely true."""
-    if not conds:
-        return frames
-    p, q = frames.alias("p"), frames.alias("q")
-    on = [F.col(f"p.{k}") == F.col(f"q.{k}") for k in keys] + [F.col("q.t") >= F.col("p.t")]
+def with_breaks(frames: DataFrame, keys: list[str], conds: dict[str, Column], starts: DataFrame, reach: int | None = None) -> DataFrame:
+    """starts (keys, t) with, for each name, the first frame q.t >= t where the condition over columns p.* (there) and q.* (here) isn't surely true.
+
+    reach: frames behind a start that matter. A start then meets only the one or two buckets of so many frames.
+    """
+    p, q = frames.join(starts.select(*keys, "t").distinct(), [*keys, "t"], "left_semi"), frames
+    near = F.col("q.t") >= F.col("p.t")
+    on = list(keys)
+    if reach is not None:
+        width = max(reach, 1)
+        p = p.withColumn("_k", F.explode(F.sequence(F.floor(F.col("t") / width), F.floor((F.col("t") + reach) / width))))
+        q = q.withColumn("_k", F.floor(F.col("t") / width))
+        near &= F.col("q.t") <= F.col("p.t") + reach
+        on.append("_k")
     agg = [F.min(F.when(~F.coalesce(c, F.lit(False)), F.col("q.t"))).alias(n) for n, c in conds.items()]
-    b = p.join(q, on).groupBy(*[F.col(f"p.{k}").alias(k) for k in keys], F.col("p.t").alias("t")).agg(*agg)
-    return frames.join(b, [*keys, "t"])
+    j = p.alias("p").join(q.alias("q"), [F.col(f"p.{k}") == F.col(f"q.{k}") for k in on] + [near])
+    return j.groupBy(*[F.col(f"p.{k}").alias(k) for k in keys], F.col("p.t").alias("t")).agg(*agg)
 
 
-def evaluate(frames: DataFrame, windows: DataFrame, keys: list[str], predicates: list[Predicate]) -> DataFrame:
-    """windows with one boolean column for each predicate."""
+def evaluate(frames: DataFrame, windows: DataFrame, keys: list[str], predicates: list[Predicate], reach: int | None = None) -> DataFrame:
+    """windows with one boolean column for each predicate. reach: t1 - t0 of the longest window, where that is known."""
     cols = {f"{p.name}__{n}": make(keys) for p in predicates for n, make in p.columns.items()}
-    f = with_breaks(frames.withColumns(cols) if cols else frames, keys, {f"{p.name}__{n}": c for p in predicates for n, c in p.breaks.items()})
-    a, b = f.alias("a"), f.alias("b")
-    w = windows.alias("w")
+    f = frames.join(windows.select(*keys).distinct(), keys, "left_semi")
+    f = f.withColumns(cols) if cols else f
+    breaks = {f"{p.name}__{n}": c for p in predicates for n, c in p.breaks.items()}
+    first = f
+    if breaks:
+        first = f.join(with_breaks(f, keys, breaks, windows.select(*keys, F.col("t0").alias("t")), reach), [*keys, "t"])
+    a, b, w = first.alias("a"), f.alias("b"), windows.alias("w")
     j = w.join(a, [F.col(f"w.{k}") == F.col(f"a.{k}") for k in keys] + [F.col("a.t") == F.col("w.t0")]).join(b, [F.col(f"w.{k}") == F.col(f"b.{k}") for k in keys] + [F.col("b.t") == F.col("w.t1")])
     own = {p.name: set(p.columns) | set(p.breaks) for p in predicates}
 
@@ -158,18 +170,32 @@ def lane_change(steps: int = 1, side: str | None = None, min_shift: float | None
     return Predicate("change_lane", {}, test)
 
 
-def keep_lane(target: int | None = None) -> Predicate:
-    """Present on every frame, in t0's lane (or the target)."""
-    keys_end = {"end": lambda keys: run_end(F.col("present") & F.col("lane_id").isNotNull(), keys), "turn": lambda keys: next_true(F.col("lane_id") != _before("lane_id", keys), keys)}
+def lane_change_from(steps: int, side: str) -> Predicate:
+    """For an ordered pair: the ego ends in the lane that lies ``steps`` to the side of the npc's lane at the start."""
+
+    def test(a, b):
+        l0, base = a("ego_lane_id"), a("npc_lane_id")
+        there = step_lane(base, steps if side == "left" else -steps)
+        return a("ego_present") & b("ego_present") & (l0 != 0) & (base != 0) & (b("ego_lane_id") == there)
+
+    return Predicate("change_lane", {}, test)
+
+
+def keep_lane(target: int | None = None, share: float | None = None) -> Predicate:
+    """Present on every frame, in t0's lane (or the target). share: on that share of the frames instead, of the target lane, which must be given."""
+    if share is not None:
+        cols = _count(F.col("present") & (F.col("lane_id") == target), "in")
+        return Predicate("keep_lane", cols, lambda a, b: _in(a, b, "in") >= share * _frames(a, b))
+    cols = {
+        "end": lambda keys: run_end(F.col("present") & F.col("lane_id").isNotNull(), keys),
+        "moves": lambda keys: running(F.coalesce(F.col("lane_id") != _before("lane_id", keys), F.lit(False)), keys),
+    }
 
     def test(a, b):
         same = (a("lane_id") == target) if target is not None else F.lit(True)
-        # from t0 on there is no lane change up to t1: the next change after t0 is the next one at t0 + 1 or later
         return same & (a("end") >= b("t1")) & (b("moves") == a("moves"))
 
-    keys_end["moves"] = lambda keys: running(F.coalesce(F.col("lane_id") != _before("lane_id", keys), F.lit(False)), keys)
-    keys_end.pop("turn")
-    return Predicate("keep_lane", keys_end, test)
+    return Predicate("keep_lane", cols, test)
 
 
 def _before(x, keys):
@@ -233,6 +259,11 @@ def position(side: str, lo=None, hi=None, tol: float = 50, at: str = "start") ->
     return Predicate(f"position_{side}_{at}", {}, test)
 
 
+def yaw(x: str, lo, hi, at: str = "start") -> Predicate:
+    """A yaw, or the yaw against the road, in bounds at one end; in radians, without tolerance."""
+    return value_at(x, lo, hi, at, f"{x}_{at}")
+
+
 def lateral(side: str, lo=None, hi=None, at: str = "start", allow_missing: bool = True) -> Predicate:
     def test(a, b):
         r = b if at == "end" else a
@@ -274,6 +305,10 @@ def assign_position(s: float, t: float | None, ds: float, dt: float) -> Predicat
     return Predicate("assign_position", {}, lambda a, b: (F.abs(b("s") - s) <= ds) & ((F.abs(b("t_lat") - t) <= dt) if t is not None else F.lit(True)))
 
 
+def assign_point(x: float, y: float, radius: float) -> Predicate:
+    return Predicate("assign_point", {}, lambda a, b: F.hypot(b("x") - x, b("y") - y) <= radius)
+
+
 def assign_orientation(yaw: float, tol: float = 0.05) -> Predicate:
     from ..functions.series import wrap_angle
 

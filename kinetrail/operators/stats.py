@@ -32,6 +32,82 @@ def windows_in_runs(frames: DataFrame, keys: list[str], least: int, most: int) -
     return r.groupBy(*keys).agg(F.sum(possible_windows((F.col("t1") - F.col("t0") + 1), least, most)).alias("n_possible"))
 
 
+def unconditional(frames: DataFrame, roles: dict[str, str | None], least: int, most: int, limit: int | None = None) -> DataFrame:
+    """scene_id, bindings, bindings_valid, possible_windows, cap_reached: of all assignments of actors to roles, whatever they do.
+
+    An actor that fits a role is present, with a speed, on enough consecutive frames; a valid binding has a run of
+    frames, least or longer, on which all its actors are present, and as many possible windows as fit in its runs.
+    limit: bindings of a scene that are looked at, the first in order of their actors.
+    """
+    from .binding import assignments, domain
+
+    b = assignments({r: domain(frames, kind, least, None) for r, kind in roles.items()}, limit)
+    here, joint = frames.where("present").select("scene_id", "actor_id", "t"), b
+    for i, r in enumerate(roles):
+        joint = joint.join(here.withColumnRenamed("actor_id", r), ["scene_id", r, *(["t"] if i else [])])
+    valid = windows_in_runs(joint, ["scene_id", *roles], least, most).where("n_possible > 0")
+    per = valid.groupBy("scene_id").agg(F.count("*").alias("bindings_valid"), F.sum("n_possible").alias("possible_windows"))
+    all_ = b.groupBy("scene_id").agg(F.count("*").alias("bindings")).join(per, "scene_id", "left").na.fill(0)
+    return all_.withColumn("cap_reached", F.lit(False) if limit is None else F.col("bindings") >= limit)
+
+
+def call_counters(signals: DataFrame) -> DataFrame:
+    """block, call, bindings_with_hits, frames_on: of signals (block, call, frames_on and the binding)."""
+    return signals.groupBy("block", "call").agg(F.count("*").alias("bindings_with_hits"), F.sum("frames_on").alias("frames_on"))
+
+
+def check_counters(checks: DataFrame, by: list[str] = []) -> DataFrame:
+    """check, true_frames, total_frames, signals, true_frac: summed over bindings (rows check, true_frames, frames)."""
+    c = checks.groupBy(*by, "check").agg(F.sum("true_frames").alias("true_frames"), F.sum("frames").alias("total_frames"), F.count("*").alias("signals"))
+    return c.withColumn("true_frac", ratio(F.col("true_frames"), F.col("total_frames")))
+
+
+def by_category(rows: DataFrame, category: str, value: str) -> DataFrame:
+    """category, n, total, mean, low, high, and the values that occur with their numbers, in order (bounded by the distinct values, not by the rows)."""
+    per = rows.groupBy(category, value).agg(F.count("*").alias("k"))
+    values = F.sort_array(F.collect_list(F.struct(F.col(value).alias("value"), F.col("k").alias("n"))))
+    return per.groupBy(category).agg(F.sum("k").alias("n"), F.sum(F.col(value) * F.col("k")).alias("total"), (F.sum(F.col(value) * F.col("k")) / F.sum(F.when(F.col(value).isNotNull(), F.col("k")))).alias("mean"), F.min(value).alias("low"), F.max(value).alias("high"), values.alias("values"))
+
+
+def flat_stats(documents: DataFrame, text: str = "value") -> DataFrame:
+    """document, path (keys and places from the root), number, other (JSON of what isn't a number) of the leaves of JSON documents (document, text)."""
+    import pyarrow as pa
+
+    def leaves(x, at):
+        if isinstance(x, dict) and x:
+            for k, v in x.items():
+                yield from leaves(v, [*at, k])
+        elif isinstance(x, list) and x and all(isinstance(v, (int, float)) and not isinstance(v, bool) for v in x):
+            yield [*at, f"[{len(x)}]"], None, None  # lists add up only if they are as long
+            for i, v in enumerate(x):
+                yield [*at, f"[{len(x)}]", str(i)], float(v), None
+        elif isinstance(x, (int, float)) and not isinstance(x, bool):
+            yield at, float(x), None
+        else:
+            import json
+
+            yield at, None, json.dumps(x, sort_keys=True)
+
+    def run(batches):
+        import json
+
+        for batch in batches:
+            out = []
+            for d, t in zip(batch.column("document").to_pylist(), batch.column("text").to_pylist()):
+                try:
+                    out += [(d, *x) for x in leaves(json.loads(t), [])]
+                except (TypeError, ValueError):
+                    continue  # a broken document is left out
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.string(), pa.list_(pa.string()), pa.float64(), pa.string()))], ["document", "path", "number", "other"])
+
+    return documents.select(F.col("document").cast("string").alias("document"), F.col(text).alias("text")).mapInArrow(run, "document string, path array<string>, number double, other string")
+
+
+def merged_stats(leaves: DataFrame) -> DataFrame:
+    """path, number, other of all documents' leaves: numbers add up, lists of one length by place, of anything else the first document's (in order of its name) stays."""
+    return leaves.groupBy("path").agg(F.sum("number").alias("number"), F.min_by("other", "document").alias("other"))
+
+
 def value_counts(values: DataFrame, by: list[str], value: str) -> DataFrame:
     """Counts by category; a null value counts as invalid."""
     return values.groupBy(*by, F.coalesce(F.col(value).cast("string"), F.lit("invalid")).alias("category")).agg(F.count("*").alias("n"))
@@ -71,8 +147,9 @@ def tightness(checks: DataFrame, k: int) -> DataFrame:
 
 
 def sample_windows(windows: DataFrame, keys: list[str], k: int) -> DataFrame:
-    """k windows, uniformly and the same every time: the lowest hashes of the keys and the window."""
-    return windows.orderBy(F.xxhash64(*keys, "t0", "t1"), *keys, "t0", "t1").limit(k)
+    """k windows, uniformly and the same every time: the lowest hashes of the keys and the window, written with blanks between."""
+    h = F.md5(F.concat_ws(" ", *[F.col(c).cast("string") for c in (*keys, "t0", "t1")]))
+    return windows.orderBy(h, *keys, "t0", "t1").limit(k)
 
 
 def weighted_pick(windows: DataFrame, by: list[str], k: int) -> DataFrame:
@@ -90,6 +167,17 @@ def dedupe_examples(examples: DataFrame) -> DataFrame:
     return e.withColumn("_a", t0).withColumn("_b", t1).withColumn("t1_greedy", F.least(F.greatest("t1_greedy", "_b"), last)).withColumn("t0", F.col("_a")).withColumn("t1_first", F.col("_b")).drop("_a", "_b")
 
 
+def lane_change_parameters(windows: DataFrame, frames: DataFrame) -> DataFrame:
+    """For windows (scene_id, ego, npc, t0, t1): the npc's first change into another lane, how long before t1 it is, its speeds at t0 and there, and the gap to the ego there."""
+    w = Window.partitionBy("scene_id", "actor_id").orderBy("t")
+    n = frames.withColumn("moved", F.col("lane_id") != F.lag("lane_id").over(w)).select("scene_id", F.col("actor_id").alias("npc"), "t", F.col("speed").alias("v"), F.col("s").alias("ns"), F.col("lane_id").alias("to"), "moved")
+    e = frames.select("scene_id", F.col("actor_id").alias("ego"), "t", F.col("s").alias("es"))
+    j = windows.join(n, ["scene_id", "npc"]).where("t between t0 and t1").join(e, ["scene_id", "ego", "t"], "left")
+    first = F.min(F.when(F.col("moved") & (F.col("t") > F.col("t0")), F.struct("t", "to", "v", (F.col("ns") - F.col("es")).alias("gap"))))
+    g = j.groupBy("scene_id", "ego", "npc", "t0", "t1").agg(F.max(F.when(F.col("t") == F.col("t0"), F.col("v"))).alias("speed_start"), first.alias("c"))
+    return g.select("scene_id", "ego", "npc", "t0", "t1", "speed_start", F.col("c.t").alias("t_change"), F.col("c.to").alias("to_lane"), F.col("c.v").alias("speed_change"), F.col("c.gap").alias("gap_change"), (F.col("t1") - F.col("c.t")).alias("frames_left"))
+
+
 def quantise(x: Column, step: float) -> Column:
     """The nearest multiple of the step, halves to even."""
     return F.rint(x / step) * step

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.intervals import islands, next_true, running
+from ..functions.intervals import coalesce_intervals, islands, run_end, running
 
 
 def candidates(frames: DataFrame, keys: list[str], start: str, end: str, during: str, min_len: int, max_len: int | None) -> DataFrame:
@@ -44,6 +44,32 @@ def greedy(hits: DataFrame, keys: list[str]) -> DataFrame:
     return g.select(*keys, F.explode(fold).alias("h")).select(*keys, "h.t0", "h.t1")
 
 
+def grown(frames: DataFrame, keys: list[str], check: str | None) -> DataFrame:
+    """keys, t0, t1: from each frame on as long as the check holds; without a check to the last frame, whatever else a call asks for."""
+    ok = F.expr(check) if check is not None else F.lit(True)
+    return frames.select(*keys, F.col("t").alias("t0"), run_end(ok, keys).alias("t1")).where("t1 >= t0")
+
+
+def first_pair(windows: DataFrame) -> DataFrame:
+    """Of windows of pairs (scene_id, ego, npc, t0, t1), for each scene and start the first pair's with its first end."""
+    return windows.groupBy("scene_id", "t0").agg(F.min(F.struct("ego", "npc", "t1")).alias("m")).select("scene_id", "m.ego", "m.npc", "t0", "m.t1")
+
+
+def hit_table(windows: DataFrame, keys: list[str]) -> DataFrame:
+    """One row a binding: its first start t0, and t1, the end of that start's first run of ends; n_windows, the ends of that start."""
+    first = windows.groupBy(*keys).agg(F.min("t0").alias("t0"))
+    w = windows.join(first, [*keys, "t0"])
+    run = end_ranges(w, keys).groupBy(*keys, "t0").agg(F.min_by("t1_hi", "t1_lo").alias("t1"))
+    return run.join(w.groupBy(*keys, "t0").agg(F.count("*").alias("n_windows")), [*keys, "t0"])
+
+
+def signals(hits: DataFrame, keys: list[str]) -> DataFrame:
+    """What is kept of a call's hits (keys, t0, t1) for a binding: intervals (merged), frames_on, n_hits, and end, the last frame of the hit where there is only one."""
+    n = hits.groupBy(*keys).agg(F.count("*").alias("n_hits"), F.max("t1").alias("_last"))
+    iv = coalesce_intervals(hits.select(*keys, "t0", "t1"), keys).groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("t0", "t1"))).alias("intervals"), F.sum(F.col("t1") - F.col("t0") + 1).alias("frames_on"))
+    return iv.join(n, keys).select(*keys, "intervals", "frames_on", "n_hits", F.when(F.col("n_hits") == 1, F.col("_last")).alias("end"))
+
+
 def check_statistics(frames: DataFrame, keys: list[str], checks: dict[str, str]) -> DataFrame:
     """keys, check, true_frames, frames, runs of each frame check."""
     out = None
@@ -86,5 +112,3 @@ def one_of(hits: list[DataFrame], keys: list[str]) -> DataFrame:
         out = out.union(h.select(*keys, "t0", "t1"))
     return out.distinct()
 
-
-__all__ = ["next_true"] + [n for n in dir() if not n.startswith("_")]

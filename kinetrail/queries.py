@@ -17,7 +17,7 @@ from .operators import results as R
 from .operators import stats as A
 from .operators import windows as W
 from .plans import dsl, matcher
-from .sources.traj import PAIRS_SQL, TRAJ_SQL, traj
+from .sources.traj import GAPS_SQL, PAIRS_SQL, TRAJ_SQL, gaps, traj
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -116,12 +116,12 @@ def ser7_ser9_clean(p):
 
 @query(""" select scene_id, actor_id, actor_type, count(*) filter (where present) as n_frames from traj where lane_id = -1 group by all having count(*) filter (where present) >= 5""")
 def ser21_condensed(t):
-    return t.where("lane_id = -1").groupBy(*KEYS, "actor_type").agg(F.count_if("present").alias("n_frames")).where("n_frames >= 5")
+    return S.condensed(t, [*KEYS, "actor_type"], "lane_id = -1", 5)
 
 
 @query(" select actor_type, count(distinct actor_id) as actors from traj group by 1")
 def ser22_type_counts(t):
-    return t.groupBy("actor_type").agg(F.countDistinct("actor_id").alias("actors"))
+    return S.type_counts(t)
 
 
 @query(" select scene_id, actor_id, t, speed from traj where present")
@@ -140,8 +140,7 @@ def ser23_sparse_encode(t):
 @query(""" , d as (select *, s - lag(s) over (partition by actor_id order by t) as ds from traj)
  select actor_type, count(*) as n, count(*) filter (where ds <> speed) as s_mismatch, count(*) filter (where speed < 0 or speed > 100000) as out_of_bounds, max(abs(ds - speed)) as worst from d group by 1""")
 def ser24_sanity(t):
-    d = t.withColumn("ds", F.col("s") - F.lag("s").over(S.along()))
-    return d.groupBy("actor_type").agg(F.count("*").alias("n"), F.count_if(F.expr("ds <> speed")).alias("s_mismatch"), F.count_if(F.expr("speed < 0 or speed > 100000")).alias("out_of_bounds"), F.max(F.abs(F.col("ds") - F.col("speed"))).alias("worst"))
+    return S.sanity(t, 100000)
 
 
 # ---- interval algebra ----------------------------------------------------------------------
@@ -192,36 +191,36 @@ def agg15_possible_windows(t):
 
 # ---- predicates over windows ---------------------------------------------------------------
 
-_WIN = """ , win as (select a.scene_id, a.actor_id, a.t as t0, b.t as t1 from traj a join traj b on a.actor_id = b.actor_id and b.t = a.t + 7 where a.t % 4 = 0),
+_WIN = """ , win as (select a.scene_id, a.actor_id, a.t as t0, b.t as t1 from traj a join traj b on a.actor_id = b.actor_id and b.t = a.t + 7),
  fr as (select w.scene_id, w.actor_id, w.t0, w.t1, f.t, f.present, f.speed, f.s, f.lane_id, f.t_lat, a.speed as v0, a.lane_id as l0, a.s as s0, b.speed as v1, b.lane_id as l1, b.s as s1, a.present as p0, b.present as p1, a.t_lat as k0, b.t_lat as k1
         from win w join traj f on f.actor_id = w.actor_id and f.t between w.t0 and w.t1 join traj a on a.actor_id = w.actor_id and a.t = w.t0 join traj b on b.actor_id = w.actor_id and b.t = w.t1)
  select scene_id, actor_id, t0, t1, coalesce({}, false) as ok from fr group by scene_id, actor_id, t0, t1"""
 
 
-def _windows(frames: DataFrame, keys: list[str], more: int, every: int | None) -> DataFrame:
-    """Windows of ``more`` frames behind their first, from each start or only from those that ``every`` divides."""
-    a = frames.select(*keys, F.col("t").alias("t0"))
-    a = a if every is None else a.where(f"t0 % {every} = 0")
+def _windows(frames: DataFrame, keys: list[str], more: int) -> DataFrame:
+    """Windows of ``more`` frames behind their first, from each start."""
+    a = frames.select(*keys, F.col("t").alias("t0")).withColumn("t1", F.col("t0") + more)
     # equal keys only, so that the join has one row a window
-    return a.withColumn("t1", F.col("t0") + more).join(frames.select(*keys, F.col("t").alias("t1")), [*keys, "t1"]).select(*keys, "t0", "t1")
+    return a.join(frames.select(*keys, F.col("t").alias("t1")), [*keys, "t1"]).select(*keys, "t0", "t1")
 
 
-def _register(name: str, sql: str, thin: str, keys: list[str], more: int, every: int, make, frames) -> None:
-    """Two queries: ``name`` tests a sample of starts, as its SQL does; ``name_all_starts`` tests all of them."""
+def _register(name: str, sql: str, keys: list[str], more: int, make, frames) -> None:
+    def run(spark, sf_dir):
+        f, p = frames(spark, sf_dir), make()
+        return P.evaluate(f, _windows(f, keys, more), keys, [p], more).withColumnRenamed(p.name, "ok")
 
-    def put(name, sql, every):
-        def run(spark, sf_dir):
-            f, p = frames(spark, sf_dir), make()
-            return P.evaluate(f, _windows(f, keys, more, every), keys, [p]).withColumnRenamed(p.name, "ok")
+    QUERIES[name], ORACLE_SQL[name] = run, sql
 
-        QUERIES[name], ORACLE_SQL[name] = run, sql
 
-    put(name, sql, every)
-    put(f"{name}_all_starts", sql.replace(thin, ""), None)
+#: Queries on the table with gaps say in SQL what the plain ones do; those without one here need the plain table's values.
+def _with_gaps(sql: str) -> str:
+    return sql.replace(f"with {TRAJ_SQL}", f"with {TRAJ_SQL.replace('traj as (', 'plain as (', 1)}, {GAPS_SQL}")
 
 
-def predicate(name: str, cond: str, make, prepare=lambda t: t):
-    _register(name, _T + _WIN.format(cond), " where a.t % 4 = 0", KEYS, 7, 4, make, lambda spark, sf_dir: prepare(traj(spark, sf_dir)))
+def predicate(name: str, cond: str, make, prepare=lambda t: t, gap_cond: str | None = None):
+    sql = _T + _WIN
+    _register(name, sql.format(cond), KEYS, 7, make, lambda spark, sf_dir: prepare(traj(spark, sf_dir)))
+    _register(f"{name}_gaps", _with_gaps(sql).format(gap_cond or cond), KEYS, 7, make, lambda spark, sf_dir: prepare(gaps(traj(spark, sf_dir))))
 
 
 _AT0, _AT1 = "any_value({}) filter (where t = t0)", "any_value({}) filter (where t = t1)"
@@ -243,7 +242,7 @@ predicate("prd25_keep_lane", "bool_and(present and lane_id = l0)", P.keep_lane)
 predicate("prd25_follow_lane", "bool_and(present and lane_id = -2)", lambda: P.keep_lane(-2))
 predicate("prd24_keep_acceleration", "bool_and(coalesce(abs(t_lat - k0) <= 60, false))", lambda: P.keep("t_lat", 60))
 
-_PWIN = """ , win as (select a.scene_id, a.ego, a.npc, a.t as t0, b.t as t1 from pairs a join pairs b on a.ego = b.ego and a.npc = b.npc and b.t = a.t + 5 where a.t % 6 = 0),
+_PWIN = """ , win as (select a.scene_id, a.ego, a.npc, a.t as t0, b.t as t1 from pairs a join pairs b on a.ego = b.ego and a.npc = b.npc and b.t = a.t + 5),
  fr as (select w.scene_id, w.ego, w.npc, w.t0, w.t1, f.t, f.ds, f.dt, f.lat_rel, f.rel_position, f.ego_speed, f.npc_speed, f.ego_present, f.npc_present, f.ego_lane_id, f.npc_lane_id,
                a.ds as ds0, a.dt as dt0, a.rel_position as rp0, a.lat_rel as lr0, a.ego_speed as ev0, a.npc_speed as nv0, a.ego_lane_id as el0, a.npc_lane_id as nl0,
                b.ds as ds1, b.dt as dt1, b.rel_position as rp1, b.lat_rel as lr1, b.ego_speed as ev1
@@ -251,8 +250,10 @@ _PWIN = """ , win as (select a.scene_id, a.ego, a.npc, a.t as t0, b.t as t1 from
  select scene_id, ego, npc, t0, t1, coalesce({}, false) as ok from fr group by scene_id, ego, npc, t0, t1"""
 
 
-def pair_predicate(name: str, cond: str, make, prepare=lambda p: p):
-    _register(name, _P + _PWIN.format(cond), " where a.t % 6 = 0", PAIR, 5, 6, make, lambda spark, sf_dir: prepare(S.pairs(traj(spark, sf_dir))))
+def pair_predicate(name: str, cond: str, make, prepare=lambda p: p, gap_cond: str | None = None):
+    sql = _P + _PWIN
+    _register(name, sql.format(cond), PAIR, 5, make, lambda spark, sf_dir: prepare(S.pairs(traj(spark, sf_dir))))
+    _register(f"{name}_gaps", _with_gaps(sql).format(gap_cond or cond), PAIR, 5, make, lambda spark, sf_dir: prepare(S.pairs(gaps(traj(spark, sf_dir)))))
 
 
 pair_predicate("prd3_same_speed", "any_value(abs(ev0 - nv0) <= 3000)", lambda: P.same_speed(3000))
@@ -328,9 +329,10 @@ def jn14_chain(t):
     return B.chain(*_calls(t), KEYS)
 
 
-@query(_CALLS + " select x.scene_id, x.actor_id, x.t0, x.t1 from (select scene_id, actor_id, min(struct_pack(t0 := t0, t1 := t1)) as w, min(t0) as t0, arg_min(t1, t0) as t1 from x group by scene_id, actor_id) x join (select actor_id, min(t0) as t0, arg_min(t1, t0) as t1 from y group by actor_id) y on x.actor_id = y.actor_id and x.t0 = y.t0 and x.t1 = y.t1")
-def jn11_jn12_equal_windows(t):
-    return B.equal_windows(*_calls(t), KEYS)
+@query(" , x as " + _ISL.format("lane_id = -1") + ", y as " + _ISL.format("lane_id = -1 and speed > 100") + """ select x.scene_id, x.actor_id, x.t0, x.t1 from (select scene_id, actor_id, min(t0) as t0, arg_min(t1, t0) as t1 from x group by scene_id, actor_id) x
+ join (select actor_id, min(t0) as t0, arg_min(t1, t0) as t1 from y group by actor_id) y on x.actor_id = y.actor_id and x.t0 = y.t0 and x.t1 = y.t1""")
+def jn11_equal_windows(t):
+    return B.equal_windows(I.islands(t.where("lane_id = -1"), KEYS), I.islands(t.where("lane_id = -1 and speed > 100"), KEYS), KEYS)
 
 
 @query(_CALLS + " select x.scene_id, x.actor_id, greatest(x.t0, y.t0) as lo, least(x.t1, y.t1) + 1 as hi from x join y on x.actor_id = y.actor_id where least(x.t1, y.t1) + 1 - greatest(x.t0, y.t0) >= 2")
@@ -438,10 +440,15 @@ UNITS_OF_TRAJ = matcher.Config(fps=1.0, scale=100.0, tol_gap=0.0)
 
 
 def run_text(text: str, frames: DataFrame) -> DataFrame:
+    """The hits of a program's first block."""
+    return next(iter(matcher.match(compiled(text), frames, UNITS_OF_TRAJ).values()))
+
+
+def compiled(text: str) -> dsl.Program:
     p = dsl.compile_text(text)
     if p.errors:
         raise ValueError("; ".join(p.errors))
-    return next(iter(matcher.match(p, frames, UNITS_OF_TRAJ).values()))
+    return p
 
 
 _CUT_IN = """ , a as (select * from traj where actor_type = 'vehicle'),
@@ -542,7 +549,7 @@ def agg14_tightness(t):
     return A.tightness(c, 2)
 
 
-@query(None)
+@query(_CAND + " select * from c order by md5(concat_ws(' ', scene_id, actor_id, t0, t1)), scene_id, actor_id, t0, t1 limit 50")
 def agg16_sample(t):
     return A.sample_windows(_cand(t), KEYS, 50)
 
@@ -576,8 +583,7 @@ def agg20_snk6_examples(t):
 
 @query(" select actor_type, count(*) as n, avg(speed) as mean_speed, stddev(speed) as sd_speed from traj where present group by 1 order by 2 desc")
 def agg21_sql(t):
-    t.createOrReplaceTempView("kinetrail_traj")
-    return t.sparkSession.sql("select actor_type, count(*) as n, avg(speed) as mean_speed, stddev(speed) as sd_speed from kinetrail_traj where present group by 1 order by 2 desc")
+    return t.sparkSession.sql("select actor_type, count(*) as n, avg(speed) as mean_speed, stddev(speed) as sd_speed from {frames} where present group by 1 order by 2 desc", frames=t)
 
 
 @query(" select scene_id, actor_id, t, round_even(speed / 250.0, 0) * 250.0 as q from traj")
@@ -632,3 +638,10 @@ def jn19_actors_in_segments(t):
     lanes = t.select("scene_id", "lane_id").distinct()
     both = lanes.withColumn("segment_id", F.lit("both")).unionByName(lanes.where("lane_id = -1").withColumn("segment_id", F.lit("right")))
     return M.actors_in_segments(t, both.union(both))
+
+
+from . import language_queries, run_queries  # noqa: E402
+
+for _m in (language_queries, run_queries):
+    QUERIES |= _m.QUERIES
+    ORACLE_SQL |= _m.ORACLE_SQL

@@ -259,11 +259,6 @@ def position(side: str, lo=None, hi=None, tol: float = 50, at: str = "start") ->
     return Predicate(f"position_{side}_{at}", {}, test)
 
 
-def yaw(x: str, lo, hi, at: str = "start") -> Predicate:
-    """A yaw, or the yaw against the road, in bounds at one end; in radians, without tolerance."""
-    return value_at(x, lo, hi, at, f"{x}_{at}")
-
-
 def lateral(side: str, lo=None, hi=None, at: str = "start", allow_missing: bool = True) -> Predicate:
     def test(a, b):
         r = b if at == "end" else a

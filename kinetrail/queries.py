@@ -212,8 +212,8 @@ def _register(name: str, sql: str, keys: list[str], more: int, make, frames) ->
     QUERIES[name], ORACLE_SQL[name] = run, sql
 
 
-#: Queries on the table with gaps say in SQL what the plain ones do; those without one here need the plain table's values.
 def _with_gaps(sql: str) -> str:
+    """The same over the table with gaps."""
     return sql.replace(f"with {TRAJ_SQL}", f"with {TRAJ_SQL.replace('traj as (', 'plain as (', 1)}, {GAPS_SQL}")
 
 
@@ -226,26 +226,27 @@ def predicate(name: str, cond: str, make, prepare=lambda t: t, gap_cond: str | N
 _AT0, _AT1 = "any_value({}) filter (where t = t0)", "any_value({}) filter (where t = t1)"
 predicate("prd1_presence", "count(*) filter (where present) >= 0.9 * count(*) or count(*) filter (where not present) <= 0", P.presence)
 predicate("prd2_speed_always", "count(*) filter (where present and not (speed between 200 and 40000)) <= 1 and count(*) filter (where present) > 0", lambda: P.in_range_always("speed", 200, 40000, max_false=1))
-predicate("prd2_speed_share", "count(*) filter (where speed between 500 and 20000) >= 0.5 * count(*)", lambda: P.in_range_share("speed", 500, 20000, 0.5))
+predicate("prd2_speed_share", "count(*) filter (where speed between 500 and 20000) >= 0.5 * count(*)", lambda: P.in_range_share("speed", 500, 20000, 0.5), gap_cond="count(*) filter (where speed between 500 and 20000) >= 0.5 * count(speed) and count(speed) > 0")
 predicate("prd2_speed_start", "any_value(v0) between 500 and 20000", lambda: P.value_at("speed", 500, 20000, "start"))
 predicate("prd6_lane_end", "any_value(l1) = -1", lambda: P.value_at("lane_id", -1, -1, "end"))
-predicate("prd9_change_lane", "any_value(p0 and p1 and l0 <> l1 and (l1 = case when l0 = -1 then 1 else l0 + 1 end or l1 = l0 - 1) and abs(k1 - k0) >= 20)", lambda: P.lane_change(1, None, 20))
-predicate("prd10_change_lane_left", "any_value(p0 and p1 and l0 = -2 and l1 = -1)", lambda: P.lane_change(1, "left"))
+predicate("prd9_change_lane", "any_value(p0 and p1 and l0 <> l1 and (l1 = case when l0 = -1 then 1 else l0 + 1 end or l1 = l0 - 1) and abs(k1 - k0) >= 20)", lambda: P.lane_change(1, None, 20), gap_cond="any_value(p0 and p1 and l0 <> l1 and (l1 = case when l0 = -1 then 1 else l0 + 1 end or l1 = case when l0 = 1 then -1 else l0 - 1 end) and abs(k1 - k0) >= 20)")
+predicate("prd10_change_lane_left", "any_value(p0 and p1 and l0 = -2 and l1 = -1)", lambda: P.lane_change(1, "left"), gap_cond="any_value(p0 and p1 and l1 = case when l0 = -1 then 1 else l0 + 1 end)")
 predicate("prd10_change_lane_target", "any_value(p0 and p1 and l0 <> l1 and l1 = -2)", lambda: P.lane_change(target=-2))
 predicate("prd12_change_speed", "any_value(v1 - v0) between 1000 and 30000", lambda: P.change("speed", 1000, 30000))
-predicate("prd13_mean_speed", "sum(speed) >= 5000 * count(*) and sum(speed) <= 15000 * count(*)", lambda: P.mean_in_range("speed", 5000, 15000))
+predicate("prd13_mean_speed", "sum(speed) >= 5000 * count(*) and sum(speed) <= 15000 * count(*)", lambda: P.mean_in_range("speed", 5000, 15000), gap_cond="count(speed) > 0 and sum(speed) >= 5000 * count(speed) and sum(speed) <= 15000 * count(speed)")
 predicate("prd20_assign_speed", "any_value(v1) between 990 and 9010", lambda: P.value_at("speed", *P.bounds(5000, None, 4010), "end"))
 predicate("prd18_assign_position", "any_value(abs(s1 - 50000) <= 20000 and abs(k1 - 50) <= 30)", lambda: P.assign_position(50000, 50, 20000, 30))
 predicate("prd21_stationary", "count(*) filter (where present and abs(speed) > 20000) = 0 and count(*) filter (where present) > 0", lambda: P.stationary(20000))
-predicate("prd22_keep_speed", "bool_and(abs(speed - v0) <= 15000)", lambda: P.keep("speed", 15000))
-predicate("prd25_keep_lane", "bool_and(present and lane_id = l0)", P.keep_lane)
-predicate("prd25_follow_lane", "bool_and(present and lane_id = -2)", lambda: P.keep_lane(-2))
+predicate("prd22_keep_speed", "bool_and(coalesce(abs(speed - v0) <= 15000, false))", lambda: P.keep("speed", 15000))
+predicate("prd25_keep_lane", "bool_and(coalesce(present and lane_id = l0, false))", P.keep_lane)
+predicate("prd25_follow_lane", "bool_and(coalesce(present and lane_id = -2, false))", lambda: P.keep_lane(-2))
+predicate("prd25_lane_share", "count(*) filter (where present and lane_id = -2) >= 0.6 * count(*)", lambda: P.keep_lane(-2, 0.6))
 predicate("prd24_keep_acceleration", "bool_and(coalesce(abs(t_lat - k0) <= 60, false))", lambda: P.keep("t_lat", 60))
 
 _PWIN = """ , win as (select a.scene_id, a.ego, a.npc, a.t as t0, b.t as t1 from pairs a join pairs b on a.ego = b.ego and a.npc = b.npc and b.t = a.t + 5),
  fr as (select w.scene_id, w.ego, w.npc, w.t0, w.t1, f.t, f.ds, f.dt, f.lat_rel, f.rel_position, f.ego_speed, f.npc_speed, f.ego_present, f.npc_present, f.ego_lane_id, f.npc_lane_id,
                a.ds as ds0, a.dt as dt0, a.rel_position as rp0, a.lat_rel as lr0, a.ego_speed as ev0, a.npc_speed as nv0, a.ego_lane_id as el0, a.npc_lane_id as nl0,
-               b.ds as ds1, b.dt as dt1, b.rel_position as rp1, b.lat_rel as lr1, b.ego_speed as ev1
+               b.ds as ds1, b.dt as dt1, b.rel_position as rp1, b.lat_rel as lr1, b.ego_speed as ev1, b.ego_lane_id as el1
         from win w join pairs f on f.ego = w.ego and f.npc = w.npc and f.t between w.t0 and w.t1 join pairs a on a.ego = w.ego and a.npc = w.npc and a.t = w.t0 join pairs b on b.ego = w.ego and b.npc = w.npc and b.t = w.t1)
  select scene_id, ego, npc, t0, t1, coalesce({}, false) as ok from fr group by scene_id, ego, npc, t0, t1"""
 
@@ -257,8 +258,8 @@ def pair_predicate(name: str, cond: str, make, prepare=lambda p: p, gap_cond: st
 
 
 pair_predicate("prd3_same_speed", "any_value(abs(ev0 - nv0) <= 3000)", lambda: P.same_speed(3000))
-pair_predicate("prd4_position_ahead", "any_value(-ds0 > 50 and -ds0 between 1000 and 60000)", lambda: P.position("ahead", 1000, 60000))
-pair_predicate("prd4_position_behind_end", "any_value(ds1 > 50 and ds1 between 1000 and 60000)", lambda: P.position("behind", 1000, 60000, at="end"))
+pair_predicate("prd4_position_ahead", "any_value(el0 is not null and -ds0 > 50 and -ds0 between 1000 and 60000)", lambda: P.position("ahead", 1000, 60000))
+pair_predicate("prd4_position_behind_end", "any_value(el1 is not null and ds1 > 50 and ds1 between 1000 and 60000)", lambda: P.position("behind", 1000, 60000, at="end"))
 pair_predicate("prd5_lateral", "any_value(lr0 = 'left' and abs(dt0) between 10 and 60)", lambda: P.lateral("left", 10, 60))
 pair_predicate("prd7_same_lane", "any_value(el0 = nl0)", P.same_lane)
 pair_predicate("prd16_change_gap", "any_value(rp1 = 'front' and ds1 between 1000 - 200 and 40000 + 200)", lambda: P.change_gap("ahead", 1000, 40000))

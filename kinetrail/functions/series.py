@@ -79,6 +79,17 @@ def yaw_or_heading(yaw: str = "yaw", x: str = "x", y: str = "y", keys: list[str]
     return F.coalesce(known(F.col(yaw)), back, ahead)
 
 
+def with_way(frames: DataFrame, keys: list[str] = KEYS) -> DataFrame:
+    """frames with way (metres from the first frame on with x and y, along those where the actor is present), way_next (way at the next such frame, this one included) and way_n (such frames so far)."""
+    w = along(keys)
+    before, upto, on = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
+    seen = F.coalesce(F.col("present") & known(F.col("x")).isNotNull() & known(F.col("y")).isNotNull(), F.lit(False))
+    f = frames.withColumns({"_px": F.last(F.when(seen, F.col("x")), True).over(before), "_py": F.last(F.when(seen, F.col("y")), True).over(before)})
+    f = f.withColumn("_step", F.when(seen, F.coalesce(F.hypot(F.col("x") - F.col("_px"), F.col("y") - F.col("_py")), F.lit(0.0))).otherwise(0.0))
+    f = f.withColumns({"way": F.sum("_step").over(upto), "way_n": F.sum(F.when(seen, 1).otherwise(0)).over(upto)})
+    return f.withColumn("way_next", F.first(F.when(seen, F.col("way")), True).over(on)).drop("_px", "_py", "_step")
+
+
 def lane_presence(lane: str = "lane_id") -> Column:
     return F.coalesce(F.rint(F.col(lane).cast("double")) != 0, F.lit(False))
 

@@ -102,7 +102,7 @@ scenario("dsl_position_behind", "drive()", at("ds0 > 50 and ds0 between 1000 and
 scenario("dsl_change_speed", "drive()", at("v1 - v0 between 1000 and 30000"), "change_speed([10mps..300mps])")
 scenario("dsl_acceleration", "drive()", "sum(accel) >= 100 * count(accel) and sum(accel) <= 20000 * count(accel) and count(accel) > 0", "acceleration([1mpss..200mpss])")
 scenario("dsl_acceleration_end", "drive()", at("a1 between -20000 and -100"), "acceleration([-200mpss..-1mpss], at: end)")
-scenario("dsl_distance", "drive()", at("coalesce(p2, true) and abs(coalesce(s2, s1) - s0) between 10000 and 50000"), "distance([100m..500m])")
+scenario("dsl_distance", "drive()", "coalesce(any_value(case when coalesce(p2, true) then abs(coalesce(s2, s1) - s0) end), case when count(*) >= 2 then sum(sqrt(pow(s_dot, 2) + pow(t_dot, 2))) filter (where t > t0) end) between 10000 and 50000", "distance([100m..500m])")
 scenario("dsl_modifier_change_lane", "drive()", at("l0 = -1 and l1 = -2 or l0 = 1 and l1 = -1"), "change_lane(side: right)")
 scenario("dsl_until", "drive()", "bool_or(abs(ds) / 1000.0 < 5)", "until rise(a.time_to_collision(reference: b) < 5s)", pair=True)
 

@@ -226,14 +226,34 @@ def keep_headway(tol: float, speed: str, least: float, gap: str = "ds") -> Predi
     return Predicate("keep_headway", {}, lambda a, b: a("stop").isNull() | (a("stop") > b("t1")), {"stop": (F.abs(h("q") - h("p")) <= tol) & same})
 
 
-def distance_traveled(lo, hi) -> Predicate:
-    """|s(te) - s(t0)| with te the frame behind t1 where there is one, present at both."""
+def distance_traveled(lo, hi, way: bool = False) -> Predicate:
+    """|s(te) - s(t0)| with te the frame behind t1 where there is one, present at both.
+
+    way: where that is unknown, the length of the way along the window's frames up to te, if two at least are known
+    (frames from series.with_way).
+    """
     from pyspark.sql import Window
 
     def nxt(x):
         return lambda keys: F.coalesce(F.lead(x).over(Window.partitionBy(*keys).orderBy("t")), F.col(x))
 
-    return Predicate("distance", {"s_end": nxt("s"), "p_end": nxt("present")}, lambda a, b: a("present") & b("p_end") & between(F.abs(b("s_end") - a("s")), lo, hi))
+    def last(x):  # the next frame's own value, null too, where there is one
+        def make(keys):
+            w = Window.partitionBy(*keys).orderBy("t")
+            return F.when(F.lead("t").over(w).isNull(), F.col(x)).otherwise(F.lead(x).over(w))
+
+        return make
+
+    if not way:
+        return Predicate("distance", {"s_end": nxt("s"), "p_end": nxt("present")}, lambda a, b: a("present") & b("p_end") & between(F.abs(b("s_end") - a("s")), lo, hi))
+
+    def test(a, b):
+        direct = F.when(a("present") & b("p_end"), F.abs(b("s_end") - a("s")))
+        own = F.when(a("present") & a("x").isNotNull() & a("y").isNotNull(), 1).otherwise(0)
+        along = F.when(b("n_end") - a("way_n") + own >= 2, b("way_end") - a("way_next"))
+        return between(F.coalesce(direct, along), lo, hi)
+
+    return Predicate("distance", {"s_end": last("s"), "p_end": last("present"), "way_end": last("way"), "n_end": last("way_n")}, test)
 
 
 def stationary(limit: float, speed: str = "speed") -> Predicate:

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.intervals import coalesce_intervals, running
-from ..functions.series import along, lateral_relation, pairs as pair_series
+from ..functions.series import along, lateral_relation, pairs as pair_series, with_way
 from ..operators import predicates as P
 from ..operators.binding import SYNONYMS
 from ..operators.windows import first_end, greedy
@@ -75,8 +75,8 @@ class Conditions:
     during. needs: columns that the frames must have.
     """
 
-    def __init__(self, calls: list[Call], roles: list[str], cfg: Config):
-        self.cfg = cfg
+    def __init__(self, calls: list[Call], roles: list[str], cfg: Config, way_known: bool = False):
+        self.cfg, self.way_known = cfg, way_known
         self.own: dict[str, dict[str, list]] = {at: {r: [] for r in roles} for at in ("start", "end", "during")}
         self.between: dict[str, list[tuple[str, str, Callable[[Get], Column]]]] = {"start": [], "end": [], "during": []}
         self.windows: dict[str, list[P.Predicate]] = {}
@@ -249,7 +249,7 @@ class Conditions:
         elif name in ("yaw", "yaw_delta") and isinstance(v, Quantity):
             self.put(at, [r], lambda g: P.between(g(r, name), *v.bounds(0, 1)), name)
         elif name == "distance" and isinstance(v, Quantity):
-            self.window([r], P.distance_traveled(*v.bounds(cfg.tol_gap, k)), "s")
+            self.window([r], P.distance_traveled(*v.bounds(cfg.tol_gap, k), way=self.way_known), "s")
         elif name == "keep_lane":
             self.window([r], P.keep_lane(), "lane_id")
         elif name == "keep_speed":
@@ -334,7 +334,8 @@ def _during_between(w: DataFrame, frames: DataFrame, keys: list[str], con: Condi
 def call_windows(calls: list[Call], program_roles: dict[str, str | None], frames: DataFrame, cfg: Config, duration: Quantity | None, pairs: DataFrame | None = None) -> DataFrame:
     """scene_id, one column a role, t0, t1 of all windows in which all calls hold at once."""
     roles = roles_of(calls)
-    con = Conditions(calls, roles, cfg)
+    way_known = {"x", "y"} <= set(frames.columns)
+    con = Conditions(calls, roles, cfg, way_known)
     lack = sorted(n for n in con.needs if n not in frames.columns and n != "ttc")
     if lack:
         raise ValueError(f"the frames have no {', '.join(lack)}")
@@ -352,7 +353,8 @@ def call_windows(calls: list[Call], program_roles: dict[str, str | None], frames
         j = j.where((F.col(f"{r}_b") == F.col(f"{r}_b_end")) & (F.col(f"{r}_n_end") - F.col(f"{r}_n") == F.col("t1") - F.col("t0")))
     w = _during_between(j.select(*keys, "t0", "t1"), frames, keys, con)
     for r, ps in con.windows.items():
-        w = _holding(w, {r: "actor_id"}, frames, P.ACTOR, ps, hi)
+        ways = way_known and any("way_end" in p.columns for p in ps)
+        w = _holding(w, {r: "actor_id"}, with_way(frames) if ways else frames, P.ACTOR, ps, hi)
     for (a, b), ps in con.pair_windows.items():
         own = w.select("scene_id", F.col(a).alias("ego"), F.col(b).alias("npc")).distinct()
         w = _holding(w, {a: "ego", b: "npc"}, pair_frames(frames, own, pairs), P.PAIR, ps, hi)

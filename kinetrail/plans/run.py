@@ -11,6 +11,7 @@ from ..functions.intervals import possible_windows
 from ..operators import results as R
 from ..operators.windows import first_end, hit_table, signals
 from ..sources.scenes import write_results
+from ..units import Quantity
 from .dsl import Call, Program
 from .matcher import Config, block_windows, call_windows, pair_frames
 
@@ -42,7 +43,7 @@ def tables(program: Program, frames: DataFrame, scenario: str, run_id: str, cfg:
         roles = [c for c in w.columns if c not in ("scene_id", "t0", "t1")]
         h = R.hit_rows(hit_table(w, ["scene_id", *roles]), roles)
         calls = [c for c in b.children if isinstance(c, Call)]
-        lo, hi = (b.effective(calls, cfg.duration_policy) or b.duration).frames(cfg.fps) if (b.effective(calls, cfg.duration_policy) or b.duration) else (1, 1)
+        lo, hi = (b.effective(calls, cfg.duration_policy) or Quantity(*cfg.default_duration)).frames(cfg.fps)
         names = (F.lit(scenario).alias("scenario"), F.lit(run_id).alias("run_id"), F.lit(b.label).alias("block_label"))
         n = h.join(lengths, "scene_id").withColumn("n_possible_windows", possible_windows(F.col("_T"), lo, hi))
         out["hits"].append(n.select(*names, "scene_id", "hit_id", "roles_json", "t0", "t1", "n_windows", "n_possible_windows"))

@@ -240,6 +240,17 @@ predicate("prd21_stationary", "count(*) filter (where present and abs(speed) > 2
 predicate("prd22_keep_speed", "bool_and(coalesce(abs(speed - v0) <= 15000, false))", lambda: P.keep("speed", 15000))
 predicate("prd25_keep_lane", "bool_and(coalesce(present and lane_id = l0, false))", P.keep_lane)
 predicate("prd25_follow_lane", "bool_and(coalesce(present and lane_id = -2, false))", lambda: P.keep_lane(-2))
+def _ways(t):
+    """Every third position along the road unknown, so that the way counts."""
+    return S.with_way(t.withColumns({"x": F.col("s").cast("double"), "y": F.col("t_lat").cast("double"), "s": F.when(F.col("t") % 3 != 0, F.col("s"))}))
+
+
+_WAY = """ , pts as (select w.scene_id, w.actor_id, w.t0, w.t1, f.t, f.s as x, f.t_lat as y from win w join traj f on f.actor_id = w.actor_id and f.t between w.t0 and w.t1 + 1 and f.present and f.s is not null and f.t_lat is not null),
+ st as (select *, sqrt(pow(cast(x - lag(x) over v as double), 2) + pow(cast(y - lag(y) over v as double), 2)) as d from pts window v as (partition by actor_id, t0, t1 order by t)), way as (select actor_id, t0, t1, sum(d) as d, count(*) as n from st group by all)
+ select w.scene_id, w.actor_id, w.t0, w.t1, coalesce(coalesce(case when a.present and e.present and a.t % 3 <> 0 and e.t % 3 <> 0 then abs(e.s - a.s) end, case when way.n >= 2 then way.d end) between 20000 and 70000, false) as ok
+ from win w join traj a on a.actor_id = w.actor_id and a.t = w.t0 join traj e on e.actor_id = w.actor_id and e.t = least(w.t1 + 1, (select max(t) from traj m where m.actor_id = w.actor_id)) left join way on way.actor_id = w.actor_id and way.t0 = w.t0 and way.t1 = w.t1"""
+for _name, _of, _sql in (("prd15_distance_or_way", lambda t: t, _T), ("prd15_distance_or_way_gaps", gaps, _with_gaps(_T))):
+    _register(_name, _sql + _WIN.split(",\n fr as (")[0] + _WAY, KEYS, 7, lambda: P.distance_traveled(20000, 70000, True), lambda spark, sf_dir, of=_of: _ways(of(traj(spark, sf_dir))))
 predicate("prd25_lane_share", "count(*) filter (where present and lane_id = -2) >= 0.6 * count(*)", lambda: P.keep_lane(-2, 0.6))
 predicate("prd24_keep_acceleration", "bool_and(coalesce(abs(t_lat - k0) <= 60, false))", lambda: P.keep("t_lat", 60))
 

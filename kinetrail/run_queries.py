@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .functions import intervals as I
 from .functions import series as S
 from .language_queries import _ALONE, _CHAIN, _TWO, UNITS, program
 from .operators import binding as B
 from .operators import stats as A
 from .operators import windows as W
-from .plans import matcher, run
+from .plans import run
 from .sources.traj import PAIRS_SQL, RICH_SQL, TRAJ_SQL, rich, traj
 
 QUERIES: dict = {}

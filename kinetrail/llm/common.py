@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 
@@ -14,6 +16,10 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 1 << 20
 
 
+#: Files of a scratch table whose rows are known, at least, and rows of each.
+LEAST_FILES, FILE_ROWS = 8, 100_000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -24,10 +30,50 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
 
+def give_back() -> None:
+    """Returns a worker's free memory to the system: the next task may be another operator's, in another worker."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library keeps what it has
+        pass
+
+
+def batchwise(run, *forget):
+    """``run`` for mapInArrow, after which the worker calls the functions ``forget`` and gives its memory back."""
+
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            for f in (*forget, forget_powers):
+                f()
+            give_back()
+
+    return task
+
+
+def groupwise(run):
+    """``run`` for applyInArrow on tables, each group's memory given back when it was more than a few MB."""
+
+    def task(t: pa.Table) -> pa.Table:
+        size, out = t.nbytes, run(t)
+        if size > 4 << 20:
+            give_back()
+        return out
+
+    return task
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a local one only where the session names none (tests)."""
+    """The folder in spark.checkpoint.dir. Only a local master may do without: its executors are the driver's own process."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return named.rstrip("/") if named else f"file://{tempfile.gettempdir()}/kinetrail-{spark.sparkContext.applicationId}"
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+    return f"file://{tempfile.gettempdir()}/kinetrail-{spark.sparkContext.applicationId}"
 
 
 class Scratch:
@@ -36,8 +82,11 @@ class Scratch:
     def __init__(self, spark: SparkSession, what: str):
         self.spark, self.at = spark, f"{shared_folder(spark)}/kinetrail/{what}-{uuid.uuid4().hex}"
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
+    def keep(self, df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+        """The table, written and read again. rows: about how many it has, so that a small one isn't written as a file a shuffle partition."""
         path = f"{self.at}/{name}"
+        if rows is not None:
+            df = df.coalesce(max(LEAST_FILES, rows // FILE_ROWS))
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
@@ -52,6 +101,17 @@ def sent(df: DataFrame, most: int = 500_000) -> DataFrame:
     return F.broadcast(df) if df.count() <= most else df
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until no column of df has them."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n in taken:
+            n += "_"
+        out.append(n)
+    return out
+
+
 def low_hash(share: float) -> int:
     """The largest signed 64-bit hash of the lowest ``share`` of all."""
     return min(int(share * 2**64), 2**64 - 1) - 2**63
@@ -119,6 +179,10 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+def forget_powers() -> None:
+    _powers[:] = [np.zeros(0, np.uint64)] * 2
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """base ** i and base ** -i modulo 2 ** 64 for i <= n."""
     if len(_powers[0]) <= n:
@@ -155,6 +219,17 @@ def words(text: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
+def bare(text: np.ndarray, start: np.ndarray, end: np.ndarray, mark: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of words without the marks (a table by byte) at their ends; of a word of marks alone the last one is left."""
+    if not len(start):
+        return start, end
+    at, solid = np.arange(len(text)), ~mark[text]
+    behind = np.minimum.accumulate(np.where(solid, at, len(text))[::-1])[::-1]
+    before = np.maximum.accumulate(np.where(solid, at, -1))
+    first = np.minimum(behind[start], end - 1)
+    return first, np.maximum(before[end - 1], first) + 1
+
+
 def row_bounds(rows: np.ndarray, n: int) -> np.ndarray:
     """Where each of n rows begins in a sorted row column, and its end."""
     return np.searchsorted(rows, np.arange(n + 1))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +23,7 @@ def _small(e: DataFrame) -> DataFrame:
     return rest.union(low.select("u", F.col("m").alias("v"))).distinct()
 
 
-def components(edges: DataFrame, scratch: Scratch, name: str = "cc", rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch, name: str = "cc") -> DataFrame:
     """(node, component) of every node with an edge other than to itself; component is its smallest node.
 
     ``edges`` has two columns of one ordered type. Each round ends in a written table. Only counts come to
@@ -30,14 +32,13 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "cc", rounds: int
     u, v = edges.columns
     e = scratch.keep(edges.select(F.col(u).alias("u"), F.col(v).alias("v")).where("u <> v").distinct(), f"{name}0")
     sign = (F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h"))
-    before = None
-    for k in range(1, rounds):
-        e = scratch.keep(_small(_large(e)), f"{name}{k}")
+    before, rows = None, None
+    for k in count(1):  # ends, as each round shortens what is left of some path
+        e = scratch.keep(_small(_large(e)), f"{name}{k}", rows)
         scratch.drop(f"{name}{k - 1}")
         now = tuple(e.agg(*sign).first())
+        rows = now[0]
         if now == before or not now[0]:
             break
         before = now
-    else:
-        raise RuntimeError("components did not settle")
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

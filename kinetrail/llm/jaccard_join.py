@@ -22,8 +22,8 @@ what is shuffled is 4 bytes for 2 in 5 shingles (frequencies), 16 bytes for 1 in
 sets of candidates.
 
 Defined cases: a null or empty text has an empty set, links with nothing and is its own component. A null
-doc_id keeps its row; it counts as larger than any id, so a component of null ids alone is null. Rows that
-repeat a doc_id are documents of their own. Extra columns are ignored.
+doc_id keeps its row and its links; it counts as larger than any id, so a component of null ids alone is null.
+Rows that repeat a doc_id are documents of their own. Extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -83,60 +83,137 @@ def _sets(batches, k, extra=()):
             yield batch.slice(a, b - a), row, tok, *_fingerprints(row, tok, b - a)
 
 
+def _texts(docs: DataFrame) -> DataFrame:
+    """docs (doc_id, text) with th, a hash of the text: what a set is fetched by, whatever the row's id."""
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("th"))
+
+
 def signatures(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, n_shingles, fp of every row."""
+    """doc_id, n_shingles, fp, th of every row of docs (doc_id, text)."""
 
     def run(batches):
         for part, _, _, _, n, fp in _sets(batches, k):
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(fp)], ["doc_id", "n_shingles", "fp"])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(fp), part.column("th")], ["doc_id", "n_shingles", "fp", "th"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, n_shingles long, fp long")
+    return _texts(docs).mapInArrow(C.batchwise(run), "doc_id long, n_shingles long, fp long, th long")
 
 
-def _blobs(bucket, columns, n_buckets, kind):
-    """One row for each bucket that has entries: the columns' bytes, one after the other."""
-    order = np.argsort(bucket, kind="stable")
-    at = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
-    columns = [c[order] for c in columns]
-    full = np.flatnonzero(at[1:] > at[:-1])
-    data = [b"".join(c[at[i] : at[i + 1]].tobytes() for c in columns) for i in full]
-    return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([kind] * len(full), pa.int32()), pa.array(np.diff(at)[full], pa.int32()), pa.array(data, pa.binary())], ["bucket", "kind", "n", "data"])
+def fetch(docs: DataFrame, sig: DataFrame, wanted: DataFrame, few: bool, k: int, extra: str) -> DataFrame:
+    """wanted (fp and the columns of ``extra``, a schema) with data: the set of fp, as 64-bit integers. wanted has no two equal rows.
 
+    A set comes from the row of the least text hash, and of those of the least id, that has it. Rows that
+    repeat both can give a set more than once; a task gives it once.
+    """
+    first = sig.join(wanted.select("fp").distinct(), "fp", "left_semi").groupBy("fp").agg(F.min(F.struct("th", "doc_id")).alias("r"))
+    met = wanted.join(first.select("fp", F.col("r.th").alias("th"), F.col("r.doc_id").alias("low")), "fp")
+    texts = _texts(docs)
+    met = F.broadcast(met) if few else met
+    names = [x.split()[0] for x in extra.split(", ")]
+    texts = texts.join(met, "th").where(F.col("doc_id").eqNullSafe(F.col("low"))).select("text", "fp", *names)
 
-_BLOB = "bucket int, kind int, n int, data binary"
+    def sets(batches):
+        given: set = set()
+        for part, row, tok, at, n, fp in _sets(batches, k):
+            mine, rows = [], zip(*(part.column(c).to_pylist() for c in ("fp", *names)))
+            for i, r in enumerate(rows):
+                if r[0] == fp[i] and r not in given:
+                    mine.append(i)
+                    given.add(r)
+            if len(given) > 200_000:
+                given.clear()
+            yield pa.RecordBatch.from_arrays([part.column(c).take(pa.array(mine, pa.int64())) for c in ("fp", *names)] + [pa.array([tok[at[i] : at[i + 1]].tobytes() for i in mine], pa.binary())], ["fp", *names, "data"])
+
+    return texts.mapInArrow(C.batchwise(sets), f"fp long, {extra}, data binary")
+
+
+#: What travels, packed: an entry of a list or of a subset, a token's count in a flush, and a row for the output.
+_ENTRY = np.dtype([("key", "<u4"), ("fp", "<i8"), ("n", "<i4")])
+_SUBSET = np.dtype([("key", "<u8"), ("fp", "<i8"), ("n", "<i4")])
+_COUNT = np.dtype([("key", "<u4"), ("n", "<i4")])
+_ROW = np.dtype([(c, "<i8") for c in ("kind", "a", "na", "b", "nb", "m")])
+_KINDS = (_ENTRY, _SUBSET, _ROW)
+_BLOB = "bucket int, kind int, data binary"
 _FLUSH = 400_000
 
 
+def _pack(dtype, *columns):
+    out = np.empty(len(columns[0]), dtype)
+    for name, c in zip(dtype.names, columns):
+        out[name] = c
+    return out
+
+
+def _blobs(bucket, entries, kind):
+    """One row for each bucket that has entries: its entries' bytes, one after the other. The time depends on the entries alone."""
+    order = np.argsort(bucket, kind="stable")
+    b = bucket[order]
+    at = np.flatnonzero(np.concatenate(([True], b[1:] != b[:-1], [True]))) if len(b) else np.zeros(1, np.int64)
+    data = pa.BinaryArray.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer((at * entries.itemsize).astype(np.int32).tobytes()), pa.py_buffer(entries[order].tobytes())])
+    full = b[at[:-1]] if len(b) else b
+    return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array(np.full(len(full), kind, np.int32)), data], ["bucket", "kind", "data"])
+
+
+def _entries(t: pa.Table, kind: int, dtype) -> np.ndarray:
+    """All entries of a kind in a group's blobs."""
+    rows = t.filter(pa.array(t.column("kind").to_numpy() == kind)).column("data").combine_chunks()
+    if not len(rows):
+        return np.zeros(0, dtype)
+    at = np.frombuffer(rows.buffers()[1], np.int32)[rows.offset : rows.offset + len(rows) + 1]
+    return np.frombuffer(np.frombuffer(rows.buffers()[2], np.uint8)[at[0] : at[-1]].tobytes(), dtype)
+
+
 def _bucket(x, n):
     return ((x & np.uint64(0xFFFFFFFF)) % np.uint64(n)).astype(np.int64)
 
 
+class _Recent:
+    """Which fingerprints a task has met lately, in a table of fixed size. Forgetting one only costs time."""
+
+    def __init__(self, bits: int = 18):
+        self.table, self.mask = np.zeros(1 << bits, np.int64), (1 << bits) - 1
+
+    def fresh(self, fp: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(fp), bool)
+        first = np.unique(fp, return_index=True)[1]
+        at = fp[first] & self.mask
+        out[first] = self.table[at] != fp[first]
+        self.table[at] = fp[first]
+        return out
+
+
 def frequent_tokens(docs: DataFrame, k: int, n_buckets: int) -> DataFrame:
     """token (its high 32 bits), df of tokens that more than FREQUENT documents have, among the two fifths of tokens with the lowest hashes; with n_all and square, the bucket's number of tokens and sum of df * df."""
 
     def emit(batches):
         held, size = [], 0
+
         for _, _, tok, *_ in _sets(batches, k):
             low = tok[tok < np.uint64(int(0.4 * 2**64))]
             held.append(low)
             size += len(low)
             if size >= 2 * _FLUSH:
-                x = np.concatenate(held)
-                yield _blobs(_bucket(x, n_buckets), [(x >> np.uint64(32)).astype(np.uint32)], n_buckets, 0)
+                yield from _counted(np.concatenate(held), n_buckets)
                 held, size = [], 0
         if held:
-            x = np.concatenate(held)
-            yield _blobs(_bucket(x, n_buckets), [(x >> np.uint64(32)).astype(np.uint32)], n_buckets, 0)
+            yield from _counted(np.concatenate(held), n_buckets)
 
     def count(t: pa.Table) -> pa.Table:
-        x = np.sort(np.concatenate([np.frombuffer(d, np.uint32) for d in t.column("data").to_pylist()]))
-        new = np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1])))
-        df = np.diff(np.concatenate((new, [len(x)])))
+        once, more = _entries(t, 0, np.dtype("<u4")), _entries(t, 1, _COUNT)
+        x, back = np.unique(np.concatenate((once, more["key"])), return_inverse=True)
+        df = np.bincount(back, np.concatenate((np.ones(len(once)), more["n"]))).astype(np.int64)
         hot = df > FREQUENT
-        token = np.concatenate((x[new][hot].astype(np.int64), [-1]))
-        return pa.table({"token": token, "df": np.concatenate((df[hot], [len(new)])).astype(np.int64), "square": np.concatenate((np.zeros(hot.sum()), [float(np.sum(df.astype(float) ** 2))]))})
+        token = np.concatenate((x[hot].astype(np.int64), [-1]))
+        return pa.table({"token": token, "df": np.concatenate((df[hot], [len(x)])), "square": np.concatenate((np.zeros(hot.sum()), [float(np.sum(df.astype(float) ** 2))]))})
+
+    return docs.select("text").mapInArrow(C.batchwise(emit), _BLOB).groupBy("bucket").applyInArrow(C.groupwise(count), "token long, df long, square double")
+
 
-    return docs.select("doc_id", "text").mapInArrow(emit, _BLOB).groupBy("bucket").applyInArrow(count, "token long, df long, square double")
+def _counted(tok, n_buckets):
+    """Blobs of the tokens that occur once, and of the others with their counts."""
+    x, n = np.unique(tok, return_counts=True)
+    bucket, top = _bucket(x, n_buckets), (x >> np.uint64(32)).astype(np.uint32)
+    yield _blobs(bucket[n == 1], top[n == 1], 0)
+    yield _blobs(bucket[n > 1], _pack(_COUNT, top[n > 1], n[n > 1]), 1)
 
 
 def light_boundary(sizes: dict[int, int], list_length: float, pct: int) -> int:
@@ -182,21 +259,25 @@ def inverted_lists(docs: DataFrame, k: int, pct: int, boundary: int, n_buckets:
         hot = frequent.value
         table = np.zeros(1 << 20, bool)
         table[hot >> np.uint32(12)] = True
-        seen: set[int] = set()
+        recent = _Recent()
         held, size, light = [], 0, []
 
         def flush():
             if held:
                 tok, fp, n = (np.concatenate(x) for x in zip(*held))
-                yield _blobs(_bucket(tok, n_buckets), [(tok >> np.uint64(32)).astype(np.uint32), fp, n], n_buckets, 0)
+                bucket, key = _bucket(tok, n_buckets), (tok >> np.uint64(32)).astype(np.uint32)
+                keep, rows = _long_here(bucket, key, fp, n, pct, boundary)
+                n = np.where(keep == 2, n | _IS_LONG, n)
+                some = keep > 0
+                yield _blobs(bucket[some], _pack(_ENTRY, key[some], fp[some], n[some]), 0)
+                if len(rows):
+                    yield _blobs(_bucket(C.mix(rows["a"].view(np.uint64)) + C.mix(rows["b"].view(np.uint64)), n_buckets), rows, 2)
             if light:
                 key, fp, n = (np.concatenate(x) for x in zip(*light))
-                yield _blobs(_bucket(key, n_buckets), [key, fp, n], n_buckets, 1)
+                yield _blobs(_bucket(key, n_buckets), _pack(_SUBSET, key, fp, n), 1)
 
         for _, row, tok, at, n, fp in _sets(batches, k):
-            if len(seen) > 500_000:
-                seen.clear()
-            fresh = np.array([f not in seen and not seen.add(f) for f in fp.tolist()], bool)
+            fresh = recent.fresh(fp)
             if boundary and (x := _subset_entries(row, tok, at, np.where(fresh, n, 0), fp, pct, boundary)):
                 light.append(x)
                 size += len(x[0])
@@ -218,20 +299,56 @@ def inverted_lists(docs: DataFrame, k: int, pct: int, boundary: int, n_buckets:
         yield from flush()
 
     def scan(t: pa.Table) -> pa.Table:
-        got = {0: [], 1: []}
-        for kind, m, d in zip(t.column("kind").to_pylist(), t.column("n").to_pylist(), t.column("data").to_pylist()):
-            w = 4 if kind == 0 else 8
-            got[kind].append((np.frombuffer(d, np.uint32 if kind == 0 else np.uint64, m), np.frombuffer(d, np.int64, m, w * m), np.frombuffer(d, np.int32, m, (w + 8) * m)))
-        out = []
         bucket = t.column("bucket")[0].as_py()
-        if got[0]:
-            out += _scan_lists(*(np.concatenate(x) for x in zip(*got[0])), pct, boundary, bucket)
-        if got[1]:
-            out += _scan_subsets(*(np.concatenate(x) for x in zip(*got[1])))
-        cols = [np.concatenate(x) for x in zip(*out)] if out else [np.zeros(0, np.int64)] * 6
-        return pa.table({c: x.astype(np.int64) for c, x in zip(("kind", "a", "na", "b", "nb", "m"), cols)})
+        lists, subsets, rows = (_entries(t, kind, dtype) for kind, dtype in enumerate(_KINDS))
+        out = [tuple(rows[c] for c in _ROW.names)]
+        if len(lists):
+            out += _scan_lists(lists["key"], lists["fp"], lists["n"], pct, boundary, bucket)
+        if len(subsets):
+            out += _scan_subsets(subsets["key"], subsets["fp"], subsets["n"])
+        return pa.table({c: np.concatenate(x).astype(np.int64) for c, x in zip(_ROW.names, zip(*out))})
+
+    return docs.select("text").mapInArrow(C.batchwise(emit), _BLOB).groupBy("bucket").applyInArrow(C.groupwise(scan), "kind long, a long, na long, b long, nb long, m long")
 
-    return docs.select("doc_id", "text").mapInArrow(emit, _BLOB).groupBy("bucket").applyInArrow(scan, "kind long, a long, na long, b long, nb long, m long")
+
+#: Set in an entry's size if its list is known to be long.
+_IS_LONG = np.int32(1 << 30)
+
+
+def _long_here(bucket, key, fp, n, pct, boundary):
+    """What a task does with lists that are long by its own sets alone, before they travel.
+
+    keep, by entry: 1 if it travels as it is, 2 if it is a leader of a list that is long already, 0 if it stays
+    behind; and the output rows of those lists. So a token that very many sets have brings a few leaders a
+    flush to its bucket, and no more.
+    """
+    order = np.lexsort((key, bucket))
+    b, k = bucket[order], key[order]
+    at = np.flatnonzero(np.concatenate(([True], (b[1:] != b[:-1]) | (k[1:] != k[:-1]), [True])))
+    keep, out = np.ones(len(key), np.int8), []
+    for s in np.flatnonzero(np.diff(at) > 2 * SHORT_LIST):
+        i = order[at[s] : at[s + 1]]
+        f, first = np.unique(fp[i], return_index=True)
+        if len(f) <= SHORT_LIST:
+            continue
+        i = i[first]
+        rows, lead = _long_list(f, n[i], int(bucket[i[0]]), int(key[i[0]]), boundary, pct)
+        out += rows
+        keep[order[at[s] : at[s + 1]]] = 0
+        keep[i[lead]] = 2
+    return keep, np.concatenate([_pack(_ROW, *r) for r in out]) if out else np.zeros(0, _ROW)
+
+
+def _long_list(f, m, bucket, key, boundary, pct):
+    """Rows of one long list, (kind, a, na, b, nb, m): that each set stands in it, and its link with a leader of about its size; and which sets lead."""
+    name = np.full(len(f), (bucket << 32) | key, np.int64)
+    step = np.floor(np.log(m) / np.log(100 / pct) * 2).astype(np.int64)  # sizes of one class are close enough to link
+    order = np.lexsort((f, step))
+    first = np.flatnonzero(np.concatenate(([True], step[order][1:] != step[order][:-1])))
+    lead = np.empty(len(f), np.int64)
+    lead[order] = np.repeat(order[first], np.diff(np.concatenate((first, [len(f)]))))
+    rest = np.flatnonzero((lead != np.arange(len(f))) & (np.maximum(m, m[lead]) > boundary))
+    return [(np.full(len(f), 3), f, m, name, m, m), (np.ones(len(rest)), f[lead[rest]], m[lead[rest]], f[rest], m[rest], m[rest])], np.unique(lead)
 
 
 def _unique_lists(key, fp, n):
@@ -245,10 +362,14 @@ def _unique_lists(key, fp, n):
 
 
 def _scan_lists(key, fp, n, pct, boundary, bucket):
-    key, fp, n, at, size = _unique_lists(key, fp, n)
+    long_keys = np.unique(key[(n & _IS_LONG) != 0])
+    key, fp, n, at, size = _unique_lists(key, fp, n & ~_IS_LONG)
+    long = size > SHORT_LIST
+    if len(long_keys):
+        long |= long_keys[np.minimum(np.searchsorted(long_keys, key[at[:-1]]), len(long_keys) - 1)] == key[at[:-1]]
     pairs = []
     for m in range(2, SHORT_LIST + 1):
-        lists = at[:-1][size == m]
+        lists = at[:-1][(size == m) & ~long]
         if len(lists):
             i, j = np.triu_indices(m, 1)
             a, b = (lists[:, None] + i).ravel(), (lists[:, None] + j).ravel()
@@ -262,17 +383,10 @@ def _scan_lists(key, fp, n, pct, boundary, bucket):
             a, na, b, nb = a[order], na[order], b[order], nb[order]
             first = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]))))
             out.append((np.zeros(len(first)), a[first], na[first], b[first], nb[first], np.diff(np.concatenate((first, [len(a)])))))
-    for s in np.flatnonzero(size > SHORT_LIST):
-        f, m = fp[at[s] : at[s + 1]], n[at[s] : at[s + 1]]
-        name = np.full(len(f), (bucket << 32) | int(key[at[s]]), np.int64)
-        out.append((np.full(len(f), 3), f, m, name, m, m))
-        step = np.floor(np.log(m) / np.log(100 / pct) * 2).astype(np.int64)  # sizes of one class are close enough to link
-        order = np.lexsort((f, step))
-        f, m, step = f[order], m[order], step[order]
-        first = np.flatnonzero(np.concatenate(([True], step[1:] != step[:-1])))
-        lead = np.repeat(first, np.diff(np.concatenate((first, [len(f)]))))
-        rest = np.flatnonzero((lead != np.arange(len(f))) & (np.maximum(m, m[lead]) > boundary))
-        stars.append((np.ones(len(rest)), f[lead[rest]], m[lead[rest]], f[rest], m[rest], m[rest]))
+    for s in np.flatnonzero(long):
+        (stands, star), _ = _long_list(fp[at[s] : at[s + 1]], n[at[s] : at[s + 1]], bucket, int(key[at[s]]), boundary, pct)
+        out.append(stands)
+        stars.append(star)
     if stars:  # a set meets the same leader in many lists
         cols = [np.concatenate(x) for x in zip(*stars)]
         order = np.lexsort((cols[3], cols[1]))
@@ -305,24 +419,15 @@ def verified(pairs: DataFrame, docs: DataFrame, sig: DataFrame, k: int, pct: int
     groups = pairs.groupBy("a").agg(F.ceil(F.count("*") / VERIFY_GROUP).cast("int").alias("salts"))
     lead = groups.select(F.col("a").alias("g"), F.col("a").alias("fp"), F.lit(0).alias("role"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
     member = member.join(groups.withColumnRenamed("a", "g"), "g").select("g", "fp", "role", F.pmod(F.xxhash64("fp"), "salts").cast("int").alias("salt"))
-    met = lead.union(member)
-    ids = sig.join(met.select("fp").distinct(), "fp", "left_semi").groupBy("fp").agg(F.min("doc_id").alias("doc_id"))
-    met = met.join(ids, "fp")
-    if pairs.count() <= SENT_MOST:
-        met = F.broadcast(met)
-    texts = docs.select("doc_id", "text").join(met, "doc_id")
-
-    def sets(batches):
-        for part, row, tok, at, n, fp in _sets(batches, k):
-            mine = np.flatnonzero(fp == C.long_column(part, "fp"))
-            data = [tok[at[i] : at[i + 1]].tobytes() for i in mine]
-            yield pa.RecordBatch.from_arrays([c.take(pa.array(mine)) for c in (part.column("g"), part.column("salt"), part.column("role"), part.column("fp"))] + [pa.array(data, pa.binary())], ["g", "salt", "role", "fp", "data"])
+    met = lead.union(member).select("fp", "g", "salt", "role")
 
     def compare(batches):
-        now, own = None, None
+        now, own, last = None, None, None
         for batch in batches:
             out = []
-            for g, salt, role, fp, d in zip(*(c.to_pylist() for c in batch.columns)):
+            for g, salt, role, fp, d in zip(*(batch.column(c).to_pylist() for c in ("g", "salt", "role", "fp", "data"))):
+                if last == (last := (g, salt, fp)):
+                    continue
                 x = np.frombuffer(d, np.uint64)
                 if role == 0:
                     now, own = (g, salt), x
@@ -333,8 +438,8 @@ def verified(pairs: DataFrame, docs: DataFrame, sig: DataFrame, k: int, pct: int
                         out.append((g, fp))
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], ["a", "b"])
 
-    dealt = texts.mapInArrow(sets, "g long, salt int, role int, fp long, data binary").repartition("g", "salt").sortWithinPartitions("g", "salt", "role")
-    return dealt.mapInArrow(compare, "a long, b long")
+    dealt = fetch(docs, sig, met, pairs.count() <= SENT_MOST, k, "g long, salt int, role int").repartition("g", "salt").sortWithinPartitions("g", "salt", "role", "fp")
+    return dealt.mapInArrow(C.batchwise(compare), "a long, b long")
 
 
 def family_blocks(stands: DataFrame, scratch: C.Scratch) -> DataFrame:
@@ -382,15 +487,8 @@ def _overlaps(tok: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
 
 def family_links(blocks: DataFrame, docs: DataFrame, sig: DataFrame, k: int, pct: int) -> DataFrame:
     """(a, b): stars that span the links in each pair of blocks."""
-    ids = sig.join(blocks.select("fp").distinct(), "fp", "left_semi").groupBy("fp").agg(F.min("doc_id").alias("doc_id"))
-    if ids.count() <= SENT_MOST:
-        ids = F.broadcast(ids)
-    texts = docs.select("doc_id", "text").join(ids, "doc_id")
-
-    def sets(batches):
-        for part, row, tok, at, n, fp in _sets(batches, k):
-            mine = np.flatnonzero(fp == C.long_column(part, "fp"))
-            yield pa.RecordBatch.from_arrays([pa.array(fp[mine]), pa.array([tok[at[i] : at[i + 1]].tobytes() for i in mine], pa.binary())], ["fp", "data"])
+    own = blocks.select("fp").distinct()
+    sets = fetch(docs, sig, own.withColumn("one", F.lit(1)), own.count() <= SENT_MOST, k, "one int").groupBy("fp").agg(F.first("data").alias("data"))
 
     def compare(t: pa.Table) -> pa.Table:
         fp, label, side = (t.column(c).to_numpy() for c in ("fp", "label", "side"))
@@ -407,19 +505,19 @@ def family_links(blocks: DataFrame, docs: DataFrame, sig: DataFrame, k: int, pct
                 return pa.table({"a": fp[low], "b": fp})
             low = new
 
-    met = blocks.join(texts.mapInArrow(sets, "fp long, data binary"), "fp")
-    return met.groupBy("lo", "hi").applyInArrow(compare, "a long, b long").where("a <> b")
+    met = blocks.join(sets, "fp")
+    return met.groupBy("lo", "hi").applyInArrow(C.groupwise(compare), "a long, b long").where("a <> b")
 
 
-def jaccard_components(docs: DataFrame, k: int = 5, pct: int = 75) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text)."""
+def _labelled(docs: DataFrame, k: int, pct: int) -> tuple[C.Scratch, DataFrame, DataFrame]:
+    """The signatures of all rows, and fp, component_id of the sets."""
     spark = docs.sparkSession
     C.small_batches(spark)
     scratch = C.Scratch(spark, "jaccard")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sig = scratch.keep(signatures(docs, k), "sig")
-    histogram = {r.s: r.n for r in sig.groupBy(F.least("n_shingles", F.lit(2 * LIGHT_MOST + 2)).alias("s")).agg(F.count("*").alias("n"), F.sum("n_shingles").alias("all")).collect()}
-    total = sig.agg(F.sum("n_shingles")).first()[0] or 0
+    histogram = {r.s: r.n for r in sig.groupBy(F.least("n_shingles", F.lit(2 * LIGHT_MOST + 2)).alias("s")).agg(F.count("*").alias("n")).collect()}
+    total, n_docs = sig.agg(F.sum("n_shingles")).first()[0] or 0, sum(histogram.values())
     n_buckets = max(4, ceil(0.26 * total / BUCKET_ENTRIES))
     found = scratch.keep(frequent_tokens(docs, k, n_buckets), "frequent")
     spread = found.where("token = -1").agg(F.sum("square"), F.sum("df")).first()
@@ -435,29 +533,56 @@ def jaccard_components(docs: DataFrame, k: int = 5, pct: int = 75) -> DataFrame:
     counts = lists.where("kind = 0").groupBy("a", "na", "b", "nb").agg(F.sum("m").alias("m"))
     counted = counts.where(F.col("m") >= need).select("a", "b", "m")
     stars = lists.where("kind = 1").select("a", "b", "m").distinct()
-    cand = scratch.keep(counted.union(stars).groupBy("a", "b").agg(F.max("m").alias("m")), "candidates")
+    cand = scratch.keep(counted.union(stars).groupBy("a", "b").agg(F.max("m").alias("m")), "candidates", 4 * n_docs)
     first = cand.groupBy("b").agg(F.max_by("a", F.struct("m", (-F.col("a")).alias("o"))).alias("a")).select("a", "b")
-    links = scratch.keep(verified(first, docs, sig, k, pct).union(lists.where("kind = 2").select("a", "b")), "links")
-    label = scratch.keep(components(links, scratch, "first"), "label")
+    links = scratch.keep(verified(first, docs, sig, k, pct).union(lists.where("kind = 2").select("a", "b")), "links", n_docs)
+    label = scratch.keep(components(links, scratch, "first"), "label", n_docs)
 
     def labelled(df, col, to):
         return df.join(label.select(F.col("node").alias(col), F.col("component").alias(to)), col, "left").withColumn(to, F.coalesce(to, col))
 
     rest = labelled(labelled(cand.select("a", "b"), "a", "la"), "b", "lb").where("la <> lb").select("a", "b")
     stands = labelled(lists.where("kind = 3").select(F.col("a"), F.col("na"), F.col("b").alias("list")).distinct(), "a", "la")
-    stands = scratch.keep(stands, "stands")
-    rest = scratch.keep(rest.distinct(), "rest")
+    stands = scratch.keep(stands, "stands", 4 * n_docs)
+    rest = scratch.keep(rest.distinct(), "rest", n_docs)
     late = verified(rest, docs, sig, k, pct)
     if not stands.isEmpty():
         blocks = scratch.keep(family_blocks(stands, scratch), "pairs")
         late = late.union(family_links(blocks, docs, sig, k, pct))
-    late = scratch.keep(late, "late")
+    late = scratch.keep(late, "late", n_docs)
     if not late.isEmpty():
         star = label.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        label = scratch.keep(components(star.union(late), scratch, "second"), "label2")
+        label = scratch.keep(components(star.union(late), scratch, "second"), "label2", n_docs)
     own = sig.where("n_shingles > 0").groupBy("fp").agg(F.min("doc_id").alias("low"))
     ids = own.join(label.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     low = ids.groupBy("component").agg(F.min("low").alias("component_id"))
-    ids = ids.join(low, "component").select("fp", "component_id")
+    ids = ids.join(low, "component").select("fp", "component", "component_id")
+    return scratch, sig, scratch.keep(ids, "ids", n_docs)  # written, so that the join with a hot fingerprint can be split
+
+
+def jaccard_components(docs: DataFrame, k: int = 5, pct: int = 75) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text)."""
+    _, sig, ids = _labelled(docs, k, pct)
     full, empty = sig.where("n_shingles > 0"), sig.where("n_shingles = 0")
     return full.join(ids, "fp").select("doc_id", "n_shingles", "component_id").union(empty.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+
+
+def keep_one(docs: DataFrame, k: int = 5, pct: int = 75) -> DataFrame:
+    """docs (doc_id, text and more) with one row of each component: one that has its least id, and of those the least text hash.
+
+    Rows without a shingle stay. Of rows that are equal in id and text one stays, whichever.
+    """
+    scratch, sig, ids = _labelled(docs, k, pct)
+    rows = sig.where("n_shingles > 0").join(ids.select("fp", "component"), "fp")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "th")).alias("r")
+    best = rows.groupBy("component").agg(best).select("component", F.col("r.doc_id").alias("low"), F.col("r.th").alias("first"))
+    per = rows.groupBy("component", "doc_id", "th").agg(F.count("*").alias("n")).join(best, "component")
+    stays = F.col("doc_id").eqNullSafe(F.col("low")) & (F.col("th") == F.col("first"))
+    marked = scratch.keep(per.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), stays.alias("_stays")).where("not _stays").union(per.where(stays & (F.col("n") > 1)).select("doc_id", "th", stays)), "marked")
+    gone, again = C.sent(marked.where("not _stays")), C.sent(marked.where("_stays"))
+    same = F.xxhash64(F.col("text").cast("string")) == F.col("_th")
+    mine = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & same
+    left = docs.join(gone, mine, "left_anti")
+    if marked.where("_stays").isEmpty():
+        return left
+    return left.join(again, mine, "left_anti").union(left.join(again, mine, "left_semi").dropDuplicates(["doc_id", "text"]))

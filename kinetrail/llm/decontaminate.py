@@ -5,16 +5,20 @@ a number <UNIT>, and a capitalised word that doesn't begin a sentence <NAME>; an
 case. A window is ``WINDOW`` canonical words of an item (the whole item if it is shorter, but at least
 ``SHORTEST`` words) with at least ``LITERALS`` plain words, so that placeholders alone never match. A window
 with names stands in a second form too, its names as plain words, so that copies in upper or lower case, or
-behind text without a stop, meet as well. Windows of documents and items meet by hash. Each meeting is then checked for slot consistency: along the window an item's
-slot value must map to one document value and back, and equal values must be slots of one kind. So the same
-question with other numbers and names is caught, and a text that only has the same shape is not.
+behind text without a stop, meet as well. Windows of documents and items meet by hash.
 
-A document is contaminated by an item when windows that cover at least ``COVER`` of the item's words meet
-consistently under one mapping of slots each.
+Meetings are then checked for slot consistency: along one alignment (the windows of a document and an item that
+lie equally far apart) an item's slot value must map to one document value and back, and equal values must be
+slots of one kind. So the same question with other numbers and names is caught, and a text that only has the
+same shape is not. Of an alignment whose mapping breaks, only the windows without any change count.
 
-The items' windows go to the tasks when they are at most ``SENT_MOST``; more are joined by shuffle. Defined
-cases: null or empty texts and items match nothing; repeated rows match each; items of fewer than SHORTEST
-words are not looked for.
+A document is contaminated by an item when windows that count cover at least ``COVER`` of the item's words.
+
+Documents' windows are dropped where they stand unless an item may have their hash: by the sorted hashes of the
+items' windows where these are at most ``SENT_MOST``, else by a bit table of fixed size. Defined cases: null or
+empty texts and items match nothing; repeated rows match each (n_windows counts their windows once); items of
+fewer than SHORTEST words are not looked for; a row without an id is reported without one; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -28,6 +32,8 @@ from . import common as C
 
 WINDOW, SHORTEST, LITERALS, COVER = 8, 5, 4, 0.5
 SENT_MOST = 2_000_000
+#: Bits of the table that stands for more hashes: 8 MB.
+TABLE_BITS = 26
 #: Words that stand for numbers, and units of measure.
 NUMBERS = "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion dozen".split()
 UNITS = "mm cm m km in ft yd mi inch inches foot feet yard yards mile miles meter meters metre metres kilometer kilometers centimeter centimeters mg g kg lb lbs oz gram grams kilogram kilograms pound pounds ounce ounces ton tons ml l liter liters litre litres gallon gallons cup cups s sec secs second seconds min mins minute minutes h hr hrs hour hours day days week weeks month months year years mph kph dollar dollars cent cents euro euros usd eur percent degree degrees celsius fahrenheit watt watts kw volt volts hz".split()
@@ -60,9 +66,7 @@ def canonical(text: np.ndarray, off: np.ndarray):
     stop = np.concatenate(([True], _STOP[text[end[:-1] - 1]]))
     feeds = np.concatenate(([0], np.cumsum(text == 10)))
     line = np.concatenate(([True], feeds[start[1:]] > feeds[end[:-1]]))
-    for _ in range(6):
-        start += _MARK[text[start]] & (end - start > 1)
-        end -= _MARK[text[end - 1]] & (end - start > 1)
+    start, end = C.bare(text, start, end, _MARK)
     low = C.LOWER[text]
     # the two-byte capitals from À to Þ, as in ``upper`` below
     low[1:] += ((text[:-1] == 0xC3) & (text[1:] >= 0x80) & (text[1:] <= 0x9E) & (text[1:] != 0x97)).astype(np.uint8) << 5
@@ -136,17 +140,45 @@ def item_windows(items: DataFrame) -> DataFrame:
                 out += zip([ids[r]] * len(i), [n] * len(i), [size] * len(i), i.tolist(), C.as_long(h).tolist(), kinds, vals, caps.tolist())
             yield pa.RecordBatch.from_pylist([dict(zip(("item_id", "words", "size", "place", "h", "kinds", "vals", "caps"), x)) for x in out], pa.schema([("item_id", pa.int64()), ("words", pa.int32()), ("size", pa.int32()), ("place", pa.int32()), ("h", pa.int64()), ("kinds", pa.list_(pa.int32())), ("vals", pa.list_(pa.int64())), ("caps", pa.int64())]))
 
-    return items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "item_id long, words int, size int, place int, h long, kinds array<int>, vals array<long>, caps long")
+    return items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).mapInArrow(C.batchwise(run), "item_id long, words int, size int, place int, h long, kinds array<int>, vals array<long>, caps long")
+
+
+class Wanted:
+    """Which hashes the items' windows may have: exactly (a sorted array), or by a bit table."""
+
+    def __init__(self, known: DataFrame):
+        self.hashes = self.bits = None
+        if known.count() <= SENT_MOST:
+            self.hashes = np.unique(np.array([r.h for r in known.select("h").distinct().collect()], np.int64).view(np.uint64))
+        else:
+            place = F.shiftrightunsigned("h", 64 - TABLE_BITS)
+            words = known.groupBy(F.shiftright(place, 6).alias("i")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(h, {64 - TABLE_BITS}) & 63 as int))")).alias("w")).collect()
+            self.bits = np.zeros(1 << (TABLE_BITS - 6), np.uint64)
+            self.bits[[r.i for r in words]] = np.array([r.w for r in words], np.int64).view(np.uint64)
+
+    def has(self, h: np.ndarray) -> np.ndarray:
+        """The indices of the hashes that may be wanted."""
+        if self.bits is not None:
+            at = h >> np.uint64(64 - TABLE_BITS)
+            return np.flatnonzero((self.bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1))
+        if not len(self.hashes):
+            return np.zeros(0, np.int64)
+        few = np.flatnonzero(self.first()[h >> np.uint64(44)])
+        return few[_in(h[few], self.hashes)]
+
+    def first(self) -> np.ndarray:
+        """By the first 20 bits, whether a hash begins so."""
+        if not hasattr(self, "begins"):
+            self.begins = np.zeros(1 << 20, bool)
+            self.begins[self.hashes >> np.uint64(44)] = True
+        return self.begins
 
 
-def document_windows(docs: DataFrame, sizes: list[int], hashes=None) -> DataFrame:
-    """doc_id, size, at, h, kinds, vals, caps of the documents' windows; with ``hashes``, a broadcast sorted array, only of those it has."""
+def document_windows(docs: DataFrame, sizes: list[int], hashes) -> DataFrame:
+    """doc_id, size, at, h, kinds, vals, caps of the documents' windows that ``hashes``, a broadcast Wanted, may have."""
 
     def run(batches):
-        wanted = hashes.value if hashes is not None else None
-        maybe = np.zeros(1 << 20, bool)
-        if wanted is not None:
-            maybe[wanted >> np.uint64(44)] = True
+        wanted = hashes.value
         for batch in batches:
             text, off = C.utf8(batch.column("text"))
             ids = batch.column("doc_id")
@@ -155,10 +187,8 @@ def document_windows(docs: DataFrame, sizes: list[int], hashes=None) -> DataFram
                 at = C.row_bounds(row, b - a)
                 for size in sizes:
                     i, h, second, caps = _windows(row, kind, form, plain, size)
-                    if wanted is not None and len(i):
-                        few = np.flatnonzero(maybe[h >> np.uint64(44)])
-                        few = few[_in(h[few], wanted)]
-                        i, h, second, caps = i[few], h[few], second[few], caps[few]
+                    few = wanted.has(h)
+                    i, h, second, caps = i[few], h[few], second[few], caps[few]
                     if not len(i):
                         continue
                     span = i[:, None] + np.arange(size)
@@ -167,7 +197,7 @@ def document_windows(docs: DataFrame, sizes: list[int], hashes=None) -> DataFram
                         ["doc_id", "size", "at", "h", "kinds", "vals", "caps"],
                     )
 
-    return docs.mapInArrow(run, "doc_id long, size int, at long, h long, kinds array<int>, vals array<long>, caps long")
+    return docs.mapInArrow(C.batchwise(run), "doc_id long, size int, at long, h long, kinds array<int>, vals array<long>, caps long")
 
 
 def contaminations(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -180,21 +210,22 @@ def contaminations(docs: DataFrame, items: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     known = scratch.keep(item_windows(items), "items")
     sizes = sorted(r["size"] for r in known.select("size").distinct().collect()) or [WINDOW]
-    sent = None
-    if known.count() <= SENT_MOST:
-        sent = spark.sparkContext.broadcast(np.unique(np.array([r.h for r in known.select("h").distinct().collect()], np.int64).view(np.uint64)))
-        if not len(sent.value):
-            sent = None
+    sent = spark.sparkContext.broadcast(Wanted(known))
     mine = document_windows(docs, sizes, sent).withColumnsRenamed({"kinds": "dk", "vals": "dv", "caps": "dc"})
     met = mine.join(known, ["h", "size"]).where("caps = 0 or caps <> dc")
     pairs = F.arrays_zip(F.col("kinds").alias("k"), F.col("dk").alias("q"), F.col("vals").alias("v"), F.col("dv").alias("w"))
-    slots = F.filter(pairs, lambda x: x["k"] != 0)
-    item = F.size(F.array_distinct(F.transform(slots, lambda x: F.struct(x["k"], x["v"]))))
-    document = F.size(F.array_distinct(F.transform(slots, lambda x: F.struct(x["k"], x["w"]))))
-    both = F.size(F.array_distinct(F.transform(slots, lambda x: F.struct(x["k"], x["v"], x["w"]))))
     same = F.coalesce(F.forall(pairs, lambda x: (x["k"] == x["q"]) & ((x["k"] != 0) | (x["v"] == x["w"]))), F.lit(False))
-    met = met.where(same & (item == both) & (document == both))
-    met = met.select("doc_id", "item_id", "words", "place", "size", F.exists(slots, lambda x: x["v"] != x["w"]).alias("altered"))
-    per = met.groupBy("doc_id", "item_id", "words").agg(F.count("*").alias("n_windows"), F.collect_set(F.struct("place", "size")).alias("places"), F.max("altered").alias("altered"))
+    slots = F.transform(F.filter(pairs, lambda x: x["k"] != 0), lambda x: F.struct(x["k"], x["v"], x["w"]))
+    met = met.where(same).select("doc_id", "item_id", "words", (F.col("at") - F.col("place")).alias("shift"), "place", "size", slots.alias("slots"))
+    met = met.withColumn("altered", F.exists("slots", lambda x: x["v"] != x["w"]))
+    # One mapping for each alignment.
+    lines = met.groupBy("doc_id", "item_id", "words", "shift").agg(F.array_distinct(F.flatten(F.collect_list("slots"))).alias("slots"), F.collect_set(F.struct("place", "size", "altered")).alias("places"))
+    item = F.size(F.array_distinct(F.transform("slots", lambda x: F.struct(x["k"], x["v"]))))
+    document = F.size(F.array_distinct(F.transform("slots", lambda x: F.struct(x["k"], x["w"]))))
+    sound = (item == F.size("slots")) & (document == F.size("slots"))
+    lines = lines.withColumn("places", F.when(sound, F.col("places")).otherwise(F.filter("places", lambda x: ~x["altered"])))
+    lines = lines.where(F.size("places") > 0)
+    per = lines.groupBy("doc_id", "item_id", "words").agg(F.sum(F.size("places")).alias("n_windows"), F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"))
     words = F.array_distinct(F.flatten(F.transform("places", lambda p: F.sequence(p["place"], p["place"] + p["size"] - 1))))
-    return per.select("doc_id", "item_id", "n_windows", (F.size(words) / F.col("words")).alias("covered"), "altered").where(F.col("covered") >= COVER)
+    covered = (F.size(words) / F.col("words")).alias("covered")
+    return per.select("doc_id", "item_id", "n_windows", covered, F.exists("places", lambda x: x["altered"]).alias("altered")).where(F.col("covered") >= COVER)

@@ -24,7 +24,7 @@ from . import common as C
 from .flat_words import PASS, Known, code_points, hashes, take
 
 MARK = "▁"
-#: Pre-tokens up to this length go through the trie's matrices, a longer one through a trie of its own.
+#: Pre-tokens up to this length go through the trie's matrices. A longer one (a text without blanks) shares little; its forward scores are computed along it.
 WIDE = 48
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -70,7 +70,14 @@ class UnigramCounter:
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[self.keys >> np.uint64(44)] = True
         self.unknown = min(s for _, s in pieces) - 10.0
-        self.known = Known(np.int64, 1_500_000)
+        self.known = Known(np.int64, 600_000)
+        self.piece = dict(pieces)
+        self.reach: dict[str, int] = {}  # the longest piece that ends in a character
+        for p in self.piece:
+            self.reach[p[-1]] = max(self.reach.get(p[-1], 0), len(p))
+
+    def forget(self) -> None:
+        self.known.clear()
 
     @staticmethod
     def _hash(codes: np.ndarray) -> np.uint64:
@@ -90,9 +97,23 @@ class UnigramCounter:
             out[part] = self._trie([words[i] for i in part])
         for i in order:
             if len(words[i]) > WIDE:
-                out[i] = self._trie([words[i]])[0]
+                out[i] = self._along(words[i])
         return out
 
+    def _along(self, word: str) -> int:
+        best, count, score, reach = [0.0], [0], self.piece.get, self.reach.get
+        for e, c in enumerate(word, 1):
+            top, number = -np.inf, 0
+            for s in range(max(0, e - reach(c, 1)), e):  # the longest last piece first: ties go to it
+                x = score(word[s:e])
+                if x is not None and best[s] + x > top:
+                    top, number = best[s] + x, count[s] + 1
+            if c not in self.piece and best[-1] + self.unknown > top:
+                top, number = best[-1] + self.unknown, count[-1] + len(c.encode())
+            best.append(top)
+            count.append(number)
+        return count[-1]
+
     def _trie(self, words: list[str]) -> np.ndarray:
         """words: sorted. Row i of a matrix is word i; a node is named by the first word that passes it."""
         n, size = len(words), np.fromiter(map(len, words), np.int64, len(words))
@@ -159,6 +180,11 @@ class UnigramCounter:
 _held: dict[str, UnigramCounter] = {}
 
 
+def forget() -> None:
+    for c in _held.values():
+        c.forget()
+
+
 def token_counts(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, n_tokens, n_pretokens of every row of ``docs`` (doc_id, text)."""
     path = path or default_vocabulary()
@@ -171,4 +197,4 @@ def token_counts(docs: DataFrame, path: str | None = None) -> DataFrame:
             n, number = _held[path].count_texts(batch.column("text").fill_null("").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), pa.array(number)], ["doc_id", "n_tokens", "n_pretokens"])
 
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, n_tokens long, n_pretokens long")
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(C.batchwise(run, forget), f"doc_id {dict(docs.dtypes)['doc_id']}, n_tokens long, n_pretokens long")

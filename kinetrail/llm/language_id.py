@@ -4,7 +4,7 @@ A text's UTF-8 bytes are cut into windows of ``WINDOW``; both directions run ove
 state, every position gets language probabilities from the two states there, and a document's probabilities
 are the mean over all its positions. Training is backpropagation through time with Adam on windows of a
 bounded, balanced sample of labelled rows (``PER_LANGUAGE`` different texts a language, those of the
-lowest hashes). The sample and the weights are all that the driver holds.
+lowest hashes, and parts from all over each of them). The sample and the weights are all that the driver holds.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0. Rows without a language, a text
 or an id are never learned from (a null id counts as not held out). With no labelled row at all, every text
@@ -23,8 +23,10 @@ from . import common as C
 
 WINDOW = 64
 HIDDEN = 10
-#: Labelled rows a language that are learned from, bytes of each, and languages at most.
-PER_LANGUAGE, SAMPLE_CHARS, LANGUAGES = 400, 1200, 128
+#: Different labelled texts a language that are learned from, and of all languages together (but LEAST a language);
+#: from each, PARTS parts of PART_CHARS characters, from all over the text.
+PER_LANGUAGE, ALL_TEXTS, LEAST = 400, 51_200, 20
+PARTS, PART_CHARS = 4, 300
 STEPS, BATCH = 260, 192
 _LETTER = regex.compile(r"\p{L}")
 
@@ -122,7 +124,7 @@ class ByteGRU:
                 second[n] = 0.99 * second[n] + 0.01 * x * x
                 self.p[n] -= (rate * (first[n] / (1 - 0.9**step)) / (np.sqrt(second[n] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
 
-    def documents(self, text: np.ndarray, offsets: np.ndarray, step: int = 4096) -> np.ndarray:
+    def documents(self, text: np.ndarray, offsets: np.ndarray, step: int = 2048) -> np.ndarray:
         """(n, K) probabilities of the rows of a flat byte text; 0 for an empty row."""
         n = len(offsets) - 1
         count = -(-np.diff(offsets) // WINDOW)
@@ -150,21 +152,22 @@ def windows_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def sample(docs: DataFrame) -> list:
-    """Rows (lang, h, part) to learn from, of the rows of doc_id, text, lang that may be learned from."""
+    """Rows (lang, h, parts) to learn from, of the rows of doc_id, text, lang that may be learned from."""
     known = docs.where("text is not null and lang is not null and length(text) > 0").where(~C.held_out())
-    order = F.xxhash64("text")
-    part = F.substring("text", F.lit(1) + F.pmod(order, F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(1))).cast("int"), F.lit(SAMPLE_CHARS))
-    known = known.select(F.col("lang").cast("string").alias("lang"), order.alias("h"), part.alias("part"))
+    order, room = F.xxhash64("text"), F.greatest(F.length("text") - PART_CHARS, F.lit(0)) + 1
+    # A short text is one part; a longer one has a part in each PARTS-th of it, at a place that its hash gives.
+    at = F.transform(F.when(room == 1, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.lit(PARTS - 1))), lambda i: F.floor((i + F.pmod(order, F.lit(1000)) / 1000) * room / PARTS).cast("int"))
+    part = F.transform(at, lambda x: F.substring("text", x + 1, F.lit(PART_CHARS)))
+    known = known.select(F.col("lang").cast("string").alias("lang"), order.alias("h"), part.alias("parts"))
     # Equal texts are learned from once. Hashes below a bound hold about four samples of a language, so that
     # neither the ranking nor a text that is copied often brings more than that to one task.
-    texts = {r.lang: r.n for r in known.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES + 1).collect()}
-    if len(texts) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages")
-    low = [(x, C.low_hash(4 * PER_LANGUAGE / n)) for x, n in texts.items()]
+    texts = {r.lang: r.n for r in known.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()}
+    most = max(LEAST, min(PER_LANGUAGE, ALL_TEXTS // max(len(texts), 1)))
+    low = [(x, C.low_hash(4 * most / n)) for x, n in sorted(texts.items())]
     bound = docs.sparkSession.createDataFrame(low, "lang string, most long")
-    few = known.join(F.broadcast(bound), "lang").where("h <= most").groupBy("lang", "h").agg(F.min("part").alias("part"))
+    few = known.join(F.broadcast(bound), "lang").where("h <= most").groupBy("lang", "h").agg(F.min("parts").alias("parts"))
     ranked = few.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
-    return sorted(ranked.where(F.col("n") <= PER_LANGUAGE).select("lang", "h", "part").collect(), key=lambda r: (r.lang, r.h, r.part))
+    return sorted(ranked.where(F.col("n") <= most).select("lang", "h", "parts").collect(), key=lambda r: (r.lang, r.h, r.parts))
 
 
 def fit(docs: DataFrame) -> ByteGRU | None:
@@ -174,8 +177,10 @@ def fit(docs: DataFrame) -> ByteGRU | None:
     if not languages:
         return None
     net = ByteGRU(languages)
-    windows, sizes, text = windows_of([r.part.encode() for r in rows])
-    net.train(windows, sizes, np.array([languages.index(r.lang) for r in rows])[text])
+    of = {x: i for i, x in enumerate(languages)}
+    parts = [(of[r.lang], x.encode()) for r in rows for x in r.parts]
+    windows, sizes, text = windows_of([x for _, x in parts])
+    net.train(windows, sizes, np.array([k for k, _ in parts])[text])
     return net
 
 
@@ -204,7 +209,7 @@ def predict(docs: DataFrame, net: ByteGRU | None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lang, pa.string()), pa.array(score.astype(np.float64))], [*batch.schema.names, "lang_pred", "score"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    return docs.mapInArrow(run, f"{schema}, lang_pred string, score double")
+    return docs.mapInArrow(C.batchwise(run), f"{schema}, lang_pred string, score double")
 
 
 def language_id(docs: DataFrame) -> DataFrame:

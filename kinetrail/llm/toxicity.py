@@ -1,23 +1,29 @@
 """Toxicity: a convolutional text classifier trained in numpy, with thresholds calibrated by language.
 
 Words (runs of bytes other than ASCII white space, ASCII letters lower-cased, ASCII punctuation at either end
-left out) are hashed to two embeddings each, whose sum is the word's vector. Filters of several widths run
-over the vectors, each filter keeps its maximum over the document, and a logistic layer scores the maxima.
+left out) have hashed embeddings, of the word and of its first bytes (``STEMS``), whose sum is the word's
+vector. Filters of several widths run over the vectors, each filter keeps its ``TOP`` largest responses in the
+document (so that the classifier can tell one telling word from several), and a logistic layer scores them.
 As a filter is linear, scoring adds table rows: each embedding's product with each filter position is
 computed once.
 
 Training (Adagrad, gradients pass through the positions of the maxima) takes a bounded sample of labelled
-rows: ``PER_LABEL`` of each label by the lowest hash of the id, with their whole texts. A quarter of the
-sample is kept from training to calibrate: for each language, the probability that separates its labels
-best is moved to 0.3, so that a score of 0.3 is the threshold in every language. At scoring time a document's
-language is guessed from its words alone (log frequencies of hashed words in the sample's languages).
+rows: ``PER_LABEL`` of each label by the lowest hash of the id, with their whole texts. Thresholds are
+calibrated by cross-fitting: each of ``FOLDS`` parts of the sample is scored by a network trained on the
+others, and for each language the probability that separates its labels best is moved to 0.3, so that a score
+of 0.3 is the threshold in every language. The network itself is then trained on the whole sample. At scoring
+time a document's language is guessed from its words alone (log frequencies of hashed words in the sample's
+languages).
 
 Defined cases: a null, empty or wordless text is scored as a document whose maxima are all 0. Rows without
-a text or a label of 0 or 1 are not learned from. Without rows of both labels every score is 0.
+a text or a label of 0 or 1 are not learned from; of rows that repeat an id the least text is. Without rows of
+both labels every score is 0.
 """
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -25,33 +31,46 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-BITS, DIM, FILTERS, WIDTHS = 17, 12, 6, (1, 2, 3)
+BITS, DIM, FILTERS, WIDTHS, TOP, STEMS = 17, 12, 6, (1, 2, 3), 3, (4, 6)
 LANG_BITS = 15
 PER_LABEL = 3000
-EPOCHS, BATCH = 6, 32
+EPOCHS, BATCH, FOLDS = 4, 32, 3
 THRESHOLD = 0.3
+_NOTHING = np.float32(-1e9)
 _PUNCT = np.zeros(256, bool)
 _PUNCT[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
 
 
 def word_hashes(text: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The hash of each word and its row; a word of punctuation alone is left out."""
+    """The hashes of each word and of its stems (n, 1 + stems), and its row; a word of punctuation alone is left out."""
     text = C.LOWER[text]
     start, end, row = C.words(text, off)
-    for _ in range(8):  # a longer run of marks stays with the word
-        i = np.flatnonzero(_PUNCT[text[start]] & (end - start > 1)) if len(start) else []
-        start[i] += 1
-        j = np.flatnonzero(_PUNCT[text[end - 1]] & (end - start > 1)) if len(start) else []
-        end[j] -= 1
-        if not len(i) and not len(j):
-            break
-    keep = ~(_PUNCT[text[start]] & (end - start == 1)) if len(start) else np.zeros(0, bool)
-    return C.segment_hashes(text, start[keep], end[keep]), row[keep]
+    start, end = C.bare(text, start, end, _PUNCT)
+    keep = ~_PUNCT[text[start]] if len(start) else np.zeros(0, bool)
+    start, end, row = start[keep], end[keep], row[keep]
+    return np.stack([C.segment_hashes(text, start, e) for e in (end, *(np.minimum(start + n, end) for n in STEMS))], axis=1), row
+
 
+def buckets(h: np.ndarray) -> np.ndarray:
+    """The rows of the embedding table (1 + stems, n) whose sum is a word's vector."""
+    return np.stack([(h[:, i] >> np.uint64(20 * i)) & np.uint64((1 << BITS) - 1) for i in range(h.shape[1])]).astype(np.int64)
 
-def buckets(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    m = np.uint64((1 << BITS) - 1)
-    return (h & m).astype(np.int64), ((h >> np.uint64(24)) & m).astype(np.int64)
+
+def top_responses(y: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The TOP largest values (n, filters, TOP) of each column in the segments that begin at ``at``, and their places."""
+    skip, at = at[0], at - at[0]  # documents too short for a window stand in front
+    y = np.array(y[skip:].T, order="C")
+    (f, m), n = y.shape, len(at)
+    size = np.diff(np.concatenate((at, [m])))
+    seg, value, where = np.repeat(np.arange(n), size), np.empty((TOP, f, n), np.float32), np.empty((TOP, f * n), np.int64)
+    for r in range(TOP):
+        value[r] = np.maximum.reduceat(y, at, axis=1)
+        hit = np.flatnonzero(y == np.repeat(value[r], size, axis=1))
+        group = hit // m * n + seg[hit % m]
+        hit = hit[np.concatenate(([True], group[1:] != group[:-1]))]  # the first of equal ones
+        where[r] = hit % m + skip
+        y.ravel()[hit] = _NOTHING
+    return value.transpose(2, 1, 0), where.reshape(TOP, f, n).transpose(2, 1, 0)
 
 
 class ToxicCNN:
@@ -60,42 +79,38 @@ class ToxicCNN:
         self.e = rng.normal(0, 0.1, (1 << BITS, DIM)).astype(np.float32)
         self.w = {k: rng.normal(0, (k * DIM) ** -0.5, (k, DIM, FILTERS)).astype(np.float32) for k in WIDTHS}
         self.b = {k: np.zeros(FILTERS, np.float32) for k in WIDTHS}
-        self.v = rng.normal(0, 0.3, len(WIDTHS) * FILTERS).astype(np.float32)
+        self.v = rng.normal(0, 0.3, len(WIDTHS) * FILTERS * TOP).astype(np.float32)
         self.c = np.float32(-2.0)
         self.languages: list[str] = []
         self.log = np.zeros((1 << LANG_BITS, 1), np.float32)
         self.shift = np.zeros(1)
         self.tables = None
 
-    def maxima(self, a, b, at, tables=None):
-        """Pooled features (n, widths * FILTERS) of documents bounded by at, and the positions of the maxima."""
+    def maxima(self, ids, at, tables=None):
+        """Pooled features (n, widths * FILTERS * TOP) of documents bounded by at, and the places (n, FILTERS, TOP) by width; -1 where a feature is 0."""
         n, size = len(at) - 1, np.diff(at)
         out, where = [], []
-        x = None if tables else self.e[a] + self.e[b]
+        x = None if tables else sum(self.e[i] for i in ids)
         for k in WIDTHS:
-            m = len(a) - k + 1
-            feat, pos = np.zeros((n, FILTERS), np.float32), np.full((n, FILTERS), -1)
+            m = ids.shape[1] - k + 1
+            feat, pos = np.zeros((n, FILTERS, TOP), np.float32), np.full((n, FILTERS, TOP), -1)
             full = np.flatnonzero(size >= k)
             if m > 0 and len(full):
                 if tables:
-                    t = tables[k]
-                    y = t[0][a[:m]] + t[0][b[:m]]
-                    for j in range(1, k):
-                        y += t[j][a[j : j + m]]
-                        y += t[j][b[j : j + m]]
+                    y = np.zeros((m, FILTERS), np.float32)
+                    for j in range(k):
+                        for i in ids:
+                            y += tables[k][j][i[j : j + m]]
                 else:
                     y = sum(x[j : j + m] @ self.w[k][j] for j in range(k))
                 y += self.b[k]
                 if k > 1:  # windows that reach into the next document don't count
                     inner = np.concatenate([at[1:-1] - d for d in range(1, k)])
-                    y[inner[(inner >= 0) & (inner < m)]] = -1e9
-                low = np.maximum.reduceat(y, at[full])
-                feat[full] = np.maximum(low, 0)
-                if not tables:
-                    for r, i in enumerate(full):
-                        pos[i] = at[i] + y[at[i] : min(at[i + 1], m)].argmax(axis=0)
-                    pos[feat <= 0] = -1
-            out.append(feat)
+                    y[inner[(inner >= 0) & (inner < m)]] = _NOTHING
+                value, place = top_responses(y, at[full])
+                feat[full] = np.maximum(value, 0)
+                pos[full] = np.where(value > 0, place, -1)
+            out.append(feat.reshape(n, -1))
             where.append(pos)
         return np.concatenate(out, axis=1), where
 
@@ -109,33 +124,35 @@ class ToxicCNN:
             for s in range(0, len(order), BATCH):
                 pick = order[s : s + BATCH]
                 at = np.concatenate(([0], np.cumsum([len(docs[i]) for i in pick])))
-                a, b = buckets(np.concatenate([docs[i] for i in pick]))
-                feat, where = self.maxima(a, b, at)
+                ids = buckets(np.concatenate([docs[i] for i in pick]))
+                feat, where = self.maxima(ids, at)
                 p = 1 / (1 + np.exp(-np.clip(feat @ self.v + self.c, -30, 30)))
                 d = ((p - label[pick]) * weight[pick] / len(pick)).astype(np.float32)
                 df = d[:, None] * self.v
                 dv, dc = feat.T @ d, float(d.sum())
                 rows, grads = [], []
                 for n, k in enumerate(WIDTHS):
-                    g, pos = df[:, n * FILTERS : (n + 1) * FILTERS], where[n]
-                    i, f = np.nonzero(pos >= 0)
-                    at_, g = pos[i, f], g[i, f]
+                    g, pos = df[:, n * FILTERS * TOP : (n + 1) * FILTERS * TOP].reshape(-1, FILTERS, TOP), where[n]
+                    i, f, r = np.nonzero(pos >= 0)
+                    at_, g = pos[i, f, r], g[i, f, r]
                     db = np.bincount(f, g, FILTERS)
                     dw = np.zeros_like(self.w[k])
                     for j in range(k):
-                        x = self.e[a[at_ + j]] + self.e[b[at_ + j]]
-                        np.add.at(dw[j].T, f, g[:, None] * x)
-                        ge = g[:, None] * self.w[k][j][:, f].T
-                        rows += [a[at_ + j], b[at_ + j]]
-                        grads += [ge, ge]
+                        here = ids[:, at_ + j]
+                        np.add.at(dw[j].T, f, g[:, None] * self.e[here].sum(axis=0))
+                        rows.append(here.ravel())
+                        grads += [g[:, None] * self.w[k][j][:, f].T] * len(ids)
                     self.w[k] -= self._step(sq, ("w", k), dw, rate)
                     self.b[k] -= self._step(sq, ("b", k), db, rate).astype(np.float32)
                 self.v -= self._step(sq, "v", dv, rate).astype(np.float32)
                 sq["c"] += dc * dc
                 self.c -= np.float32(rate * dc / sq["c"] ** 0.5)
-                r, back = np.unique(np.concatenate(rows), return_inverse=True)
-                ge = np.zeros((len(r), DIM), np.float32)
-                np.add.at(ge, back, np.concatenate(grads))
+                rows, grads = np.concatenate(rows), np.concatenate(grads)
+                if not len(rows):
+                    continue
+                order_ = np.argsort(rows, kind="stable")
+                first = np.flatnonzero(np.concatenate(([True], np.diff(rows[order_]) > 0)))
+                r, ge = rows[order_[first]], np.add.reduceat(grads[order_], first, axis=0)
                 sq["e"][r] += ge * ge
                 self.e[r] -= rate * ge / np.sqrt(sq["e"][r])
 
@@ -148,15 +165,14 @@ class ToxicCNN:
         self.tables = {k: [self.e @ self.w[k][j] for j in range(k)] for k in WIDTHS}
 
     def logits(self, h: np.ndarray, at: np.ndarray) -> np.ndarray:
-        a, b = buckets(h)
-        feat, _ = self.maxima(a, b, at, self.tables)
+        feat, _ = self.maxima(buckets(h), at, self.tables)
         return (feat @ self.v + self.c).astype(np.float64)
 
     def guess(self, h: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Each document's language, by its words."""
         if not len(h):
             return np.zeros(len(at) - 1, np.int64)
-        total = np.concatenate((np.zeros((1, self.log.shape[1])), np.cumsum(self.log[(h & np.uint64((1 << LANG_BITS) - 1)).astype(np.int64)], axis=0, dtype=np.float64)))
+        total = np.concatenate((np.zeros((1, self.log.shape[1])), np.cumsum(self.log[(h[:, 0] & np.uint64((1 << LANG_BITS) - 1)).astype(np.int64)], axis=0, dtype=np.float64)))
         return (total[at[1:]] - total[at[:-1]]).argmax(axis=1)
 
     def learn_languages(self, docs, lang) -> None:
@@ -164,7 +180,7 @@ class ToxicCNN:
         count = np.full((1 << LANG_BITS, len(self.languages)), 0.5)
         for d, x in zip(docs, lang):
             if x is not None:
-                np.add.at(count[:, self.languages.index(x)], (d & np.uint64((1 << LANG_BITS) - 1)).astype(np.int64), 1)
+                np.add.at(count[:, self.languages.index(x)], (d[:, 0] & np.uint64((1 << LANG_BITS) - 1)).astype(np.int64), 1)
         self.log = np.log(count / count.sum(axis=0)).astype(np.float32)
         self.shift = np.zeros(len(self.languages))
 
@@ -201,7 +217,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicCNN | None:
     ranked = few.withColumn("n", F.row_number().over(Window.partitionBy("toxic").orderBy("h", "doc_id")))
     ids = ranked.where(F.col("n") <= PER_LABEL).select("doc_id", "toxic")  # at most 2 * PER_LABEL rows, so they may be sent
     known = docs.where("text is not null").select("doc_id", "text", "lang").join(F.broadcast(ids), "doc_id")
-    rows = known.select("toxic", "lang", F.xxhash64("text").alias("h"), "text").collect()
+    known = known.groupBy("doc_id", "toxic").agg(F.min(F.struct("text", "lang")).alias("r"))
+    rows = known.select("toxic", F.col("r.lang").alias("lang"), F.xxhash64("r.text").alias("h"), F.col("r.text").alias("text")).collect()
     rows = sorted(rows, key=lambda r: (r.h, r.text, r.toxic, str(r.lang)))
     label = np.array([r.toxic for r in rows], np.int64)
     if len(set(label.tolist())) < 2:
@@ -210,21 +227,56 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicCNN | None:
     for r in rows:
         raw = np.frombuffer(r.text.encode(), np.uint8)
         words.append(word_hashes(raw, np.array([0, len(raw)]))[0])
-    net = ToxicCNN()
-    net.learn_languages(words, [r.lang for r in rows])
-    kept = np.arange(len(rows)) % 4 == 3 if min(label.sum(), (1 - label).sum()) >= 200 else np.zeros(len(rows), bool)
-    use = [i for i in np.flatnonzero(~kept) if len(words[i])]
+    return learn(words, label, [r.lang for r in rows], docs.sparkSession)
+
+
+def _flat(words: list[np.ndarray], of) -> tuple[np.ndarray, np.ndarray]:
+    return np.concatenate([words[i] for i in of]), np.concatenate(([0], np.cumsum([len(words[i]) for i in of])))
+
+
+def _trained(words: list[np.ndarray], label: np.ndarray, fold: np.ndarray, k: int) -> tuple[bytes, bytes]:
+    """The network of all documents (k < 0), pickled; or of those outside fold k, what it says of the fold (64-bit floats)."""
+    net, use = ToxicCNN(), [i for i in np.flatnonzero(fold != k) if len(words[i])]
     net.train([words[i] for i in use], label[use])
+    if k < 0:
+        return pickle.dumps(net), b""
     net.prepare()
-    check = np.flatnonzero(kept) if kept.any() else np.arange(len(rows))
-    at = np.concatenate(([0], np.cumsum([len(words[i]) for i in check])))
-    h = np.concatenate([words[i] for i in check])
-    net.calibrate(net.logits(h, at), label[check], net.guess(h, at))
-    net.tables = None
-    return net
+    return b"", net.logits(*_flat(words, np.flatnonzero(fold == k))).tobytes()
+
 
+def learn(words: list[np.ndarray], label: np.ndarray, lang: list, spark=None) -> ToxicCNN:
+    """A network trained on all documents, whose thresholds were found by networks that had not seen them. With a session each network is a task's; training depends on its input alone, so a lost task is done again."""
+    fold, folds = np.full(len(words), 0), FOLDS if min(label.sum(), (1 - label).sum()) >= 30 else 0
+    for x in (0, 1):  # each part has its share of either label
+        fold[label == x] = np.arange((label == x).sum()) % max(folds, 1)
+    jobs = list(range(-1, folds))
+    if spark is None:
+        done = {k: _trained(words, label, fold, k) for k in jobs}
+    else:
+        shared = spark.sparkContext.broadcast((np.concatenate(words), np.cumsum([len(w) for w in words])[:-1], label, fold))
 
-_ready: dict = {}
+        def run(batches):
+            for batch in batches:
+                for k in batch.column("id").to_pylist():
+                    flat, cut, label, fold = shared.value
+                    net, logits = _trained(np.split(flat, cut), label, fold, k)
+                    yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([net], pa.binary()), pa.array([logits], pa.binary())], ["k", "net", "logits"])
+
+        rows = spark.range(-1, folds, 1, len(jobs)).mapInArrow(C.batchwise(run), "k long, net binary, logits binary").collect()
+        done = {r.k: (bytes(r.net), bytes(r.logits)) for r in rows}
+    net = pickle.loads(done[-1][0])
+    net.learn_languages(words, lang)
+    everything = np.arange(len(words))
+    if folds:
+        logit = np.zeros(len(words))
+        for k in range(folds):
+            logit[fold == k] = np.frombuffer(done[k][1])
+    else:
+        net.prepare()
+        logit = net.logits(*_flat(words, everything))
+    net.calibrate(logit, label, net.guess(*_flat(words, everything)))
+    net.tables = None
+    return net
 
 
 def toxicity(docs: DataFrame, net: ToxicCNN | None) -> DataFrame:
@@ -244,4 +296,4 @@ def toxicity(docs: DataFrame, net: ToxicCNN | None) -> DataFrame:
                 score[a:b] = net.score(h, C.row_bounds(row, b - a))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score), pa.array((score >= THRESHOLD).astype(np.int32))], ["doc_id", "score", "predicted"])
 
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, score double, predicted int")
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(C.batchwise(run), f"doc_id {dict(docs.dtypes)['doc_id']}, score double, predicted int")

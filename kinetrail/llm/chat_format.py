@@ -9,14 +9,18 @@ A turn is first written as it is. A deterministic parser reads it back: control
 when no backslash stands before them; inside a text, backslashes before a control string lose one. If what
 comes back isn't the one turn that went in, its text (and role) are escaped (one backslash more before every
 control string, behind any that are there) and the turn is read back again, until it is identical; the grammar
-guarantees that at the second try. The loss mask covers the text of [OUT] turns.
-
-Turns are written and read in order in one pass over sorted rows with a state of one turn, so a conversation
-of any length passes; nothing is gathered by conversation.
-
-Defined cases: a null text or role is empty; turns are ordered by turn (null first), role and text, so that
-repeated rows and equal turn numbers have one order; a null conv_id is a conversation of its own. A text may
-hold any control string, backslashes before it, and blanks at its ends.
+guarantees that at the second try. The loss mask is the span of an [OUT] turn's text in the formatted text.
+
+A turn is written where its row is read; it ends in a control string, so what is read of a conversation's text
+is what is read of its turns, one after the other. Conversations are read in one pass over sorted rows with a
+state of one turn; nothing is gathered by conversation. A digest runs along its conversation in order, so one
+conversation is one task's, as a stream. A turn that isn't of the grammar, or whose masked span isn't what the
+parser reads, is an error.
+
+Defined cases: a null text or role is empty; turns are ordered by turn (null first), role and formatted text, so
+that repeated rows and equal turn numbers have one order; rows of a null conv_id are one conversation. A text may
+hold any control string, backslashes before it, and blanks at its ends. Other columns are ignored; an empty table
+gives an empty one.
 """
 
 from __future__ import annotations
@@ -87,23 +91,24 @@ def parse(formatted: str) -> list[tuple[str, str]] | None:
     return turns
 
 
+def masked(formatted: str) -> tuple[int, int] | None:
+    """The span of a rendered turn's text that the loss covers: that of an [OUT] turn."""
+    head, tail = "<s>[OUT] ", " [/OUT]</s>"
+    return (len(head), len(formatted) - len(tail)) if formatted.startswith(head) else None
+
+
 def format_chats(conversations: DataFrame) -> DataFrame:
-    """conv_id, place (0 on), formatted: a conversation's formatted text is its rows' in order of place."""
+    """conv_id, turn, role, formatted, loss_from, loss_to: a conversation's formatted text is its rows' in order of turn, role and formatted; the loss covers code points loss_from to loss_to of a row's."""
     C.small_batches(conversations.sparkSession)
     rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
     def run(batches):
-        now, place = (), -1
         for batch in batches:
-            conv, where, out = batch.column("conv_id").to_pylist(), [], []
-            for c, role, text in zip(conv, batch.column("role").to_pylist(), batch.column("text").to_pylist()):
-                now, place = (c, place + 1) if now == c else (c, 0)
-                where.append(place)
-                out.append(render(role, text))
-            yield pa.RecordBatch.from_arrays([batch.column("conv_id"), pa.array(where, pa.int64()), pa.array(out, pa.string())], ["conv_id", "place", "formatted"])
+            out = [render(role, text) for role, text in zip(batch.column("role").to_pylist(), batch.column("text").to_pylist())]
+            span = [masked(x) or (None, None) for x in out]
+            yield pa.RecordBatch.from_arrays([batch.column("conv_id"), batch.column("turn"), batch.column("role"), pa.array(out, pa.string()), pa.array([x[0] for x in span], pa.int64()), pa.array([x[1] for x in span], pa.int64())], ["conv_id", "turn", "role", "formatted", "loss_from", "loss_to"])
 
-    ordered = rows.repartition("conv_id").sortWithinPartitions("conv_id", F.col("turn").asc_nulls_first(), "role", "text")
-    return ordered.mapInArrow(run, "conv_id long, place long, formatted string")
+    return rows.mapInArrow(C.batchwise(run), "conv_id long, turn long, role string, formatted string, loss_from long, loss_to long")
 
 
 def read_chats(formatted: DataFrame) -> DataFrame:
@@ -122,21 +127,26 @@ def read_chats(formatted: DataFrame) -> DataFrame:
 
         for batch in batches:
             out = []
-            for c, text in zip(batch.column("conv_id").to_pylist(), batch.column("formatted").to_pylist()):
+            for c, text, a, b in zip(*(batch.column(x).to_pylist() for x in ("conv_id", "formatted", "loss_from", "loss_to"))):
                 if state is None or now != c:
                     if state is not None:
                         out.append(done())
                     now, state = c, [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-                for role, said in parse(text) or ():
+                turns = parse(text)
+                if turns is None:
+                    raise ValueError(f"not of the grammar: {text[:200]!r}")
+                learned = "" if a is None else unescape(text[a:b])
+                if learned != "".join(said for role, said in turns if role == "assistant"):
+                    raise ValueError(f"the loss mask isn't the assistant's text: {text[:200]!r}")
+                for role, said in turns:
                     state[0] += 1
                     state[1].update(f"{role}\n{said}\n".encode())
-                    if role == "assistant":
-                        state[2] += len(said)
-                        state[3].update(said.encode())
+                state[2] += len(learned)
+                state[3].update(learned.encode())
                 state[4] += len(text)
             yield table(out)
         if state is not None:
             yield table([done()])
 
-    ordered = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "place")
-    return ordered.mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    ordered = formatted.repartition("conv_id").sortWithinPartitions("conv_id", F.col("turn").asc_nulls_first(), "role", "formatted")
+    return ordered.mapInArrow(C.batchwise(run), "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")

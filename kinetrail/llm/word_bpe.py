@@ -5,7 +5,9 @@ array of code points, cut into words as the file's pattern does, and each distin
 and kept in a bounded cache. The words that the cache lacks are encoded together: all of them lie in one
 flat array of symbols; a round looks up each neighbouring pair by binary search over the sorted pair keys,
 takes each word's lowest rank, and merges that pair wherever the word has it; words without a pair left
-leave the array.
+leave the array. Words are first cut where no token of the vocabulary spans the cut; a piece that is still
+longer than ROUND_BYTES (a text without blanks) takes its pairs from a queue instead, as rounds over it would
+take a time that grows with its square. The file's normaliser and classes of characters are the library's own.
 
 Defined cases: a null or empty text has no tokens; control characters U+001C to U+001F are not white space
 here, as in the tokenizers library; rows that repeat a doc_id are encoded each.
@@ -15,9 +17,9 @@ from __future__ import annotations
 
 import hashlib
 import json
-import unicodedata
 import uuid
 import zlib
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +31,12 @@ from . import common as C
 from .flat_words import PASS, Known, code_points, hashes, take
 
 _NONE = np.int64(1 << 40)
-_WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+WHITE, LETTER, NUMBER, OTHER, _UNSEEN = 0, 1, 2, 3, 255
+#: Texts of code points below this need no normaliser.
+PLAIN = 0x250
+_PLAIN = regex.compile(r"[\x00-\u024f]*")
+#: Bytes of a word up to which words are merged together in rounds; a longer one is merged by a queue of its own.
+ROUND_BYTES = 400
 #: The pattern that words() cuts by; a file with another one is refused.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -47,25 +54,47 @@ def byte_symbols() -> list[str]:
     return [chr(b if b in shown else next(spare)) for b in range(256)]
 
 
-_classes: list[np.ndarray] = []
+class Library:
+    """The tokenizers library's own normaliser and pre-tokeniser: what a code point is, and what a text becomes."""
 
+    def __init__(self, path: str):
+        import os
 
-def classes() -> np.ndarray:
-    """For each code point: 0 white space, 1 letter, 2 number, 3 other."""
-    if not _classes:
-        t = np.array([{"L": 1, "N": 2}.get(unicodedata.category(chr(c))[0], 3) for c in range(0x110000)], np.uint8)
-        t[[ord(c) for c in _WHITE]] = 0
-        _classes.append(t)
-    return _classes[0]
-
-
-def normal(text: str) -> str:
-    return text.lower() if text.isascii() else unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3").lower()
-
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
 
-def words(cp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the words that PATTERN finds in code points of normal texts; the last one is a blank."""
-    kind = classes()[cp]
+        self.whole = Tokenizer.from_file(path)
+        self.whole.no_truncation()
+        self.whole.no_padding()
+        self.kind = np.full(0x110000, _UNSEEN, np.uint8)
+        self.kind[0xD800:0xE000] = OTHER
+        self.ask(np.arange(PLAIN))
+
+    def ask(self, points: np.ndarray) -> None:
+        """Learns the classes of code points: a letter joins a letter in front, another sign joins a sign, a number stands alone, white space is left out."""
+        chars = [chr(c) for c in points.tolist()]
+        cut = self.whole.pre_tokenizer.pre_tokenize_str
+        ends = [{a: b for _, (a, b) in cut("".join(f"{x}{c}\n" for c in chars))} for x in "a!"]
+        at = 3 * np.arange(len(chars))
+        letter, other = (np.array([e.get(i) == i + 2 for i in at.tolist()], bool) for e in ends)
+        alone = np.array([i + 1 in ends[0] for i in at.tolist()], bool)
+        self.kind[points] = np.where(letter, LETTER, np.where(other, OTHER, np.where(alone, NUMBER, WHITE)))
+
+    def kinds(self, cp: np.ndarray) -> np.ndarray:
+        """For each code point: white space, letter, number or other. Those not met before are asked for, once a worker."""
+        out = self.kind[cp]
+        if (out == _UNSEEN).any():
+            self.ask(np.unique(cp[out == _UNSEEN]))
+            out = self.kind[cp]
+        return out
+
+    def normal(self, text: str) -> str:
+        """The normalised text but for its white space. Below PLAIN no character combines with another, and lower() does what the library does."""
+        return text.lower() if text.isascii() or _PLAIN.fullmatch(text) else self.whole.normalizer.normalize_str(text)
+
+
+def words(cp: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words that PATTERN finds in code points of normal texts, with their classes; the last one is a blank."""
     start = kind != 0
     start[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == 2)
     q = np.flatnonzero(start & (cp == ord("'")))
@@ -89,11 +118,12 @@ class WordBPE:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        self.library = Library(path)
         model = spec["model"]
         suffix, vocab = model["end_of_word_suffix"], model["vocab"]
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.names = {i: t for t, i in (vocab | self.added).items()}
-        self.shown = [self.names.get(i, "").encode() for i in range(max(self.names) + 1)]
+        names = {i: t for t, i in (vocab | self.added).items()}
+        shown = [names.get(i, "").encode() for i in range(max(names) + 1)]
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         if split["pattern"]["Regex"] != PATTERN:
             raise ValueError("the file cuts words by another pattern")
@@ -108,16 +138,84 @@ class WordBPE:
         self.keys, self.ranks = keys[order], order.astype(np.int64)
         self.merged = np.array([vocab[a + b] for a, b in pairs], np.int64)
         self.known = Known(np.int32)
+        self.by_pair: dict[int, int] = {}
+        self.into: list[int] = []
         # The tokens' shown bytes, a blank behind each.
-        self.shown_size = np.array([len(x) + 1 for x in self.shown], np.int64)
+        self.shown_size = np.array([len(x) + 1 for x in shown], np.int64)
         self.shown_start = np.cumsum(self.shown_size) - self.shown_size
-        self.shown_bytes = np.frombuffer(b"".join(x + b" " for x in self.shown), np.uint8)
+        self.shown_bytes = np.frombuffer(b"".join(x + b" " for x in shown), np.uint8)
+        # Which bytes stand side by side inside some token: a word can be cut between all others.
+        byte = {c: i for i, c in enumerate(letters)}
+        self.beside = np.zeros((256, 256), bool)
+        for t in vocab:
+            inner = [byte[c] for c in t.removesuffix(suffix) if c in byte]
+            self.beside[inner[:-1], inner[1:]] = True
+
+    def forget(self) -> None:
+        self.known.clear()
 
     def merge(self, data: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of words given by their bytes and sizes, merged together round by round, and how many each word has."""
+        """The ids of words given by their bytes and sizes, and how many each word has.
+
+        Words are cut where no token spans the cut, as no merge reaches over it; then the pieces are merged
+        together round by round, but for those of more than ROUND_BYTES, which would need a round for each of
+        their ranks.
+        """
         end = np.cumsum(size) - 1
         sym = self.first[data]
         sym[end] = self.last[data[end]]
+        first = np.ones(len(data), bool)
+        first[1:] = ~self.beside[data[:-1], data[1:]]
+        first[end[:-1] + 1] = True
+        start = np.flatnonzero(first)
+        span = np.diff(np.concatenate((start, [len(data)])))
+        owner = np.searchsorted(end, start)
+        short = span <= ROUND_BYTES
+        ids, n = self.rounds(sym[take(start[short], span[short])], span[short])
+        if not short.all():
+            count = np.zeros(len(span), np.int64)
+            count[short] = n
+            long = {i: self.queue(sym[start[i] : start[i] + span[i]]) for i in np.flatnonzero(~short).tolist()}
+            for i, x in long.items():
+                count[i] = len(x)
+            out, to = np.empty(count.sum(), np.int64), np.cumsum(count) - count
+            out[take(to[short], n)] = ids
+            for i, x in long.items():
+                out[to[i] : to[i] + len(x)] = x
+            ids, n = out, count
+        return ids, np.bincount(owner, n, len(size)).astype(np.int64)
+
+    def queue(self, sym: np.ndarray) -> list[int]:
+        """The ids of one long piece: its pairs leave a queue by rank and place, in time n log n."""
+        n, size = len(sym), int(self.size)
+        key = sym[:-1] * size + sym[1:]
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        known = self.keys[at] == key
+        place = np.flatnonzero(known)
+        heap = list(zip(self.ranks[at[place]].tolist(), place.tolist(), sym[place].tolist(), sym[place + 1].tolist()))
+        heapify(heap)
+        if not self.by_pair:
+            self.by_pair, self.into = dict(zip(self.keys.tolist(), self.ranks.tolist())), self.merged.tolist()
+        rank_of, merged = self.by_pair.get, self.into
+        val, after, before = sym.tolist(), list(range(1, n + 1)), list(range(-1, n - 1))
+        while heap:
+            rank, i, a, b = heappop(heap)
+            j = after[i]
+            if val[i] != a or j >= n or val[j] != b:
+                continue  # one of the two has been merged since
+            val[i], val[j] = merged[rank], -1
+            k = after[i] = after[j]
+            if k < n:
+                before[k] = i
+                if (r := rank_of(val[i] * size + val[k])) is not None:
+                    heappush(heap, (r, i, val[i], val[k]))
+            h = before[i]
+            if h >= 0 and (r := rank_of(val[h] * size + val[i])) is not None:
+                heappush(heap, (r, h, val[h], val[i]))
+        return [x for x in val if x >= 0]
+
+    def rounds(self, sym: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces given by their symbols and sizes, merged together round by round, and how many each piece has."""
         word = np.repeat(np.arange(len(size)), size)
         done_sym, done_word = [], []
         while len(sym) > 1:
@@ -158,8 +256,8 @@ class WordBPE:
 
     def flat_ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after the other, and n + 1 bounds. No text has an added token."""
-        cp, at = code_points([normal(t) for t in texts])
-        start, end = words(cp)
+        cp, at = code_points([self.library.normal(t) for t in texts])
+        start, end = words(cp, self.library.kinds(cp))
 
         def make(i):
             size = end[i] - start[i] + 1
@@ -192,21 +290,10 @@ class WordBPE:
 
 
 class LibraryBPE(WordBPE):
-    """The same, with the distinct words encoded by the tokenizers library."""
-
-    def __init__(self, path: str):
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        super().__init__(path)
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
+    """The same, with the distinct words encoded by the library itself."""
 
     def ids_of(self, lines: str) -> tuple[np.ndarray, np.ndarray]:
-        got = [e.ids for e in self.library.encode_batch_fast(lines.split("\n")[:-1], add_special_tokens=False)]
+        got = [e.ids for e in self.library.whole.encode_batch_fast(lines.split("\n")[:-1], add_special_tokens=False)]
         return np.fromiter((i for x in got for i in x), np.int32), np.fromiter(map(len, got), np.int64, len(got))
 
 
@@ -223,6 +310,13 @@ def tokenizer(path: str, kind=WordBPE):
     return _held[kind, path]
 
 
+def forget() -> None:
+    """Drops what the worker's tokenizers know of words."""
+    for t in _held.values():
+        if isinstance(t, WordBPE):
+            t.forget()
+
+
 def encode(docs: DataFrame, path: str | None = None, digests: bool = False) -> DataFrame:
     """doc_id, ids array<int>, decoded string of every row; with ``digests``, encode_digest()'s columns too."""
     path = path or default_vocabulary()
@@ -243,7 +337,7 @@ def encode(docs: DataFrame, path: str | None = None, digests: bool = False) -> D
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     more = ", n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else ""
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, ids array<int>, decoded string{more}")
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(C.batchwise(run, forget), f"doc_id {dict(docs.dtypes)['doc_id']}, ids array<int>, decoded string{more}")
 
 
 def encode_digest(docs: DataFrame, path: str | None = None) -> DataFrame:
@@ -263,16 +357,26 @@ def encode_digest(docs: DataFrame, path: str | None = None) -> DataFrame:
                 decoded += [hashlib.sha256(shown[a : max(a, b - 1)]).hexdigest() for a, b in zip(end, end[1:])]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(C.batchwise(run, forget), f"doc_id {dict(docs.dtypes)['doc_id']}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 # ---- binary token files --------------------------------------------------------------------
 
+def shared_uri(spark, folder: str) -> str:
+    """The folder as a URI that all tasks open alike: a bare path is one of the cluster's default file system."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(folder)
+    return at.getFileSystem(conf).makeQualified(at).toString()
+
 
 def _store(uri: str):
+    """A file system and the path in it. uri: from shared_uri()."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)
+    scheme, colon, rest = uri.partition(":")
+    if not colon:
+        raise ValueError(f"no file system is named: {uri}")
+    return (fs.LocalFileSystem(), "/" + rest.lstrip("/")) if scheme == "file" else fs.FileSystem.from_uri(uri)
 
 
 def _open(uri: str) -> pa.Buffer:
@@ -287,25 +391,47 @@ def _open(uri: str) -> pa.Buffer:
         return f.read_buffer()
 
 
+def library_ids(docs: DataFrame, path: str | None = None, end_id: int | None = 2, kind: str = "<u2") -> DataFrame:
+    """doc_id, h, ids (unsigned integers of ``kind`` as bytes) of every row's text.
+
+    The library encodes each distinct word once; texts are cut into words by its own normaliser and classes of
+    characters, which gives the ids of whole texts at a fraction of the time.
+    """
+    path = path or default_vocabulary()
+    C.small_batches(docs.sparkSession)
+
+    def run(batches):
+        bpe = tokenizer(path, LibraryBPE)
+        behind = np.array([] if end_id is None else [end_id], kind).tobytes()
+        for batch in batches:
+            out = []
+            for flat, at in bpe.batches(_texts(batch)):
+                raw, at = flat.astype(kind), at.tolist()
+                out += [raw[a:b].tobytes() + behind for a, b in zip(at, at[1:])]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.binary())], ["doc_id", "ids"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(C.batchwise(run, forget), "doc_id long, ids binary").select("doc_id", F.xxhash64("ids").alias("h"), "ids")
+
+
 def write_token_files(docs: DataFrame, folder: str, path: str | None = None, end_id: int | None = 2, kind: str = "<u2") -> list[dict]:
     """Writes the ids of all texts in ascending doc_id order and returns the manifest, one entry a part.
 
     A part has three flat files: .ids (unsigned integers of ``kind``), .off (n + 1 offsets into it, 64-bit
     unsigned) and .doc (doc ids, 64-bit). Parts follow each other in doc_id order; an entry has the number
-    of ids before it (prefix sums of the parts' totals). manifest.json in ``folder`` holds the same. Each
-    attempt of a task writes files of its own name, and the manifest names those of the attempt that
-    counted, so a lost executor or a second attempt leaves no half-written part in use. Only totals of parts
-    come to the driver. Null doc ids come first and are written as the least 64-bit integer; equal ones are
-    ordered by text.
+    of ids before it (prefix sums of the parts' totals). manifest.json in ``folder`` holds the same. Texts are
+    encoded where they are read; only ids travel. Each attempt of a task writes files of its own name, and the
+    manifest names those of the attempt that counted, so a lost executor or a second attempt leaves no
+    half-written part in use. Only totals of parts come to the driver. Null doc ids come first and are written
+    as the least 64-bit integer; equal ones are ordered by a hash of their ids.
     """
     spark = docs.sparkSession
-    path = path or default_vocabulary()
-    C.small_batches(spark)
+    folder = shared_uri(spark, folder)
+    width = np.dtype(kind).itemsize
 
     def run(batches):
         from pyspark import TaskContext
 
-        bpe = tokenizer(path, LibraryBPE)
         name = f"part-{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex}"
         store, base = _store(folder)
         store.create_dir(base, recursive=True)
@@ -313,22 +439,19 @@ def write_token_files(docs: DataFrame, folder: str, path: str | None = None, end
         with store.open_output_stream(f"{base}/{name}.ids") as f, store.open_output_stream(f"{base}/{name}.off") as g, store.open_output_stream(f"{base}/{name}.doc") as h:
             g.write(np.zeros(1, "<u8").tobytes())
             for batch in batches:
-                ends = []
-                for flat, bounds in bpe.batches(_texts(batch)):
-                    if end_id is not None:
-                        flat = np.insert(flat, bounds[1:], end_id)
-                        bounds = bounds + np.arange(len(bounds))
-                    f.write(flat.astype(kind).tobytes())
-                    ends += (bounds[1:] + at).tolist()
-                    at += len(flat)
-                n += len(ends)
-                g.write(np.array(ends, "<u8").tobytes())
-                doc = batch.column("doc_id").fill_null(np.iinfo(np.int64).min)
-                h.write(doc.to_numpy(zero_copy_only=False).astype("<i8").tobytes())
+                data = batch.column("ids").to_pylist()
+                f.write(b"".join(data))
+                ends = at + np.cumsum([len(x) // width for x in data], dtype=np.int64)
+                at, n = int(ends[-1]) if len(ends) else at, n + len(data)
+                g.write(ends.astype("<u8").tobytes())
+                h.write(batch.column("doc_id").fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False).astype("<i8").tobytes())
         yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([name]), pa.array([n], pa.int64()), pa.array([at], pa.int64())], ["part", "name", "n_docs", "n_tokens"])
 
-    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text"))
-    parts = C.Scratch(spark, "tokens").keep(ordered.mapInArrow(run, "part long, name string, n_docs long, n_tokens long"), "parts").where("n_docs > 0").orderBy("part").collect()
+    scratch, order = C.Scratch(spark, "tokens"), [F.col("doc_id").asc_nulls_first(), F.col("h")]
+    encoded = scratch.keep(library_ids(docs, path, end_id, kind), "ids")  # written, as dealing by range reads its input twice
+    ordered = encoded.repartitionByRange(*order).sortWithinPartitions(*order)
+    parts = scratch.keep(ordered.mapInArrow(C.batchwise(run), "part long, name string, n_docs long, n_tokens long"), "parts").where("n_docs > 0").orderBy("part").collect()
+    scratch.drop("ids")
     bases = np.concatenate(([0], np.cumsum([p.n_tokens for p in parts], dtype=np.int64)))
     manifest = [{"uri": f"{folder}/{p.name}", "base": int(b), "n_docs": p.n_docs, "n_tokens": p.n_tokens} for p, b in zip(parts, bases)]
     store, base = _store(folder)
@@ -352,7 +475,7 @@ def read_token_files(spark, manifest: list[dict], kind: str = "<u2", step: int =
                     yield pa.RecordBatch.from_arrays([pa.array(doc[a:b], mask=~known), pa.array(off[a:b] + base), pa.array(off[a + 1 : b + 1] - off[a:b]), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     rows = spark.createDataFrame([(p["uri"], p["base"]) for p in manifest], "uri string, base long")
-    return rows.repartition(max(1, len(manifest)), "uri").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return rows.repartition(max(1, len(manifest)), "uri").mapInArrow(C.batchwise(run), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_files(docs: DataFrame, path: str | None = None) -> DataFrame:

@@ -38,10 +38,18 @@ def test_bpe_of_every_code_point(bpe):
     points = [c for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000 and (unicodedata.category(chr(c)) not in ("Cn", "Co") or c % 61 == 0)]
     points = [c for c in points if c % 7 == 0 or not (0x4E40 < c < 0x9F00 or 0xAC40 < c < 0xD700 or 0x20000 < c < 0x33000)]
     texts = [f"a{c}b {c}1 x{c}{c} !{c}" for c in map(chr, points)]
+    by_library = word_bpe.LibraryBPE(word_bpe.default_vocabulary())
     for a in range(0, len(texts), 20_000):
         part = texts[a : a + 20_000]
         want = [e.ids for e in bpe.library.whole.encode_batch_fast(part, add_special_tokens=False)]
-        assert ids_of(bpe, part) == want
+        assert ids_of(bpe, part) == want and ids_of(by_library, part) == want
+
+
+def test_bpe_of_random_signs(bpe):
+    by_library, r = word_bpe.LibraryBPE(word_bpe.default_vocabulary()), random.Random(3)
+    texts = ["".join(r.choice("'s'll've !?aÀσΣ1² \n\x85ǅ́<|endoftext|>") for _ in range(r.randrange(30))) for _ in range(5000)]
+    want = [e.ids for e in bpe.library.whole.encode_batch_fast(texts, add_special_tokens=False)]
+    assert ids_of(bpe, texts) == want and ids_of(by_library, texts) == want
 
 
 def test_bpe_of_long_words(bpe):

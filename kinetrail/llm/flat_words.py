@@ -7,7 +7,7 @@ import numpy as np
 from . import common as C
 
 #: Code points that one flat pass works on; a longer text is worked on alone.
-PASS = 500_000
+PASS = 300_000
 
 
 def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -33,7 +33,7 @@ def take(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 class Known:
     """Integer rows of distinct segments by hash, in sorted arrays of bounded size."""
 
-    def __init__(self, kind, most: int = 600_000):
+    def __init__(self, kind, most: int = 300_000):
         self.kind, self.most = kind, most
         self.clear()
 

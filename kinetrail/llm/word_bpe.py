@@ -55,25 +55,44 @@ def byte_symbols() -> list[str]:
 
 
 class Library:
-    """The tokenizers library's own normaliser and pre-tokeniser: what a code point is, and what a text becomes."""
+    """The tokenizers library's own normaliser and pre-tokeniser: what a code point is, and what a text becomes.
 
-    def __init__(self, path: str):
+    They stand without the vocabulary, which takes much memory; ``whole`` reads it where it is asked for.
+    """
+
+    def __init__(self, path: str, spec: dict | None = None):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.whole = Tokenizer.from_file(path)
-        self.whole.no_truncation()
-        self.whole.no_padding()
+        if spec is None:
+            with open(path, encoding="utf-8") as f:
+                spec = json.load(f)
+        none = {"vocab": {}, "merges": []}
+        self.path, self.rules = path, json.dumps(spec | {"added_tokens": [], "truncation": None, "padding": None, "model": spec["model"] | none})
+        self.cutter, self._whole = Tokenizer.from_str(self.rules), None
         self.kind = np.full(0x110000, _UNSEEN, np.uint8)
         self.kind[0xD800:0xE000] = OTHER
         self.ask(np.arange(PLAIN))
 
+    def __reduce__(self):
+        return Library, (self.path, json.loads(self.rules))
+
+    @property
+    def whole(self):
+        if self._whole is None:
+            from tokenizers import Tokenizer
+
+            self._whole = Tokenizer.from_file(self.path)
+            self._whole.no_truncation()
+            self._whole.no_padding()
+        return self._whole
+
     def ask(self, points: np.ndarray) -> None:
         """Learns the classes of code points: a letter joins a letter in front, another sign joins a sign, a number stands alone, white space is left out."""
         chars = [chr(c) for c in points.tolist()]
-        cut = self.whole.pre_tokenizer.pre_tokenize_str
+        cut = self.cutter.pre_tokenizer.pre_tokenize_str
         ends = [{a: b for _, (a, b) in cut("".join(f"{x}{c}\n" for c in chars))} for x in "a!"]
         at = 3 * np.arange(len(chars))
         letter, other = (np.array([e.get(i) == i + 2 for i in at.tolist()], bool) for e in ends)
@@ -90,7 +109,7 @@ class Library:
 
     def normal(self, text: str) -> str:
         """The normalised text but for its white space. Below PLAIN no character combines with another, and lower() does what the library does."""
-        return text.lower() if text.isascii() or _PLAIN.fullmatch(text) else self.whole.normalizer.normalize_str(text)
+        return text.lower() if text.isascii() or _PLAIN.fullmatch(text) else self.cutter.normalizer.normalize_str(text)
 
 
 def words(cp: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -118,7 +137,7 @@ class WordBPE:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        self.library = Library(path)
+        self.library = Library(path, spec)
         model = spec["model"]
         suffix, vocab = model["end_of_word_suffix"], model["vocab"]
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
@@ -152,7 +171,9 @@ class WordBPE:
             self.beside[inner[:-1], inner[1:]] = True
 
     def forget(self) -> None:
+        """Drops what is known of words."""
         self.known.clear()
+        self.by_pair, self.into = {}, []
 
     def merge(self, data: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of words given by their bytes and sizes, and how many each word has.
@@ -310,20 +331,18 @@ def tokenizer(path: str, kind=WordBPE):
     return _held[kind, path]
 
 
-def forget() -> None:
-    """Drops what the worker's tokenizers know of words."""
-    for t in _held.values():
-        if isinstance(t, WordBPE):
-            t.forget()
+def _sent(docs: DataFrame, path: str | None, kind):
+    """The tokenizer's tables (a few MB), read on the driver and sent to the tasks."""
+    C.small_batches(docs.sparkSession)
+    return docs.sparkSession.sparkContext.broadcast(tokenizer(path or default_vocabulary(), kind))
 
 
 def encode(docs: DataFrame, path: str | None = None, digests: bool = False) -> DataFrame:
     """doc_id, ids array<int>, decoded string of every row; with ``digests``, encode_digest()'s columns too."""
-    path = path or default_vocabulary()
-    C.small_batches(docs.sparkSession)
+    shared = _sent(docs, path, WordBPE)
 
     def run(batches):
-        bpe = tokenizer(path)
+        bpe = shared.value
         for batch in batches:
             ids, decoded = [], []
             for flat, at in bpe.batches(_texts(batch)):
@@ -337,16 +356,15 @@ def encode(docs: DataFrame, path: str | None = None, digests: bool = False) -> D
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     more = ", n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else ""
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(C.batchwise(run, forget), f"doc_id {dict(docs.dtypes)['doc_id']}, ids array<int>, decoded string{more}")
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(C.batchwise(run, lambda: shared.value.forget()), f"doc_id {dict(docs.dtypes)['doc_id']}, ids array<int>, decoded string{more}")
 
 
 def encode_digest(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row: digests of encode()'s columns, which don't leave the task."""
-    path = path or default_vocabulary()
-    C.small_batches(docs.sparkSession)
+    shared = _sent(docs, path, WordBPE)
 
     def run(batches):
-        bpe = tokenizer(path)
+        bpe = shared.value
         for batch in batches:
             n, ids, decoded = [], [], []
             for flat, at in bpe.batches(_texts(batch)):
@@ -357,7 +375,7 @@ def encode_digest(docs: DataFrame, path: str | None = None) -> DataFrame:
                 decoded += [hashlib.sha256(shown[a : max(a, b - 1)]).hexdigest() for a, b in zip(end, end[1:])]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(C.batchwise(run, forget), f"doc_id {dict(docs.dtypes)['doc_id']}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(C.batchwise(run, lambda: shared.value.forget()), f"doc_id {dict(docs.dtypes)['doc_id']}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 # ---- binary token files --------------------------------------------------------------------
@@ -397,11 +415,10 @@ def library_ids(docs: DataFrame, path: str | None = None, end_id: int | None = 2
     The library encodes each distinct word once; texts are cut into words by its own normaliser and classes of
     characters, which gives the ids of whole texts at a fraction of the time.
     """
-    path = path or default_vocabulary()
-    C.small_batches(docs.sparkSession)
+    shared = _sent(docs, path, LibraryBPE)
 
     def run(batches):
-        bpe = tokenizer(path, LibraryBPE)
+        bpe = shared.value
         behind = np.array([] if end_id is None else [end_id], kind).tobytes()
         for batch in batches:
             out = []
@@ -411,7 +428,7 @@ def library_ids(docs: DataFrame, path: str | None = None, end_id: int | None = 2
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.binary())], ["doc_id", "ids"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(C.batchwise(run, forget), "doc_id long, ids binary").select("doc_id", F.xxhash64("ids").alias("h"), "ids")
+    return rows.mapInArrow(C.batchwise(run, lambda: shared.value.forget()), "doc_id long, ids binary").select("doc_id", F.xxhash64("ids").alias("h"), "ids")
 
 
 def write_token_files(docs: DataFrame, folder: str, path: str | None = None, end_id: int | None = 2, kind: str = "<u2") -> list[dict]:

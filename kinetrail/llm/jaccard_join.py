@@ -45,8 +45,10 @@ SHORT_LIST = 64
 FREQUENT = 24
 #: Frequent tokens that are sent to the tasks (4 bytes each), the most frequent first. Any choice is right.
 MOST_FREQUENT = 1_000_000
-#: List entries that one reduce task holds.
-BUCKET_ENTRIES = 1_000_000
+#: List entries of a bucket, which is one group of a reduce task: some MB, as the JVM keeps buffers of the largest group.
+BUCKET_ENTRIES = 250_000
+#: Output rows that one blob batch carries.
+ROWS_AT_ONCE = 50_000
 #: Largest size that subsets are considered for.
 LIGHT_MOST = 12
 #: Candidate sets that are sent to the tasks instead of being joined by shuffle.
@@ -270,8 +272,9 @@ def inverted_lists(docs: DataFrame, k: int, pct: int, boundary: int, n_buckets:
                 n = np.where(keep == 2, n | _IS_LONG, n)
                 some = keep > 0
                 yield _blobs(bucket[some], _pack(_ENTRY, key[some], fp[some], n[some]), 0)
-                if len(rows):
-                    yield _blobs(_bucket(C.mix(rows["a"].view(np.uint64)) + C.mix(rows["b"].view(np.uint64)), n_buckets), rows, 2)
+                for i in range(0, len(rows), ROWS_AT_ONCE):
+                    few = rows[i : i + ROWS_AT_ONCE]
+                    yield _blobs(_bucket(C.mix(few["a"].astype(np.uint64)) + C.mix(few["b"].astype(np.uint64)), n_buckets), few, 2)
             if light:
                 key, fp, n = (np.concatenate(x) for x in zip(*light))
                 yield _blobs(_bucket(key, n_buckets), _pack(_SUBSET, key, fp, n), 1)

@@ -7,7 +7,7 @@ import numpy as np
 from . import common as C
 
 #: Code points that one flat pass works on; a longer text is worked on alone.
-PASS = 300_000
+PASS = 500_000
 
 
 def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:

@@ -409,46 +409,25 @@ def _open(uri: str) -> pa.Buffer:
         return f.read_buffer()
 
 
-def library_ids(docs: DataFrame, path: str | None = None, end_id: int | None = 2, kind: str = "<u2") -> DataFrame:
-    """doc_id, h, ids (unsigned integers of ``kind`` as bytes) of every row's text.
-
-    The library encodes each distinct word once; texts are cut into words by its own normaliser and classes of
-    characters, which gives the ids of whole texts at a fraction of the time.
-    """
-    shared = _sent(docs, path, LibraryBPE)
-
-    def run(batches):
-        bpe = shared.value
-        behind = np.array([] if end_id is None else [end_id], kind).tobytes()
-        for batch in batches:
-            out = []
-            for flat, at in bpe.batches(_texts(batch)):
-                raw, at = flat.astype(kind), at.tolist()
-                out += [raw[a:b].tobytes() + behind for a, b in zip(at, at[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.binary())], ["doc_id", "ids"])
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(C.batchwise(run, lambda: shared.value.forget()), "doc_id long, ids binary").select("doc_id", F.xxhash64("ids").alias("h"), "ids")
-
-
 def write_token_files(docs: DataFrame, folder: str, path: str | None = None, end_id: int | None = 2, kind: str = "<u2") -> list[dict]:
     """Writes the ids of all texts in ascending doc_id order and returns the manifest, one entry a part.
 
     A part has three flat files: .ids (unsigned integers of ``kind``), .off (n + 1 offsets into it, 64-bit
     unsigned) and .doc (doc ids, 64-bit). Parts follow each other in doc_id order; an entry has the number
-    of ids before it (prefix sums of the parts' totals). manifest.json in ``folder`` holds the same. Texts are
-    encoded where they are read; only ids travel. Each attempt of a task writes files of its own name, and the
-    manifest names those of the attempt that counted, so a lost executor or a second attempt leaves no
-    half-written part in use. Only totals of parts come to the driver. Null doc ids come first and are written
-    as the least 64-bit integer; equal ones are ordered by a hash of their ids.
+    of ids before it (prefix sums of the parts' totals). manifest.json in ``folder`` holds the same. The library
+    encodes each distinct word once; texts are cut into words by its own normaliser and classes of characters,
+    which gives the ids of whole texts at a fraction of the time. Each attempt of a task writes files of its own
+    name, and the manifest names those of the attempt that counted, so a lost executor or a second attempt leaves
+    no half-written part in use. Only totals of parts come to the driver. Null doc ids come first and are written
+    as the least 64-bit integer; equal ones are ordered by a hash of their text.
     """
     spark = docs.sparkSession
-    folder = shared_uri(spark, folder)
-    width = np.dtype(kind).itemsize
+    folder, shared = shared_uri(spark, folder), _sent(docs, path, LibraryBPE)
 
     def run(batches):
         from pyspark import TaskContext
 
+        bpe = shared.value
         name = f"part-{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex}"
         store, base = _store(folder)
         store.create_dir(base, recursive=True)
@@ -456,19 +435,23 @@ def write_token_files(docs: DataFrame, folder: str, path: str | None = None, end
         with store.open_output_stream(f"{base}/{name}.ids") as f, store.open_output_stream(f"{base}/{name}.off") as g, store.open_output_stream(f"{base}/{name}.doc") as h:
             g.write(np.zeros(1, "<u8").tobytes())
             for batch in batches:
-                data = batch.column("ids").to_pylist()
-                f.write(b"".join(data))
-                ends = at + np.cumsum([len(x) // width for x in data], dtype=np.int64)
-                at, n = int(ends[-1]) if len(ends) else at, n + len(data)
-                g.write(ends.astype("<u8").tobytes())
+                ends = []
+                for flat, bounds in bpe.batches(_texts(batch)):
+                    if end_id is not None:
+                        flat = np.insert(flat, bounds[1:], end_id)
+                        bounds = bounds + np.arange(len(bounds))
+                    f.write(flat.astype(kind).tobytes())
+                    ends += (bounds[1:] + at).tolist()
+                    at += len(flat)
+                n += len(ends)
+                g.write(np.array(ends, "<u8").tobytes())
                 h.write(batch.column("doc_id").fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False).astype("<i8").tobytes())
         yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([name]), pa.array([n], pa.int64()), pa.array([at], pa.int64())], ["part", "name", "n_docs", "n_tokens"])
 
-    scratch, order = C.Scratch(spark, "tokens"), [F.col("doc_id").asc_nulls_first(), F.col("h")]
-    encoded = scratch.keep(library_ids(docs, path, end_id, kind), "ids")  # written, as dealing by range reads its input twice
-    ordered = encoded.repartitionByRange(*order).sortWithinPartitions(*order)
-    parts = scratch.keep(ordered.mapInArrow(C.batchwise(run), "part long, name string, n_docs long, n_tokens long"), "parts").where("n_docs > 0").orderBy("part").collect()
-    scratch.drop("ids")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    parts = C.Scratch(spark, "tokens").keep(ordered.mapInArrow(C.batchwise(run, lambda: shared.value.forget()), "part long, name string, n_docs long, n_tokens long"), "parts").where("n_docs > 0").orderBy("part").collect()
     bases = np.concatenate(([0], np.cumsum([p.n_tokens for p in parts], dtype=np.int64)))
     manifest = [{"uri": f"{folder}/{p.name}", "base": int(b), "n_docs": p.n_docs, "n_tokens": p.n_tokens} for p, b in zip(parts, bases)]
     store, base = _store(folder)

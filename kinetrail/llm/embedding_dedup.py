@@ -1,10 +1,14 @@
 """Embedding near-dedup by sorted projection passes.
 
 Each pass concatenates the signs of random projections to one hash, orders the vectors by it and compares
-each vector with the ``NEAR`` that follow; pairs with enough cosine become edges, and the edges of all passes
-are united. Vectors with equal components travel once, as one class. The number of passes follows from the
-counted vectors of a length (``passes``), so that at any size at most ``MISSED`` of the isolated pairs at the
-least cosine are expected to meet in no window.
+each vector with the ``NEAR`` that follow. Vectors with equal components travel once, as one class. The number
+of passes follows from the counted vectors of a length (``passes``), so that at any size at most ``MISSED`` of
+the isolated pairs at the least cosine are expected to meet in no window.
+
+What travels in a pass is a vector of one byte a component, with the length of its rounding error. That bounds
+the cosine of a pair from both sides: most pairs are links for sure or no links for sure. Of the sure links of
+a window a spanning forest is enough; the few pairs between are compared in double precision, if their ends do
+not lie in one component anyway.
 
 A window bounds what a pass compares, so a group of more near vectors than a window holds isn't listed pair
 by pair there. It need not be: it is one component, and the links inside each component are then counted by
@@ -13,7 +17,8 @@ only counts leave it). So a link is missed only if no path of found pairs joins
 
 The cosine is taken in double precision. Defined cases: a vector that is null, empty, zero or has null or
 non-finite components, and one with a null id, links with nothing; vectors of different lengths don't link;
-rows that repeat a vec_id are vectors of their own.
+rows that repeat a vec_id are vectors of their own. Classes are told apart by a 64-bit hash of their components:
+if two classes share one, which is not expected below some 10**9 classes, both take part under that name.
 """
 
 from __future__ import annotations
@@ -26,9 +31,11 @@ from pyspark.sql import functions as F
 from . import common as C
 from .graph import components
 
-LEAST_PASSES, NEAR, HASH_BITS = 14, 24, 62
-COSINE, MISSED = 0.9, 0.005
-BLOCK = 1024
+LEAST_PASSES, NEAR, HASH_BITS = 14, 48, 62
+COSINE, MISSED = 0.9, 0.01
+BLOCK, STRIP = 8192, 512
+#: Sure links that a task gathers before it turns them into a forest.
+_FLUSH = 400_000
 
 
 def _matrix(col: pa.Array) -> np.ndarray:
@@ -62,21 +69,58 @@ def passes(n: int, dim: int) -> int:
     return LEAST_PASSES if meet == 1 else max(LEAST_PASSES, int(np.ceil(np.log(MISSED) / np.log1p(-meet))))
 
 
-def _pairs(rid: np.ndarray, x: np.ndarray, lo: int, hi: int):
-    """Pairs of rows i in [lo, hi) with one of the NEAR rows behind, with enough cosine."""
+def rounded(x: np.ndarray) -> np.ndarray:
+    """Unit vectors as bytes: a signed byte a component, then their scale and the length of the rounding error as 32-bit floats."""
+    scale = (np.abs(x).max(axis=1) / 127).astype(np.float32)
+    q = np.rint(x / scale[:, None].astype(np.float64)).clip(-127, 127).astype(np.int8)
+    off = np.sqrt(((x - q * scale[:, None].astype(np.float64)) ** 2).sum(axis=1)) * (1 + 1e-6)
+    return np.concatenate((q.view(np.uint8), scale[:, None].view(np.uint8), off.astype(np.float32)[:, None].view(np.uint8)), axis=1)
+
+
+def _restored(col: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """The rounded vectors and the lengths of their errors."""
+    at = np.frombuffer(col.buffers()[1], np.int32)[col.offset : col.offset + 1]
+    raw = np.frombuffer(col.buffers()[2], np.uint8)[at[0] : at[0] + len(col) * (dim + 8)].reshape(len(col), dim + 8)
+    scale, off = (np.ascontiguousarray(raw[:, i : i + 4]).view(np.float32)[:, 0] for i in (dim, dim + 4))
+    return raw[:, :dim].view(np.int8) * scale[:, None], off
+
+
+def _judge(estimate, e1, e2, dim):
+    """Which pairs are links for sure, and which may be: the error of a product is bounded by those of its sides."""
+    bound = e1 + e2 + e1 * e2 + np.float32(1e-6 + 1.2e-7 * dim)
+    return estimate - bound >= COSINE, estimate + bound >= COSINE
+
+
+def _pairs(rid, x, off):
+    """(a, b, sure) of rows with one of the NEAR rows behind that may link."""
     out = []
-    for d in range(1, NEAR + 1):
-        i = np.arange(lo, min(hi, len(x) - d))
-        if not len(i):
+    for d in range(1, min(NEAR, len(x) - 1) + 1):
+        sure, maybe = _judge(np.einsum("ij,ij->i", x[:-d], x[d:]), off[:-d], off[d:], x.shape[1])
+        i = np.flatnonzero(maybe)
+        out.append((rid[i], rid[i + d], sure[i]))
+    return [np.concatenate(z) for z in zip(*out)] if out else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)]
+
+
+def _forest(a, b, sure):
+    """The same pairs with a star for each group of sure links, and of the others those between groups."""
+    ids, ends = np.unique(np.concatenate((a, b)), return_inverse=True)
+    u, v = ends[: len(a)], ends[len(a) :]
+    low = np.arange(len(ids))
+    while True:
+        new = low.copy()
+        np.minimum.at(new, u[sure], low[v[sure]])
+        np.minimum.at(new, v[sure], low[u[sure]])
+        new = np.minimum(new, new[new])
+        if (new == low).all():
             break
-        i = i[np.einsum("ij,ij->i", x[i], x[i + d]) >= COSINE]
-        out.append((rid[i], rid[i + d]))
-    a, b = (np.concatenate(z) for z in zip(*out)) if out else (np.zeros(0, np.int64),) * 2
-    return a, b
+        low = new
+    star = np.flatnonzero(low != np.arange(len(ids)))
+    open_ = np.flatnonzero(~sure & (low[u] != low[v]))
+    return np.concatenate((ids[low[star]], a[open_])), np.concatenate((ids[star], b[open_])), np.concatenate((np.ones(len(star), bool), np.zeros(len(open_), bool)))
 
 
 def near_pairs(reps: DataFrame) -> DataFrame:
-    """(a, b) of reps (rid, dim, embedding) that meet in a window of some pass and have enough cosine."""
+    """(a, b, sure) for reps (rid, dim, embedding): links that span what meets in the windows, and pairs that may link (sure: false)."""
     rounds = {r.dim: passes(r.n, r.dim) for r in reps.groupBy("dim").agg(F.count("*").alias("n")).collect()}
 
     def spread(batches):
@@ -85,59 +129,99 @@ def near_pairs(reps: DataFrame) -> DataFrame:
             for dim in np.unique(dims):
                 part = batch.filter(pa.array(dims == dim))
                 x = _unit(_matrix(part.column("embedding")))
+                packed = rounded(x)
+                q = pa.BinaryArray.from_buffers(pa.binary(), len(x), [None, pa.py_buffer((np.arange(len(x) + 1) * packed.shape[1]).astype(np.int32).tobytes()), pa.py_buffer(packed.tobytes())])
                 for p in range(rounds[int(dim)]):
                     bits = (x @ projections(int(dim), p) > 0).astype(np.int64)
                     h = bits @ (1 << np.arange(HASH_BITS - 1, -1, -1, dtype=np.int64))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), p, np.int32)), part.column("dim"), pa.array(h), part.column("rid"), part.column("embedding")], ["pass", "dim", "h", "rid", "embedding"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), p, np.int32)), part.column("dim"), pa.array(h), part.column("rid"), q], ["pass", "dim", "h", "rid", "q"])
+
+    names = ["place", "pass", "dim", "a", "b", "sure", "q"]
+    types = [pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
 
     def slide(batches):
         """Windows inside a partition; its first and last vectors go on as the ends that meet its neighbours'."""
         from pyspark import TaskContext
 
         pid = TaskContext.get().partitionId()
-        key, rid, x, head = None, np.zeros(0, np.int64), None, {}
+        key, rid, x, off, q, seen, held, size = None, None, None, None, None, 0, [], 0
+
+        def rows(place, a, b, sure, q):
+            n = len(a)
+            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip((np.full(n, place), np.full(n, key[0]), np.full(n, key[1]), a, b, sure, q), types)], names)
 
-        def ends(name, rid, x):
-            return [pa.array([name] * len(rid), pa.int32()), pa.array([key[0]] * len(rid), pa.int32()), pa.array([key[1]] * len(rid), pa.int32()), pa.array(rid), pa.array([None] * len(rid), pa.int64()), pa.array(list(x), pa.list_(pa.float64()))]
+        def ends(place, rid, q):
+            return rows(place, rid, [None] * len(rid), [None] * len(rid), q)
+
+        def flush():
+            a, b, sure = _forest(*(np.concatenate(z) for z in zip(*held)))
+            return rows(0, a, b, sure, [None] * len(a))
 
-        names = ["place", "pass", "dim", "a", "b", "x"]
         for batch in batches:
             ps, ds, ids = (batch.column(c).to_numpy() for c in ("pass", "dim", "rid"))
-            cut = np.flatnonzero(np.concatenate(([True], (ps[1:] != ps[:-1]) | (ds[1:] != ds[:-1]), [True])))
+            cut = np.flatnonzero(np.concatenate(([True], (ps[1:] != ps[:-1]) | (ds[1:] != ds[:-1]), [True]))) if len(ps) else [0]
             for s, e in zip(cut, cut[1:]):
-                now = _unit(_matrix(batch.column("embedding").slice(s, e - s)))
+                col = batch.column("q").slice(s, e - s)
+                now, err = _restored(col, int(ds[s]))
                 if key != (ps[s], ds[s]):
                     if key is not None:
-                        yield pa.RecordBatch.from_arrays(ends(2 * pid + 2, rid[-NEAR:], x[-NEAR:]), names)
-                    key, rid, x = (ps[s], ds[s]), ids[s:e], now
-                    fresh, old = True, 0
+                        if held:
+                            yield flush()
+                        yield ends(2 * pid + 2, rid[-NEAR:], q[-NEAR:])
+                    key, rid, x, off, q, seen, held, size = (ps[s], ds[s]), ids[s:e], now, err, col[-NEAR:].to_pylist(), 0, [], 0
                 else:
-                    fresh, old = False, min(len(rid), NEAR)
-                    rid, x = np.concatenate((rid[-NEAR:], ids[s:e])), np.concatenate((x[-NEAR:], now))
-                if fresh or head.get(key, 0) < NEAR:
-                    k = min(NEAR - head.get(key, 0), e - s)
-                    head[key] = head.get(key, 0) + k
-                    yield pa.RecordBatch.from_arrays(ends(2 * pid + 1, ids[s : s + k], now[:k]), names)
-                a, b = _pairs(rid, x, 0, len(rid))
-                yield pa.RecordBatch.from_arrays([pa.array([0] * len(a), pa.int32()), pa.array([key[0]] * len(a), pa.int32()), pa.array([key[1]] * len(a), pa.int32()), pa.array(a), pa.array(b), pa.array([None] * len(a), pa.list_(pa.float64()))], names)
+                    rid, x, off = np.concatenate((rid[-NEAR:], ids[s:e])), np.concatenate((x[-NEAR:], now)), np.concatenate((off[-NEAR:], err))
+                    q = (q + col[-NEAR:].to_pylist())[-NEAR:]
+                if seen < NEAR:
+                    k = min(NEAR - seen, e - s)
+                    seen += k
+                    yield ends(2 * pid + 1, ids[s : s + k], col[:k].to_pylist())
+                held.append(_pairs(rid, x, off))
+                size += len(held[-1][0])
+                if size > _FLUSH:
+                    yield flush()
+                    held, size = [], 0
         if key is not None:
-            yield pa.RecordBatch.from_arrays(ends(2 * pid + 2, rid[-NEAR:], x[-NEAR:]), names)
+            if held:
+                yield flush()
+            yield ends(2 * pid + 2, rid[-NEAR:], q[-NEAR:])
 
     def meet(t: pa.Table) -> pa.Table:
         """The last vectors of one partition with the first of the next: odd places are firsts."""
         place, rid = t.column("place").to_numpy(), t.column("a").to_numpy()
-        x = _matrix(t.column("x").combine_chunks())
+        x, off = _restored(t.column("q").combine_chunks(), int(t.column("dim")[0].as_py()))
         i, j = np.flatnonzero(place % 2 == 0), np.flatnonzero(place % 2 == 1)
-        r, c = np.nonzero(x[i] @ x[j].T >= COSINE)
-        return pa.table({"a": rid[i][r], "b": rid[j][c]})
+        sure, maybe = _judge(x[i] @ x[j].T, off[i][:, None], off[j], x.shape[1])
+        r, c = np.nonzero(maybe)
+        return pa.table({"a": rid[i][r], "b": rid[j][c], "sure": sure[r, c]})
 
-    dealt = reps.mapInArrow(spread, "pass int, dim int, h long, rid long, embedding array<double>").repartitionByRange("pass", "dim", "h", "rid").sortWithinPartitions("pass", "dim", "h", "rid")
+    order = ["pass", "dim", "h", "rid"]
+    dealt = reps.mapInArrow(C.batchwise(spread), "pass int, dim int, h long, rid long, q binary").repartitionByRange(*order).sortWithinPartitions(*order)
     scratch = C.Scratch(reps.sparkSession, "windows")
-    found = scratch.keep(dealt.mapInArrow(slide, "place int, pass int, dim int, a long, b long, x array<double>"), "found")
+    found = scratch.keep(dealt.mapInArrow(C.batchwise(slide), "place int, pass int, dim int, a long, b long, sure boolean, q binary"), "found")
     # A partition's last vectors (2 p + 2) and its successor's first (2 (p + 1) + 1) have the same half.
-    border = found.where("place > 0").withColumn("gap", F.expr("place div 2"))
-    met = border.groupBy("gap", "pass", "dim").applyInArrow(meet, "a long, b long")
-    return found.where("place = 0").select("a", "b").union(met).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    border = found.where("place > 0").withColumn("gap", F.expr("place div 2")).select("gap", "pass", "dim", "place", "a", "q")
+    met = border.groupBy("gap", "pass", "dim").applyInArrow(meet, "a long, b long, sure boolean")
+    both = found.where("place = 0").select("a", "b", "sure").union(met)
+    return both.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("sure").alias("sure"))
+
+
+def compared(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose cosine, in double precision, is enough."""
+    x, y = (reps.select(F.col("rid").alias(c), F.col("embedding").alias(f"x{c}")) for c in "ab")
+
+    def run(batches):
+        for batch in batches:
+            a, b = batch.column("a").to_numpy(), batch.column("b").to_numpy()
+            size = [batch.column(c).value_lengths().to_numpy() for c in ("xa", "xb")]
+            ok = np.zeros(len(a), bool)
+            for dim in np.unique(size[0]):
+                i = np.flatnonzero((size[0] == dim) & (size[1] == dim))
+                u, v = (_unit(_matrix(batch.column(c).take(pa.array(i)))) for c in ("xa", "xb"))
+                ok[i] = (u * v).sum(axis=1) >= COSINE
+            yield pa.RecordBatch.from_arrays([pa.array(a[ok]), pa.array(b[ok])], ["a", "b"])
+
+    return pairs.join(x, "a").join(y, "b").select("a", "b", "xa", "xb").mapInArrow(C.batchwise(run), "a long, b long")
 
 
 def count_links(members: DataFrame) -> DataFrame:
@@ -158,17 +242,22 @@ def count_links(members: DataFrame) -> DataFrame:
             o = order[s:e]
             x = _unit(_matrix(emb.take(pa.array(o))))
             a, b = np.flatnonzero(i[o] == lo[o[0]]), np.flatnonzero(i[o] == hi[o[0]])
-            same = x[a] @ x[b].T >= COSINE
-            if lo[o[0]] == hi[o[0]]:
-                np.fill_diagonal(same, False)
+            one, other = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+            for i0 in range(0, len(a), STRIP):
+                strip = np.arange(i0, min(i0 + STRIP, len(a)))
+                same = x[a[strip]] @ x[b].T >= COSINE
+                if lo[o[0]] == hi[o[0]]:
+                    same[np.arange(len(strip)), strip] = False
+                one[strip] = same @ copies[o[b]]
+                other += copies[o[a[strip]]] @ same
             out_r.append(rid[o[a]])
-            out_n.append(same @ copies[o[b]])
+            out_n.append(one)
             if lo[o[0]] != hi[o[0]]:
                 out_r.append(rid[o[b]])
-                out_n.append(same.T @ copies[o[a]])
+                out_n.append(other)
         return pa.table({"rid": np.concatenate(out_r), "n": np.concatenate(out_n).astype(np.int64)})
 
-    part = m.select("key", "component", "lo", "hi", "i", "rid", "copies", "embedding").groupBy("key").applyInArrow(count, "rid long, n long")
+    part = m.select("key", "component", "lo", "hi", "i", "rid", "copies", "embedding").groupBy("key").applyInArrow(C.groupwise(count), "rid long, n long")
     return part.groupBy("rid").agg(F.sum("n").alias("n"))
 
 
@@ -183,8 +272,17 @@ def embedding_dedup(vectors: DataFrame) -> DataFrame:
     good = e.where("sound")
     classes = good.groupBy("embedding").agg(F.min("vec_id").alias("low"), F.count("*").alias("copies"))
     reps = scratch.keep(classes.select(F.xxhash64("embedding").alias("rid"), F.size("embedding").alias("dim"), "embedding", "low", "copies"), "classes")
-    edges = scratch.keep(near_pairs(reps.select("rid", "dim", "embedding")), "edges")
-    label = scratch.keep(components(edges, scratch), "label") if not edges.isEmpty() else edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    pairs = scratch.keep(near_pairs(reps.select("rid", "dim", "embedding")), "pairs")
+    label = scratch.keep(components(pairs.where("sure").select("a", "b"), scratch), "label")
+
+    def own(c):
+        return label.select(F.col("node").alias(c), F.col("component").alias(f"l{c}"))
+
+    between = pairs.where("not sure").join(own("a"), "a", "left").join(own("b"), "b", "left")
+    between = scratch.keep(between.where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b"), "between")
+    late = scratch.keep(compared(between, reps.select("rid", "embedding")), "late")
+    if not late.isEmpty():
+        label = scratch.keep(components(label.select(F.col("component").alias("a"), F.col("node").alias("b")).union(late), scratch, "second"), "label2")
     members = reps.join(label.withColumnRenamed("node", "rid"), "rid")
     links = count_links(members.select("component", "rid", "copies", "dim", "embedding"))
     low = members.groupBy("component").agg(F.min("low").alias("component_id"))

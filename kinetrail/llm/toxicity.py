@@ -218,64 +218,86 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicCNN | None:
     ids = ranked.where(F.col("n") <= PER_LABEL).select("doc_id", "toxic")  # at most 2 * PER_LABEL rows, so they may be sent
     known = docs.where("text is not null").select("doc_id", "text", "lang").join(F.broadcast(ids), "doc_id")
     known = known.groupBy("doc_id", "toxic").agg(F.min(F.struct("text", "lang")).alias("r"))
-    rows = known.select("toxic", F.col("r.lang").alias("lang"), F.xxhash64("r.text").alias("h"), F.col("r.text").alias("text")).collect()
-    rows = sorted(rows, key=lambda r: (r.h, r.text, r.toxic, str(r.lang)))
-    label = np.array([r.toxic for r in rows], np.int64)
-    if len(set(label.tolist())) < 2:
-        return None
-    words = []
-    for r in rows:
-        raw = np.frombuffer(r.text.encode(), np.uint8)
-        words.append(word_hashes(raw, np.array([0, len(raw)]))[0])
-    return learn(words, label, [r.lang for r in rows], docs.sparkSession)
+    return learn(known.select(F.col("toxic").cast("int").alias("toxic"), F.col("r.lang").alias("lang"), F.xxhash64("r.text").alias("h"), F.col("r.text").alias("text")))
 
 
 def _flat(words: list[np.ndarray], of) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([words[i] for i in of]), np.concatenate(([0], np.cumsum([len(words[i]) for i in of])))
 
 
-def _trained(words: list[np.ndarray], label: np.ndarray, fold: np.ndarray, k: int) -> tuple[bytes, bytes]:
-    """The network of all documents (k < 0), pickled; or of those outside fold k, what it says of the fold (64-bit floats)."""
-    net, use = ToxicCNN(), [i for i in np.flatnonzero(fold != k) if len(words[i])]
-    net.train([words[i] for i in use], label[use])
-    if k < 0:
-        return pickle.dumps(net), b""
-    net.prepare()
-    return b"", net.logits(*_flat(words, np.flatnonzero(fold == k))).tobytes()
+def _parts(words: list[np.ndarray], of: np.ndarray, f) -> np.ndarray:
+    """f of the flat documents ``of``, in parts of about a million words."""
+    at = np.concatenate(([0], np.cumsum([len(words[i]) for i in of])))
+    return np.concatenate([f(*_flat(words, of[a:b])) for a, b in C.spans(at)])
+
+
+def _sample(batches) -> tuple[int | None, list[np.ndarray], np.ndarray, list]:
+    """The network k that the rows (k, toxic, lang, h, text) are for, and their words, labels and languages in an order that depends on the rows alone."""
+    k, rows = None, []
+    for batch in batches:
+        text, off = C.utf8(batch.column("text"))
+        jobs, toxic, lang, h = (batch.column(c).to_pylist() for c in ("k", "toxic", "lang", "h"))
+        for i in range(batch.num_rows):
+            raw = text[off[i] : off[i + 1]]
+            k = jobs[i]
+            rows.append((h[i], raw.tobytes(), toxic[i], str(lang[i]), lang[i], word_hashes(raw, np.array([0, len(raw)]))[0]))
+    rows.sort(key=lambda r: r[:4])
+    return k, [r[5] for r in rows], np.array([r[2] for r in rows], np.int64), [r[4] for r in rows]
 
 
-def learn(words: list[np.ndarray], label: np.ndarray, lang: list, spark=None) -> ToxicCNN:
-    """A network trained on all documents, whose thresholds were found by networks that had not seen them. With a session each network is a task's; training depends on its input alone, so a lost task is done again."""
-    fold, folds = np.full(len(words), 0), FOLDS if min(label.sum(), (1 - label).sum()) >= 30 else 0
-    for x in (0, 1):  # each part has its share of either label
+def _folds(label: np.ndarray) -> tuple[int, np.ndarray]:
+    """How many parts are held out in turn, and each row's; each part has its share of either label."""
+    fold, folds = np.full(len(label), 0), FOLDS if min(label.sum(), (1 - label).sum()) >= 30 else 0
+    for x in (0, 1):
         fold[label == x] = np.arange((label == x).sum()) % max(folds, 1)
-    jobs = list(range(-1, folds))
-    if spark is None:
-        done = {k: _trained(words, label, fold, k) for k in jobs}
-    else:
-        shared = spark.sparkContext.broadcast((np.concatenate(words), np.cumsum([len(w) for w in words])[:-1], label, fold))
-
-        def run(batches):
-            for batch in batches:
-                for k in batch.column("id").to_pylist():
-                    flat, cut, label, fold = shared.value
-                    net, logits = _trained(np.split(flat, cut), label, fold, k)
-                    yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([net], pa.binary()), pa.array([logits], pa.binary())], ["k", "net", "logits"])
-
-        rows = spark.range(-1, folds, 1, len(jobs)).mapInArrow(C.batchwise(run), "k long, net binary, logits binary").collect()
-        done = {r.k: (bytes(r.net), bytes(r.logits)) for r in rows}
-    net = pickle.loads(done[-1][0])
+    return folds, fold
+
+
+def _trained(k: int, words: list[np.ndarray], label: np.ndarray, lang: list):
+    """What the network of the documents outside fold k says of the fold. k < 0: the network of all documents, their labels, guessed languages and, without folds, what it says of them."""
+    folds, fold = _folds(label)
+    if len(set(label.tolist())) < 2 or k >= folds:
+        return None
+    net, use = ToxicCNN(), [i for i in np.flatnonzero(fold != k) if len(words[i])]
+    net.train([words[i] for i in use], label[use])
+    if k >= 0:
+        net.prepare()
+        return _parts(words, np.flatnonzero(fold == k), net.logits)
     net.learn_languages(words, lang)
-    everything = np.arange(len(words))
+    everything, logit = np.arange(len(words)), None
+    language = _parts(words, everything, net.guess)
+    if not folds:
+        net.prepare()
+        logit = _parts(words, everything, net.logits)
+        net.tables = None
+    return net, label, language, logit
+
+
+def learn(sample: DataFrame) -> ToxicCNN | None:
+    """A network trained on all rows (toxic, lang, h, text), whose thresholds were found by networks that had not seen them; None without rows of both labels.
+
+    Each network is a task, which gets all rows; no text comes to the driver. Training depends on the rows
+    alone, so a lost task is done again.
+    """
+    C.small_batches(sample.sparkSession)
+
+    def run(batches):
+        k, *rows = _sample(batches)
+        if k is not None:
+            made = pickle.dumps(_trained(k - 1, *rows))
+            yield pa.RecordBatch.from_arrays([pa.array([k - 1], pa.int64()), pa.array([made], pa.binary())], ["k", "made"])
+
+    each = sample.withColumn("k", F.explode(F.array(*[F.lit(k) for k in range(FOLDS + 1)]))).repartitionById(FOLDS + 1, F.col("k"))
+    done = {r.k: pickle.loads(r.made) for r in each.mapInArrow(C.batchwise(run), "k long, made binary").collect()}
+    if done.get(-1) is None:
+        return None
+    net, label, language, logit = done[-1]
+    folds, fold = _folds(label)
     if folds:
-        logit = np.zeros(len(words))
+        logit = np.zeros(len(label))
         for k in range(folds):
-            logit[fold == k] = np.frombuffer(done[k][1])
-    else:
-        net.prepare()
-        logit = net.logits(*_flat(words, everything))
-    net.calibrate(logit, label, net.guess(*_flat(words, everything)))
-    net.tables = None
+            logit[fold == k] = done[k]
+    net.calibrate(logit, label, language)
     return net
 
 

@@ -456,3 +456,28 @@ def test_pipeline_language_stage_and_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, DIR)
         assert empty.count() == 0
+
+
+def test_toxicity_learns_without_the_texts_in_the_driver(spark):
+    """60 texts of 16,000 words: their word hashes alone are 23 MB, the network's tables 6 MB."""
+    import tracemalloc
+
+    rows = [(i, " ".join(f"w{(i * 31 + j * 7) % 5000}" for j in range(16000)) + " vile" * (i % 2)) for i in range(80)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    tracemalloc.start()
+    try:
+        net = toxicity.fit(docs, labels)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert net.languages == ["en"] and most < 30e6, most
+
+
+def test_toxicity_with_labels_of_one_kind_or_few(spark):
+    docs = spark.createDataFrame([(i, "vile scum" if i % 2 else "kind folk", "en") for i in range(40)], "doc_id long, text string, lang string")
+    one = spark.createDataFrame([(i, 1) for i in range(40)], "doc_id long, toxic int")
+    few = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    assert toxicity.fit(docs, one) is None
+    rows = toxicity.toxicity(docs, toxicity.fit(docs, few)).collect()
+    assert all(r.predicted == r.doc_id % 2 for r in rows)
